@@ -1,0 +1,285 @@
+"""A keyed table kept as parquet folders in a shared file system.
+
+Layout under ``path``::
+
+    base/<commit>/   every live row as of a commit
+    log/<commit>/    the rows one upsert or delete wrote (``_op`` u or d)
+    _commits/        one record per commit, written after its data
+
+Readers list ``_commits`` and open exactly the folders it names, so a crashed
+write is never seen and an incremental read touches only later commits' files.
+A commit's folders get a fresh suffix, so nothing being read is overwritten.
+One writer at a time; any number of readers.
+"""
+
+from __future__ import annotations
+
+import json
+import time
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from tidemark.operators import keyed as K
+from tidemark.operators.ordering import clustered
+from tidemark.schemas import LONG, TEXT, struct
+
+COPY_ON_WRITE = "COPY_ON_WRITE"
+MERGE_ON_READ = "MERGE_ON_READ"
+COMMIT = "_commit_time"
+OP = "_op"
+UPSERT = "u"
+
+_COMMITS = struct(commit_time=TEXT, operation=TEXT, base=TEXT, log=TEXT, source=TEXT, schema=TEXT, n=LONG)
+
+
+@dataclass(frozen=True)
+class Commit:
+    commit_time: str
+    operation: str
+    base: str | None
+    log: str | None
+    source: str | None
+    schema: str
+    n: int
+
+
+def _clock() -> str:
+    now = time.time()
+    return time.strftime("%Y%m%d%H%M%S", time.gmtime(now)) + f"{int(now * 1000) % 1000:03d}"
+
+
+class KeyedTable:
+    """Upsert, delete, snapshot, incremental, as-of and read-optimised reads over parquet.
+
+    ``mode`` decides between a stored and an incoming row: ``commit_time`` (the
+    later commit wins) or ``event_time`` (the greater ordering value wins).
+    ``compact_every`` is the number of log commits a merge-on-read table
+    gathers before it is compacted; ``None`` leaves compaction to the caller.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        ordering: str,
+        table_type: str = COPY_ON_WRITE,
+        mode: str = "commit_time",
+        compact_every: int | None = None,
+        cluster_by: Sequence[str] | None = None,
+        clock=_clock,
+    ):
+        if table_type not in (COPY_ON_WRITE, MERGE_ON_READ):
+            raise ValueError(f"unknown table type: {table_type}")
+        if mode not in ("commit_time", "event_time"):
+            raise ValueError(f"unknown merge mode: {mode}")
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.ordering = list(keys), ordering
+        self.table_type, self.mode, self.compact_every = table_type, mode, compact_every
+        self.cluster_by = list(cluster_by or [])
+        self.clock = clock
+
+    # ---- timeline -----------------------------------------------------------------------------
+
+    def commits(self) -> list[Commit]:
+        """Recorded commits in order (one small record each)."""
+        try:
+            rows = self.spark.read.schema(_COMMITS).json(f"{self.path}/_commits").collect()
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" in str(missing):
+                return []
+            raise
+        return sorted((Commit(**r.asDict()) for r in rows), key=lambda c: (c.n, c.commit_time))
+
+    def commit_times(self) -> list[str]:
+        return list(dict.fromkeys(c.commit_time for c in self.commits()))
+
+    def has_source(self, source: str) -> bool:
+        return any(c.source == source for c in self.commits())
+
+    def _next_time(self, commits: list[Commit], asked: str | None) -> str:
+        last = commits[-1].commit_time if commits else ""
+        if asked is None:
+            asked = self.clock()
+            if asked <= last:
+                asked = str(int(last) + 1).zfill(len(last))
+        if asked <= last:
+            raise ValueError(f"commit time {asked} is not after {last}")
+        return asked
+
+    def _record(self, commits, commit_time, operation, base, log, source, schema: StructType) -> None:
+        row = (commit_time, operation, base, log, source, schema.json(), len(commits))
+        self.spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
+
+    # ---- files --------------------------------------------------------------------------------
+
+    def _write(self, df: DataFrame, kind: str, commit_time: str) -> str:
+        folder = f"{kind}/{commit_time}-{uuid.uuid4().hex[:8]}"
+        if kind == "base" and self.cluster_by:
+            df = clustered(df, *self.cluster_by)
+        df.write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _read(self, folders: Sequence[str], schema: StructType, op: bool) -> DataFrame:
+        """Files of the given folders under the table's latest schema: columns they lack read NULL."""
+        full = StructType(list(schema.fields)).add(COMMIT, "string")
+        if op:
+            full = full.add(OP, "string")
+        if not folders:
+            return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def _evolved(self, commits: list[Commit], batch: StructType) -> StructType:
+        """Table schema with the batch's new columns appended; changed types are refused."""
+        if not commits:
+            return batch
+        known = self._schema(commits)
+        for field in batch.fields:
+            if field.name not in known.names:
+                known = known.add(field.name, field.dataType, True)
+            elif known[field.name].dataType != field.dataType:
+                raise TypeError(
+                    f"column {field.name}: {known[field.name].dataType.simpleString()} vs {field.dataType.simpleString()}"
+                )
+        return known
+
+    @staticmethod
+    def _schema(commits: list[Commit]) -> StructType:
+        return StructType.fromJson(json.loads(commits[-1].schema))
+
+    # ---- writes -------------------------------------------------------------------------------
+
+    def overwrite(self, df: DataFrame, commit_time: str | None = None) -> str:
+        """Replace the whole table; duplicate keys in the frame are reduced by the ordering column."""
+        return self._replace(K.precombine(df, self.keys, self.ordering), "overwrite", commit_time)
+
+    def bulk_insert(self, df: DataFrame, commit_time: str | None = None) -> str:
+        """Establish the table without any key lookup or de-duplication."""
+        return self._replace(df, "bulk_insert", commit_time)
+
+    def _replace(self, df: DataFrame, operation: str, asked: str | None) -> str:
+        commits = self.commits()
+        t = self._next_time(commits, asked)
+        rows = K.refuse_null_keys(df, self.keys).withColumn(COMMIT, F.lit(t))
+        self._record(commits, t, operation, self._write(rows, "base", t), None, None, df.schema)
+        return t
+
+    def upsert(self, batch: DataFrame, commit_time: str | None = None, source: str | None = None) -> str:
+        """Insert new keys, replace existing ones whole-row; new columns evolve the table.
+
+        ``source`` names what the batch came from; a named batch is applied once.
+        """
+        checked = K.refuse_null_keys(K.precombine(batch, self.keys, self.ordering), self.keys)
+        return self._append(checked.withColumn(OP, F.lit(UPSERT)), "upsert", commit_time, source)
+
+    def delete(self, batch: DataFrame, commit_time: str | None = None, source: str | None = None) -> str:
+        """Remove the keys in ``batch``; it needs no other columns and its ordering is not compared."""
+        keep = [c for c in (*self.keys, self.ordering) if c in batch.columns]
+        tombstones = batch.select(*dict.fromkeys(keep)).dropDuplicates(self.keys)
+        return self._append(tombstones.withColumn(OP, F.lit(K.DELETE)), "delete", commit_time, source)
+
+    def change(self, batch: DataFrame, op: str, order: Sequence[str], commit_time: str | None = None, source: str | None = None) -> str:
+        """Apply a mixed batch of upserts and deletes: the last change per key by ``order`` decides."""
+        last = K.refuse_null_keys(K.latest_by_key(batch, self.keys, order), self.keys)
+        kind = F.when(F.col(op) == K.DELETE, K.DELETE).otherwise(UPSERT)
+        return self._append(last.withColumn(OP, kind).drop(*({op} - {OP})), "change", commit_time, source)
+
+    def _append(self, rows: DataFrame, operation: str, asked: str | None, source: str | None) -> str:
+        commits = self.commits()
+        if source is not None:
+            for c in commits:
+                if c.source == source:
+                    return c.commit_time
+        t = self._next_time(commits, asked)
+        schema = self._evolved(commits, StructType([f for f in rows.schema.fields if f.name != OP]))
+        log = self._write(rows.withColumn(COMMIT, F.lit(t)), "log", t)
+        base = None
+        if self.table_type == COPY_ON_WRITE:
+            base = self._write(self._merge(commits, schema, [log]), "base", t)
+        self._record(commits, t, operation, base, log, source, schema)
+        if self.table_type == MERGE_ON_READ and self.compact_every:
+            if len(self._pending(self.commits())) >= self.compact_every:
+                self.compact()
+        return t
+
+    def compact(self) -> str | None:
+        """Merge the log commits since the last base into a new base at the last commit's time."""
+        commits = self.commits()
+        if not self._pending(commits):
+            return None
+        t, schema = commits[-1].commit_time, self._schema(commits)
+        base = self._write(self._merge(commits, schema), "base", t)
+        self._record(commits, t, "compact", base, None, None, schema)
+        return t
+
+    # ---- reads --------------------------------------------------------------------------------
+
+    @staticmethod
+    def _last_base(commits: list[Commit]) -> int:
+        return max((i for i, c in enumerate(commits) if c.base), default=-1)
+
+    def _pending(self, commits: list[Commit]) -> list[str]:
+        """Log folders committed after the last base."""
+        return [c.log for c in commits[self._last_base(commits) + 1 :] if c.log]
+
+    def _merge(self, commits: list[Commit], schema: StructType, more: Sequence[str] = ()) -> DataFrame:
+        """Live rows of the last base and the logs after it."""
+        at = self._last_base(commits)
+        base = self._read([commits[at].base] if at >= 0 else [], schema, op=False)
+        logs = [*self._pending(commits), *more]
+        if not logs:
+            return base
+        log = self._read(logs, schema, op=True)
+        if self.mode == "event_time":
+            return self._merge_by_event_time(base, log)
+        last = K.latest_by_key(log, self.keys, [COMMIT, self.ordering])
+        # The log is reduced first and is small beside the base: once it measures small enough
+        # it is broadcast and the base is not shuffled at all.
+        kept = base.join(last.select(*self.keys), self.keys, "left_anti")
+        return kept.unionByName(last.filter(F.col(OP) != K.DELETE).drop(OP))
+
+    def _merge_by_event_time(self, base: DataFrame, log: DataFrame) -> DataFrame:
+        """Greatest ordering value among the rows written after a key's last delete."""
+        dead = log.filter(F.col(OP) == K.DELETE).groupBy(*self.keys).agg(F.max(COMMIT).alias("_dead"))
+        rows = base.unionByName(log.filter(F.col(OP) != K.DELETE).drop(OP))
+        alive = rows.join(dead, self.keys, "left").filter(F.col("_dead").isNull() | (F.col(COMMIT) > F.col("_dead")))
+        return K.latest_by_key(alive.drop("_dead"), self.keys, [self.ordering, COMMIT])
+
+    def snapshot(self, as_of: str | None = None, meta: bool = False) -> DataFrame:
+        """Latest live row per key, or as it stood after commit ``as_of``."""
+        commits = self.commits()
+        known = commits if as_of is None else [c for c in commits if c.commit_time <= as_of]
+        if not known:
+            raise ValueError("table has no commits" if not commits else f"no commit at or before {as_of}")
+        out = self._merge(known, self._schema(known))
+        return out if meta else out.drop(COMMIT)
+
+    def read_optimized(self) -> DataFrame:
+        """Compacted base files only; rows still in logs are invisible."""
+        commits = self.commits()
+        at = self._last_base(commits)
+        return self._read([commits[at].base] if at >= 0 else [], self._schema(commits), op=False).drop(COMMIT)
+
+    def incremental(self, begin: str, end: str | None = None, changes: bool = False) -> DataFrame:
+        """Latest version of each key committed in ``(begin, end]`` with its commit time.
+
+        Reads the later commits' logs only, plus a base when the table was
+        replaced in that range. Deletes are not shown unless ``changes``.
+        """
+        commits = [c for c in self.commits() if end is None or c.commit_time <= end]
+        if not commits:
+            raise ValueError("no commits in range")
+        schema = self._schema(commits)
+        later = [c for c in commits if c.commit_time > begin]
+        full = max((i for i, c in enumerate(later) if c.operation in ("overwrite", "bulk_insert")), default=-1)
+        logs = self._read([c.log for c in later[full + 1 :] if c.log], schema, op=True)
+        if full >= 0:
+            logs = self._read([later[full].base], schema, op=False).withColumn(OP, F.lit(UPSERT)).unionByName(logs)
+        order = [COMMIT, self.ordering] if self.mode == "commit_time" else [self.ordering, COMMIT]
+        last = K.latest_by_key(logs, self.keys, order)
+        return last if changes else last.filter(F.col(OP) != K.DELETE).drop(OP)

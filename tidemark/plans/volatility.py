@@ -218,3 +218,22 @@ def summary_table(results: DataFrame) -> DataFrame:
         F.substring("Trading_Pattern", 1, R.PATTERN_WIDTH).alias("Pattern"),
         F.format_string("%.3f", F.col("GARCH_Dispersion")).alias("Dispersion"),
     )
+
+
+def study(returns: DataFrame, series, distributions=("normal",)) -> DataFrame:
+    """The whole analysis of every ticker in ``returns``: one result row each.
+
+    ``series`` is :func:`tidemark.plans.garch.prepare` of the same returns.
+    Tickers that cannot be fitted have no row; their reason is the ``status``
+    of :func:`tidemark.plans.garch.fit_garch`.
+    """
+    from tidemark.plans import garch as G
+
+    garch, egarch = G.fit_garch(series), G.fit_egarch(series, distributions)
+    labelled = with_regime(align(returns, G.volatilities(series, garch, egarch)), "garch_vol")
+    params = (
+        garch.select("ticker", F.col("alpha").alias("garch_alpha"), F.col("beta").alias("garch_beta"))
+        .na.drop()
+        .join(egarch.select("ticker", F.col("gamma").alias("egarch_gamma")), "ticker", "left")
+    )
+    return result_rows(labelled, params)

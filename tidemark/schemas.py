@@ -2,41 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType, DateType, DecimalType, DoubleType, LongType, StringType, StructField, StructType, TimestampType,
+)
+
+TEXT, LONG, DOUBLE, DATE, INSTANT = StringType(), LongType(), DoubleType(), DateType(), TimestampType()
+
+
+def struct(**fields: DataType) -> StructType:
+    """A schema of nullable fields in the given order."""
+    return StructType([StructField(name, dtype, True) for name, dtype in fields.items()])
 
-_ddl = StructType.fromDDL
 
-USERS = _ddl("id string, name string, ts bigint")
-USERS_EVOLVED = _ddl("id string, name string, ts bigint, email string")
-USER_DELETES = _ddl("id string, ts bigint")
+USERS = struct(id=TEXT, name=TEXT, ts=LONG)
+USERS_EVOLVED = struct(id=TEXT, name=TEXT, ts=LONG, email=TEXT)
+USER_DELETES = struct(id=TEXT, ts=LONG)
 
-STOCK_TRADES = _ddl(
-    "trade_id string, stock_name string, stock_price decimal(12,2), stock_purchase_choice string,"
-    " trader_id string, created_at timestamp, updated_at timestamp"
+STOCK_TRADES = struct(
+    trade_id=TEXT, stock_name=TEXT, stock_price=DecimalType(12, 2), stock_purchase_choice=TEXT, trader_id=TEXT,
+    created_at=INSTANT, updated_at=INSTANT,
 )
 STOCK_TRADES_KEY = ["trade_id", "created_at"]
 
 # A row image inside a change envelope: decimals arrive as base64 text, times as ISO text.
-TRADE_IMAGE_DDL = (
-    "struct<trade_id: string, stock_name: string, stock_price: string, stock_purchase_choice: string,"
-    " trader_id: string, created_at: string, updated_at: string>"
+TRADE_IMAGE = struct(
+    trade_id=TEXT, stock_name=TEXT, stock_price=TEXT, stock_purchase_choice=TEXT, trader_id=TEXT, created_at=TEXT,
+    updated_at=TEXT,
 )
-CHANGE_ENVELOPE = _ddl(
-    f"op string, ts_ms bigint, before {TRADE_IMAGE_DDL}, after {TRADE_IMAGE_DDL},"
-    " source struct<schema: string, table: string, lsn: bigint, ts_ms: bigint>"
+CHANGE_ENVELOPE = struct(
+    op=TEXT, ts_ms=LONG, before=TRADE_IMAGE, after=TRADE_IMAGE,
+    source=struct(schema=TEXT, table=TEXT, lsn=LONG, ts_ms=LONG),
 )
 
-NORMALIZED_EVENT = _ddl(
-    "event_type string, user_id string, room_id string, journey_id string, timestamp bigint,"
-    " payload string, metadata_json string, event_id string, server_timestamp bigint"
+NORMALIZED_EVENT = struct(
+    event_type=TEXT, user_id=TEXT, room_id=TEXT, journey_id=TEXT, timestamp=LONG, payload=TEXT, metadata_json=TEXT,
+    event_id=TEXT, server_timestamp=LONG,
 )
-MESSAGES = _ddl(
-    "room_id string, timestamp bigint, event_id string, event_type string, user_id string,"
-    " payload string, metadata_json string, server_timestamp bigint"
+MESSAGES = struct(
+    room_id=TEXT, timestamp=LONG, event_id=TEXT, event_type=TEXT, user_id=TEXT, payload=TEXT, metadata_json=TEXT,
+    server_timestamp=LONG,
 )
 MESSAGES_KEY = ["room_id", "timestamp", "event_id"]
-ROOMS = _ddl("room_id string, name string, room_type string, created_at bigint, updated_at bigint")
-GROUP_MEMBERS = _ddl("room_id string, user_id string, joined_at bigint, updated_at bigint")
-USER_ROOMS = _ddl("user_id string, room_id string, joined_at bigint, updated_at bigint")
+ROOMS = struct(room_id=TEXT, name=TEXT, room_type=TEXT, created_at=LONG, updated_at=LONG)
+GROUP_MEMBERS = struct(room_id=TEXT, user_id=TEXT, joined_at=LONG, updated_at=LONG)
+USER_ROOMS = struct(user_id=TEXT, room_id=TEXT, joined_at=LONG, updated_at=LONG)
 
-BARS = _ddl("ticker string, date date, open double, high double, low double, close double, volume bigint")
+BARS = struct(ticker=TEXT, date=DATE, open=DOUBLE, high=DOUBLE, low=DOUBLE, close=DOUBLE, volume=LONG)
