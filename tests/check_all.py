@@ -29,7 +29,7 @@ if __name__ == "__main__":
             df = build(spark, folder)
             note = compare(df, con, sql[name]) if name in sql else f"{df.count()} rows (no oracle)"
         except Exception as e:
-            note = "ERROR " + "".join(traceback.format_exception_only(e))[:1500]
+            note = "ERROR " + "".join(traceback.format_exception_only(e))[:400]
         failed += note is not None and name in sql
         print(f"{name:28s} {time.time() - t:6.1f}s {note or 'ok'}", flush=True)
     print("failed:", failed)

@@ -36,7 +36,7 @@ def with_halo(df: DataFrame, series: Sequence[str], order: str, rows_back: int,
     tails = df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rows_back).drop("_rank")
     ahead = Window.partitionBy(*series).orderBy(order).rowsBetween(1, rows_back)
     targets = F.array_remove(F.collect_set(BLOCK).over(ahead), F.col(BLOCK))
-    halo = tails.withColumn("_to", F.explode(targets)).withColumn(BLOCK, F.col("_to")).drop("_to")
+    halo = tails.withColumn("_to", targets).withColumn(BLOCK, F.explode("_to")).drop("_to")
     return df.withColumn(HALO, F.lit(False)).unionByName(halo.withColumn(HALO, F.lit(True)))
 
 
