@@ -45,6 +45,12 @@ def json_value(variant: Column, field: str, kind: str) -> Column:
     return F.try_variant_get(variant, f"$.{field}", "bigint" if kind == WHOLE else "string")
 
 
+def json_fields(variant: Column, fields: dict[str, str]) -> Column:
+    """All fields of a body as one struct; NULL where some value does not fit its type."""
+    kinds = ", ".join(f"{name}: {'bigint' if kind == WHOLE else 'string'}" for name, kind in fields.items())
+    return F.try_variant_get(variant, "$", f"struct<{kinds}>")
+
+
 def _literal_map(fields: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
 

@@ -18,13 +18,19 @@ def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
     return F.when(high > low, F.least(F.greatest(index, F.lit(0)), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
 
 
-def _select(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Locate the wanted ranks in ordered bins (``_bin, _n, _min, _max``) of each key.
+def _narrow(rows: DataFrame, bands: DataFrame, keys: Sequence[str], bin_: Column) -> DataFrame:
+    """Count each key's rows inside its band per bin and keep the bin holding the wanted rank.
 
-    Rank ``_rank`` (0-based, within the bins) and its successor either fall
+    Rank ``_rank`` (0-based, within the band) and its successor either fall
     into one bin, which becomes the next band, or into two neighbours, whose
-    touching ends are then the two wanted values.
+    touching ends are then the wanted values ``_v0`` and ``_v1``. A key whose
+    values are known is carried along in a single bin.
     """
+    within = attach_stats(rows, bands, keys, ["_v"]).filter(F.col("_v").between(F.col("_low"), F.col("_high")))
+    bin_ = F.when(F.col("_v0").isNull(), bin_)
+    counted = within.groupBy(*keys, "_rank", "_frac", "_v0", "_v1", bin_.alias("_bin")).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
+    )
     by_bin = Window.partitionBy(*keys).orderBy("_bin")
     placed = counted.withColumns(
         {
@@ -32,16 +38,20 @@ def _select(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
             "_next": F.lead("_min").over(by_bin),
         }
     ).filter((F.col("_cum") > F.col("_rank")) & (F.col("_cum") - F.col("_n") <= F.col("_rank")))
+    known = F.col("_v0").isNotNull()
     split = F.col("_cum") == F.col("_rank") + 1
     single = F.col("_min") == F.col("_max")
     return placed.select(
         *keys,
-        (F.col("_rank") - (F.col("_cum") - F.col("_n"))).alias("_rank"),
+        F.when(known, 0).otherwise(F.col("_rank") - (F.col("_cum") - F.col("_n"))).alias("_rank"),
         "_frac",
         F.col("_min").alias("_low"),
         F.col("_max").alias("_high"),
-        F.when(single | split, F.col("_max")).alias("_v0"),
-        F.when(split, F.coalesce("_next", "_max")).when(single, F.col("_max")).alias("_v1"),
+        F.when(known, F.col("_v0")).when(single | split, F.col("_max")).alias("_v0"),
+        F.when(known, F.col("_v1"))
+        .when(split, F.coalesce("_next", "_max"))
+        .when(single, F.col("_max"))
+        .alias("_v1"),
     )
 
 
@@ -51,19 +61,20 @@ def exact_quantile(
     value: str,
     q: float,
     into: str = "quantile",
-    bins: int = 1024,
-    levels: int = 2,
+    bins: int = 1 << 16,
+    levels: int = 1,
 ) -> DataFrame:
     """One row per key with the linearly interpolated quantile of its non-NULL values.
 
     Selection by counting: each level counts a key's values in ``bins`` bins
-    (partial counts, at most ``bins`` rows per key and task leave a stage) and
-    keeps the bin holding the wanted rank, so the band shrinks by about
-    ``bins`` per level. The rest is counted per distinct value. Exact whatever
-    the values are; ``levels`` only decides how small the last band gets.
+    (partial counts; at most ``bins`` rows per key leave a task) and keeps the
+    bin holding the wanted rank, so the band shrinks by up to ``bins`` per
+    level. The rest is counted per distinct value. Exact whatever the values
+    are; more ``levels`` only make the last band smaller.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    position = (F.col("_count") - 1) * F.lit(q)
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    position = (F.col("_count") - 1) * F.lit(float(q))
+    unknown = F.lit(None).cast("double")
     bands = (
         rows.groupBy(*keys)
         .agg(F.count("*").alias("_count"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
@@ -73,24 +84,14 @@ def exact_quantile(
             (position - F.floor(position)).alias("_frac"),
             "_low",
             "_high",
-            F.lit(None).cast("double").alias("_v0"),
-            F.lit(None).cast("double").alias("_v1"),
+            unknown.alias("_v0"),
+            unknown.alias("_v1"),
         )
     )
-    found = None
-    for level in range(levels + 1):
-        within = attach_stats(rows, bands.filter(F.col("_v0").isNull()).drop("_v0", "_v1"), keys, ["_v"])
-        within = within.filter(F.col("_v").between(F.col("_low"), F.col("_high")))
-        last = level == levels
-        bin_ = F.col("_v") if last else bin_of(F.col("_v"), F.col("_low"), F.col("_high"), bins)
-        counted = (
-            within.groupBy(*keys, "_rank", "_frac", bin_.alias("_bin"))
-            .agg(F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-        )
-        bands = _select(counted, keys)
-        done = bands.filter(F.col("_v0").isNotNull()).select(*keys, "_frac", "_v0", "_v1")
-        found = done if found is None else found.unionByName(done)
-    return found.select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias(into))
+    for _ in range(levels):
+        bands = _narrow(rows, bands, keys, bin_of(F.col("_v"), F.col("_low"), F.col("_high"), bins))
+    bands = _narrow(rows, bands, keys, F.col("_v"))
+    return bands.select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias(into))
 
 
 def density_histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int = 50) -> DataFrame:

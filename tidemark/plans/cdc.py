@@ -5,7 +5,9 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
+from tidemark.functions.events import evaluate_once
 from tidemark.operators.keyed import DELETE, as_of, latest_by_key, snapshot
 from tidemark.schemas import CHANGE_ENVELOPE, STOCK_TRADES_KEY
 
@@ -19,13 +21,9 @@ CHANGE_ORDER = ["lsn", "ts_ms"]
 def decode_decimal(text: Column, precision: int = 12, scale: int = 2) -> Column:
     """Decimal from base64 of the unscaled big-endian two's-complement integer (up to 8 bytes)."""
     digits = F.hex(F.unbase64(text))
-    unsigned = F.conv(digits, 16, 10).cast("decimal(20,0)")
-    # 256^k by byte count k: the wrap-around of a negative number.
-    wraps = F.array(*[F.lit(str(256**k)).cast("decimal(20,0)") for k in range(1, 9)])
-    width = F.length(digits) / 2
-    negative = F.substring(digits, 1, 1) >= "8"
-    signed = F.when(negative, unsigned - F.element_at(wraps, width.cast("int"))).otherwise(unsigned)
-    return (signed * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
+    sign = F.when(digits >= "8", "F").otherwise("0")
+    unscaled = F.conv(F.lpad(digits, F.lit(16), sign), 16, -10).cast("decimal(20,0)")
+    return (unscaled * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
 
 
 def decode_envelopes(records: DataFrame, body: str = "value") -> DataFrame:
@@ -33,9 +31,11 @@ def decode_envelopes(records: DataFrame, body: str = "value") -> DataFrame:
 
     Bodies that are no envelope (no operation) come out with ``op`` NULL.
     """
-    bare = F.coalesce(F.get_json_object(F.col(body), "$.payload"), F.col(body))
-    parsed = records.withColumn("_e", F.from_json(bare, CHANGE_ENVELOPE))
-    return parsed.select(*[c for c in records.columns if c != body], "_e.*")
+    # One parse serves both forms: a wrapped body fills ``payload``, a bare one the fields beside it.
+    parsed = evaluate_once(records, "_e", F.from_json(F.col(body), StructType([StructField("payload", CHANGE_ENVELOPE), *CHANGE_ENVELOPE])))
+    wrapped = F.col("_e.payload").isNotNull()
+    fields = [F.when(wrapped, F.col(f"_e.payload.{f}")).otherwise(F.col(f"_e.{f}")).alias(f) for f in CHANGE_ENVELOPE.names]
+    return parsed.select(*[c for c in records.columns if c != body], *fields)
 
 
 def of_table(envelopes: DataFrame, schema: str = SOURCE_SCHEMA, table: str = SOURCE_TABLE) -> DataFrame:

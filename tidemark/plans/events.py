@@ -49,13 +49,12 @@ def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:
         .otherwise(_field_error(types, E.required_of(F.col("event_type")), E.kinds_of(F.col("event_type"))))
     )
     own = {f: [n for n, (req, opt) in E.EVENT_FIELDS.items() if f in req | opt] for f in _ALL_FIELDS}
-    fields = [
-        F.when(F.col("event_type").isin(*own[f]), E.json_value(v, f, kind)).alias(f) for f, kind in _ALL_FIELDS.items()
-    ]
+    fields = [F.when(F.col("event_type").isin(*own[f]), F.col(f"_fields.{f}")).alias(f) for f in _ALL_FIELDS]
     passed = [c for c in raw.columns if c not in _ALL_FIELDS and c != "event_type"]
     tagged = E.evaluate_once(_typed_bodies(raw.select(*passed), body), "event_type", tag)
     checked = E.evaluate_once(tagged, "error", error)
-    return checked.select(*passed, "event_type", *fields, "error")
+    opened = E.evaluate_once(checked, "_fields", E.json_fields(v, _ALL_FIELDS))
+    return opened.select(*passed, "event_type", *fields, "error")
 
 
 def valid_events(parsed: DataFrame, body: str = "value") -> DataFrame:
@@ -118,7 +117,8 @@ def parse_normalized(records: DataFrame, body: str = "value") -> DataFrame:
     )
     passed = [c for c in records.columns if c not in fields]
     checked = E.evaluate_once(_typed_bodies(records.select(*passed), body), "error", error)
-    return checked.select(*passed, *[E.json_value(v, f, fields[f]).alias(f) for f in NORMALIZED_EVENT.names], "error")
+    opened = E.evaluate_once(checked, "_fields", E.json_fields(v, fields))
+    return opened.select(*passed, *[F.col(f"_fields.{f}").alias(f) for f in NORMALIZED_EVENT.names], "error")
 
 
 def reply(events: DataFrame, topic: str) -> DataFrame:

@@ -477,7 +477,11 @@ def conditional_volatility(series: Series, params: DataFrame, model: Model, into
 
 
 def volatilities(series: Series, garch: DataFrame, egarch: DataFrame) -> DataFrame:
-    """GARCH and EGARCH volatility per date; where no EGARCH exists the GARCH series stands in."""
+    """GARCH and EGARCH volatility per date; where no EGARCH exists the GARCH series stands in.
+
+    Written once: what follows reads the series several times.
+    """
     g = conditional_volatility(series, garch, GARCH, "garch_vol")
     e = conditional_volatility(series, egarch, EGARCH, "egarch_vol")
-    return g.join(e, ["ticker", "date"], "left").withColumn("egarch_vol", F.coalesce("egarch_vol", "garch_vol"))
+    both = g.join(e, ["ticker", "date"], "left").withColumn("egarch_vol", F.coalesce("egarch_vol", "garch_vol"))
+    return cut_lineage(both, "volatilities")
