@@ -130,7 +130,7 @@ NO_ROOM, TEXT_TIME, CUT_SHORT, NUMBER_USER, SILENT, LATE_COPY = 13, 17, 19, 23,
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """JSON bodies of chat, join, leave, reaction and unknown events, some of them faulty."""
-    e = evaluate_once(table(spark, folder, "events"), "k", F.get_json_object("props", "$.k").cast("bigint"))
+    e = evaluate_once(table(spark, folder, "events"), k=F.get_json_object("props", "$.k").cast("bigint"))
     kind = F.col("event_type")
     k = F.col("k")
     tag = (
@@ -210,7 +210,7 @@ SYMBOLS = ["AAPL", "GOOG", "MSFT", "AMZN", "TSLA"]
 
 def envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """Change envelopes of a trades table keyed by user, wrapped beside a schema when k is below 50."""
-    e = evaluate_once(table(spark, folder, "events"), "k", F.get_json_object("props", "$.k").cast("bigint"))
+    e = evaluate_once(table(spark, folder, "events"), k=F.get_json_object("props", "$.k").cast("bigint"))
     kind = F.col("event_type")
     op = F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u")
     cents = F.round(F.col("value") * 100).cast("bigint")

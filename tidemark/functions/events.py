@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed fields of the four event variants: required, then optional.
 TEXT, WHOLE = "STRING", "BIGINT"
@@ -85,13 +85,14 @@ def normalized_kinds() -> Column:
     return _literal_map(NORMALIZED_REQUIRED | NORMALIZED_OPTIONAL)
 
 
-def evaluate_once(df, name: str, value: Column):
-    """Add a column computed once per row.
+def evaluate_once(df: DataFrame, **values: Column) -> DataFrame:
+    """Add columns computed once per row.
 
-    Written as a one-element generator: the optimizer does not inline it into
-    the many expressions that use it, nor push filters on them below it.
+    Written as a one-element generator: the optimizer does not inline the
+    values into the many expressions that use them, nor push filters below it.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return df.select("*", F.inline(F.array(row)))
 
 
 def json_object(**fields: Column) -> Column:

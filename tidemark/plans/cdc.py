@@ -31,8 +31,9 @@ def decode_envelopes(records: DataFrame, body: str = "value") -> DataFrame:
 
     Bodies that are no envelope (no operation) come out with ``op`` NULL.
     """
+    both = StructType([StructField("payload", CHANGE_ENVELOPE), *CHANGE_ENVELOPE])
     # One parse serves both forms: a wrapped body fills ``payload``, a bare one the fields beside it.
-    parsed = evaluate_once(records, "_e", F.from_json(F.col(body), StructType([StructField("payload", CHANGE_ENVELOPE), *CHANGE_ENVELOPE])))
+    parsed = evaluate_once(records, _e=F.from_json(F.col(body), both))
     wrapped = F.col("_e.payload").isNotNull()
     fields = [F.when(wrapped, F.col(f"_e.payload.{f}")).otherwise(F.col(f"_e.{f}")).alias(f) for f in CHANGE_ENVELOPE.names]
     return parsed.select(*[c for c in records.columns if c != body], *fields)

@@ -24,10 +24,11 @@ def _field_error(types: Column, required: Column, kinds: Column) -> Column:
     )
 
 
-def _typed_bodies(raw: DataFrame, body: str) -> DataFrame:
-    """Add the parsed body and its field types, each computed once per row."""
-    parsed = E.evaluate_once(raw, "_v", F.try_parse_json(F.col(body)))
-    return E.evaluate_once(parsed, "_types", E.field_types(F.col("_v")))
+def _opened_bodies(raw: DataFrame, body: str, fields: dict[str, str], **more: Column) -> DataFrame:
+    """Add the parsed body ``_v``, its field types and its fields, each computed once per row."""
+    v = F.col("_v")
+    parsed = E.evaluate_once(raw, _v=F.try_parse_json(F.col(body)))
+    return E.evaluate_once(parsed, _types=E.field_types(v), _fields=E.json_fields(v, fields), **more)
 
 
 def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:
@@ -36,25 +37,23 @@ def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:
     Strict about types: a string where a whole number belongs (or the other
     way round) is an error; unknown keys are ignored.
     """
-    v, types = F.col("_v"), F.col("_types")
+    v, types, tag = F.col("_v"), F.col("_types"), F.col("_tag")
     tag_type = F.element_at(types, F.lit("event_type"))
-    tag = F.when(tag_type == E.TEXT, E.json_value(v, "event_type", E.TEXT))
-    known = F.col("event_type").isin(*E.EVENT_FIELDS)
+    known = tag.isin(*E.EVENT_FIELDS)
     error = (
         F.when(v.isNull(), "malformed_json")
         .when(types.isNull(), "not_an_object")
         .when(F.coalesce(tag_type, F.lit("VOID")) == "VOID", "missing_field:event_type")
         .when(tag_type != E.TEXT, "wrong_type:event_type")
         .when(~known, "unknown_event_type")
-        .otherwise(_field_error(types, E.required_of(F.col("event_type")), E.kinds_of(F.col("event_type"))))
+        .otherwise(_field_error(types, E.required_of(tag), E.kinds_of(tag)))
     )
     own = {f: [n for n, (req, opt) in E.EVENT_FIELDS.items() if f in req | opt] for f in _ALL_FIELDS}
-    fields = [F.when(F.col("event_type").isin(*own[f]), F.col(f"_fields.{f}")).alias(f) for f in _ALL_FIELDS]
+    fields = [F.when(tag.isin(*own[f]), F.col(f"_fields.{f}")).alias(f) for f in _ALL_FIELDS]
     passed = [c for c in raw.columns if c not in _ALL_FIELDS and c != "event_type"]
-    tagged = E.evaluate_once(_typed_bodies(raw.select(*passed), body), "event_type", tag)
-    checked = E.evaluate_once(tagged, "error", error)
-    opened = E.evaluate_once(checked, "_fields", E.json_fields(v, _ALL_FIELDS))
-    return opened.select(*passed, "event_type", *fields, "error")
+    opened = _opened_bodies(raw.select(*passed), body, _ALL_FIELDS, _tag=E.json_value(v, "event_type", E.TEXT))
+    event_type = F.when(tag_type == E.TEXT, tag).alias("event_type")
+    return opened.select(*passed, event_type, *fields, error.alias("error"))
 
 
 def valid_events(parsed: DataFrame, body: str = "value") -> DataFrame:
@@ -116,9 +115,9 @@ def parse_normalized(records: DataFrame, body: str = "value") -> DataFrame:
         .otherwise(_field_error(types, E.normalized_required(), E.normalized_kinds()))
     )
     passed = [c for c in records.columns if c not in fields]
-    checked = E.evaluate_once(_typed_bodies(records.select(*passed), body), "error", error)
-    opened = E.evaluate_once(checked, "_fields", E.json_fields(v, fields))
-    return opened.select(*passed, *[F.col(f"_fields.{f}").alias(f) for f in NORMALIZED_EVENT.names], "error")
+    opened = _opened_bodies(records.select(*passed), body, fields)
+    values = [F.col(f"_fields.{f}").alias(f) for f in NORMALIZED_EVENT.names]
+    return opened.select(*passed, *values, error.alias("error"))
 
 
 def reply(events: DataFrame, topic: str) -> DataFrame:
