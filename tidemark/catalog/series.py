@@ -8,6 +8,7 @@ from tidemark.catalog import views as V
 from tidemark.functions import returns as R
 from tidemark.operators import distribution as D, ordering as O
 from tidemark.plans import garch as G, volatility as P
+from tidemark.session import cut_lineage
 from tidemark.sources.tables import scan_bars
 
 START, END = "1996-01-01", "2000-01-01"
@@ -51,7 +52,8 @@ def ts_rolling(spark, d):
 
 
 def ts_quantile(spark, d):
-    return V.rounded(D.exact_quantile(_abs_vol(spark, d), P.SERIES, "vol", R.REGIME_QUANTILE), 9)
+    sizes = cut_lineage(_abs_vol(spark, d).select(*P.SERIES, "vol"), "sizes")
+    return V.rounded(D.exact_quantile(sizes, P.SERIES, "vol", R.REGIME_QUANTILE), 9)
 
 
 def ts_regimes(spark, d):
@@ -96,7 +98,7 @@ def ts_sample(spark, d):
 
 
 def _prepared(spark, d):
-    returns = _returns(spark, d).select("ticker", "date", "close", "log_return")
+    returns = cut_lineage(_returns(spark, d).select("ticker", "date", "close", "log_return"), "returns")
     return returns, G.prepare(returns)
 
 

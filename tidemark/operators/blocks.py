@@ -12,10 +12,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import cut_lineage
+
 BLOCK_DAYS = 1024
 BLOCK = "_block"
 HALO = "_halo"
 
+# A row of per-key values is a few numbers: this many stay within some 20 MB.
+BROADCAST_ROWS = 100_000
+SALTS = 64
+
 
 def block_of(order: str, days: int = BLOCK_DAYS) -> Column:
     """Number of the block a date or timestamp falls into."""
@@ -48,13 +54,27 @@ def without_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(HALO, BLOCK)
 
 
-def attach_stats(rows: DataFrame, stats: DataFrame, on: Sequence[str], spread: Sequence[str], salts: int = 16) -> DataFrame:
-    """Put per-key values (one row per key) onto ``rows``.
-
-    ``rows`` may hold a third of its rows under one key: the key is salted by
-    ``spread`` and each stats row is repeated once per salt. Adaptive execution
-    still turns this into a broadcast when ``stats`` measures small.
+def attach_stats(
+    rows: DataFrame,
+    stats: DataFrame,
+    on: Sequence[str],
+    spread: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
+    written: bool = False,
+) -> DataFrame:
+    """Put per-key values (one narrow row per key) onto ``rows``.
+
+    The per-key table is written and counted first (pass ``written`` if it
+    already is a stored table). Up to ``broadcast_rows`` keys it is broadcast
+    and ``rows``, of which one key may hold a third, are not shuffled. Beyond
+    that the key is salted by ``spread`` with a stats row per salt; adaptive
+    execution splits what is still skewed.
     """
+    if not written:
+        stats = cut_lineage(stats, "per-key")
+    if stats.count() <= broadcast_rows:
+        return rows.join(F.broadcast(stats), list(on))
     salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = rows.withColumn("_salt", F.pmod(F.hash(*spread), F.lit(salts)))
     return keyed.join(salted, [*on, "_salt"]).drop("_salt")

@@ -42,7 +42,6 @@ BACKCAST_ROWS = 75
 BACKCAST_DECAY = 0.94
 DISTRIBUTIONS = ("normal", "ged", "t")
 
-SALTS = 16
 SEARCH_SWEEPS = 3
 GAIN_TOLERANCE = 1e-6
 SEAM_TOLERANCE = 1e-12
@@ -84,10 +83,6 @@ class Series:
     stats: DataFrame
     max_blocks: int
 
-    @property
-    def salts(self) -> int:
-        return min(SALTS, self.max_blocks)
-
     def spread(self, rows: DataFrame) -> DataFrame:
         """Even out compute: partitions by count of blocks, not by their (small) bytes."""
         return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "ticker", "seq")
@@ -95,25 +90,25 @@ class Series:
 
 def prepare(returns: DataFrame, block_days: int = BLOCK_DAYS) -> Series:
     """Cut the ``log_return`` series into blocks, scaled to percent, and write them once."""
-    r = returns.select("ticker", "date", (F.col("log_return") * R.PERCENT).alias("r"))
-    early = Window.partitionBy("ticker").orderBy("date")
-    head = r.withColumn("_i", F.row_number().over(early)).filter(F.col("_i") <= BACKCAST_ROWS)
+    packed = (
+        returns.select("ticker", "date", (F.col("log_return") * R.PERCENT).alias("r"), block_of("date", block_days).alias("_block"))
+        .groupBy("ticker", "_block")
+        .agg(F.sort_array(F.collect_list(F.struct("date", "r"))).alias("rows"))
+        .select("ticker", "_block", F.col("rows.date").alias("dates"), F.col("rows.r").alias("r"))
+    )
+    # The returns are computed once, for the blocks; everything else reads those back.
+    packed = cut_lineage(packed, "garch-blocks")
+    r = packed.select("ticker", "_block", F.posexplode("r").alias("_pos", "r"))
     moments = r.groupBy("ticker").agg(
         F.count("*").alias("n"), F.avg("r").alias("mean"), F.var_samp("r").alias("var")
     )
+    early = Window.partitionBy("ticker").orderBy("_block", "_pos")
+    head = r.withColumn("_i", F.row_number().over(early)).filter(F.col("_i") <= BACKCAST_ROWS)
     weight = F.pow(F.lit(BACKCAST_DECAY), F.col("_i") - 1)
     backcast = head.join(moments, "ticker").groupBy("ticker").agg(
         (F.sum(weight * F.pow(F.col("r") - F.col("mean"), 2)) / F.sum(weight)).alias("backcast")
     )
     stats = cut_lineage(moments.join(backcast, "ticker"), "garch-stats")
-    packed = (
-        r.withColumn("_block", block_of("date", block_days))
-        .groupBy("ticker", "_block")
-        .agg(F.sort_array(F.collect_list(F.struct("date", "r"))).alias("rows"))
-    )
-    packed = cut_lineage(
-        packed.select("ticker", "_block", F.col("rows.date").alias("dates"), F.col("rows.r").alias("r")), "garch-blocks"
-    )
     per_ticker = Window.partitionBy("ticker")
     numbered = packed.select("ticker", "_block").withColumns(
         {
@@ -248,7 +243,7 @@ def _score_pass(rows: DataFrame, model: Model, dist: str, design: np.ndarray) ->
 def _score(series: Series, blocks: DataFrame, state: DataFrame, model: Model, dist: str, design: np.ndarray) -> DataFrame:
     """Log-likelihood per ticker and design point, summed over the blocks."""
     points = state.select("ticker", "center", "radius", "mean", "var", "backcast")
-    rows = series.spread(attach_stats(blocks, points, ["ticker"], ["seq"], series.salts))
+    rows = series.spread(attach_stats(blocks, points, ["ticker"], ["seq"], written=True))
     scored = _score_pass(rows.withColumn("start", F.lit(None).cast("array<double>")), model, dist, design)
     for _ in range(min(series.max_blocks, SEARCH_SWEEPS) - 1):
         seams = scored.select("ticker", (F.col("seq") + 1).alias("seq"), F.col("ends").alias("start"))
@@ -317,7 +312,7 @@ def _search_long(series: Series, stats: DataFrame, model: Model, dist: str, coar
     def constant(v: float):
         return F.array(*[F.lit(float(v))] * len(radius))
 
-    state = stats.join(blocks.filter("seq = 0").select("ticker"), "ticker", "left_semi").select(
+    first = stats.join(blocks.filter("seq = 0").select("ticker"), "ticker", "left_semi").select(
         "ticker",
         "mean",
         "var",
@@ -329,7 +324,7 @@ def _search_long(series: Series, stats: DataFrame, model: Model, dist: str, coar
         F.lit(0.0).alias("gain"),
         F.lit(False).alias("settled"),
     )
-    done = []
+    state, done = cut_lineage(first, f"{model.name}-start"), []
     for round_ in range(max_rounds):
         design = coarse if round_ == 0 else local
         scores = _score(series, blocks, state, model, dist, design)
@@ -450,7 +445,7 @@ def conditional_volatility(series: Series, params: DataFrame, model: Model, into
     """
     usable = params.select("ticker", *model.params).na.drop()
     stats = usable.join(series.stats.select("ticker", "backcast"), "ticker")
-    rows = series.spread(attach_stats(series.blocks.drop("n_blocks"), stats, ["ticker"], ["seq"], series.salts))
+    rows = series.spread(attach_stats(series.blocks.drop("n_blocks"), stats, ["ticker"], ["seq"]))
     nothing = F.lit(float("nan"))
     paths = _paths(rows.withColumn("start", nothing), model)
     if series.max_blocks > 1:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions import returns as R
 from tidemark.operators.blocks import BLOCK_DAYS, attach_stats, block_window, with_halo, without_halo
 from tidemark.operators.distribution import exact_quantile
+from tidemark.session import cut_lineage
 
 SERIES = ["ticker"]
 
@@ -88,7 +89,11 @@ def vol_profile(series: DataFrame, value: str) -> DataFrame:
 
 
 def with_regime(series: DataFrame, value: str, q: float = R.REGIME_QUANTILE) -> DataFrame:
-    """Label each row by whether its volatility is above the ticker's own quantile."""
+    """Label each row by whether its volatility is above the ticker's own quantile.
+
+    The quantile passes over its input several times, so the series is written once first.
+    """
+    series = cut_lineage(series, "series")
     threshold = exact_quantile(series, SERIES, value, q, into="vol_threshold")
     marked = attach_stats(series, threshold, SERIES, ["date"])
     return marked.withColumn("vol_regime", R.regime_label(F.col(value), F.col("vol_threshold")))
