@@ -152,3 +152,23 @@ def test_time_partitions_prune(spark, bars, tmp_path):
     one = spark.read.parquet(str(tmp_path / "bars")).filter(F.col(part) == "2021")
     assert one.count() == bars.filter("year(date) = 2021").count()
     assert "PartitionFilters: [isnotnull(date_year" in one._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_latest_per_group_with_a_hot_group(spark, n):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(99).alias("g"), "id")
+    got = O.latest_per_group(df, ["g"], [F.desc("id")], n).toPandas()
+    want = df.toPandas().sort_values("id", ascending=False).groupby("g").head(n)
+    assert sorted(got.id) == sorted(want.id)
+
+
+def test_per_key_values_salted_and_broadcast_agree(spark):
+    from tidemark.operators.blocks import attach_stats
+
+    rows = spark.range(500).select((F.col("id") % 3).alias("k"), "id")
+    stats = rows.groupBy("k").agg(F.max("id").alias("top"))
+    sides = [attach_stats(rows, stats, ["k"], ["id"], broadcast_rows=limit) for limit in (0, 10)]
+    a, b = (sorted(map(tuple, df.select("k", "id", "top").collect())) for df in sides)
+    assert a == b and len(a) == 500
+    assert "BroadcastExchange" in sides[1]._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in sides[0]._jdf.queryExecution().executedPlan().toString()

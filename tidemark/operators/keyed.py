@@ -81,12 +81,14 @@ def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], ordering: str
     value wins, the incoming row on a tie.
     """
     batch = precombine(batch, keys, ordering)
+    untouched = base.join(batch.select(*keys), list(keys), "left_anti")
     if mode == "commit_time":
-        kept = base.join(batch.select(*keys), list(keys), "left_anti")
-        return concat_by_name(kept, batch)
+        return concat_by_name(untouched, batch)
     if mode == "event_time":
-        both = concat_by_name(base.withColumn("_in", F.lit(0)), batch.withColumn("_in", F.lit(1)))
-        return latest_by_key(both, keys, [ordering, "_in"]).drop("_in")
+        # Only stored rows with a key in the batch compete; the rest of the base is not reduced.
+        stored = base.join(batch.select(*keys), list(keys), "left_semi").withColumn("_in", F.lit(0))
+        both = concat_by_name(stored, batch.withColumn("_in", F.lit(1)))
+        return concat_by_name(untouched, latest_by_key(both, keys, [ordering, "_in"]).drop("_in"))
     raise ValueError(f"unknown upsert mode: {mode}")
 
 

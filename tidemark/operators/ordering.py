@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.blocks import SALTS
+
+# Spark's default bound for cutting ranked groups before the shuffle.
+EARLY_CUT_ROWS = 1000
+
 
 def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
     """``n`` rows in reproducible random order: a keyed hash replaces RANDOM(), so a retry picks the same rows.
@@ -28,8 +33,14 @@ def latest_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
     """The ``n`` first rows of each group by ``order``.
 
     The rank filter lets Spark cut every group to ``n`` rows per task before
-    the shuffle, so a hot group arrives as a handful of rows.
+    the shuffle, so a hot group arrives as a handful of rows. Spark does so up
+    to ``EARLY_CUT_ROWS``; above, salted parts of each group are cut first
+    (the ``n`` first of a group are among the ``n`` first of its parts).
     """
+    if n > EARLY_CUT_ROWS:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        part = F.row_number().over(Window.partitionBy(*group, "_salt").orderBy(*order))
+        df = salted.withColumn("_rank", part).filter(F.col("_rank") <= n).drop("_rank", "_salt")
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 

@@ -244,11 +244,17 @@ class KeyedTable:
         return kept.unionByName(last.filter(F.col(OP) != K.DELETE).drop(OP))
 
     def _merge_by_event_time(self, base: DataFrame, log: DataFrame) -> DataFrame:
-        """Greatest ordering value among the rows written after a key's last delete."""
+        """Greatest ordering value among the rows written after a key's last delete.
+
+        Only base rows whose key the log holds are compared; the others pass through unshuffled
+        when the log's keys measure small enough to broadcast.
+        """
+        touched = log.select(*self.keys).distinct()
         dead = log.filter(F.col(OP) == K.DELETE).groupBy(*self.keys).agg(F.max(COMMIT).alias("_dead"))
-        rows = base.unionByName(log.filter(F.col(OP) != K.DELETE).drop(OP))
+        rows = base.join(touched, self.keys, "left_semi").unionByName(log.filter(F.col(OP) != K.DELETE).drop(OP))
         alive = rows.join(dead, self.keys, "left").filter(F.col("_dead").isNull() | (F.col(COMMIT) > F.col("_dead")))
-        return K.latest_by_key(alive.drop("_dead"), self.keys, [self.ordering, COMMIT])
+        winners = K.latest_by_key(alive.drop("_dead"), self.keys, [self.ordering, COMMIT])
+        return base.join(touched, self.keys, "left_anti").unionByName(winners)
 
     def snapshot(self, as_of: str | None = None, meta: bool = False) -> DataFrame:
         """Latest live row per key, or as it stood after commit ``as_of``."""
