@@ -60,6 +60,16 @@ def test_rolling_matches_pandas(bars, frame, days):
     assert got[got.ticker == "B"].r_ma.isna().all()
 
 
+@pytest.mark.parametrize("days", [0.25 / 24, 0.5, 30])
+def test_intraday_blocks(spark, days):
+    rng = np.random.default_rng(4)
+    stamps = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.cumsum(rng.integers(1, 4000, 200)), unit="s")
+    pdf = pd.DataFrame({"ticker": "A", "date": stamps, "v": rng.normal(size=200)})
+    df = spark.createDataFrame(pdf).withColumn("date", F.col("date").cast("timestamp"))
+    got = collected(P.rolling(df, "v", "r", rows=5, block_days=days))
+    np.testing.assert_allclose(got.r_ma.astype(float), pdf.v.rolling(5).mean().values, rtol=1e-9, equal_nan=True)
+
+
 def test_null_close_is_dropped_before_rolling(spark, bars):
     holes = bars.withColumn("close", F.when(F.col("volume") != 50, F.col("close")))
     got = P.log_returns(holes, 16)

@@ -1,9 +1,10 @@
 """Series split into time blocks, so that one long series is many tasks' work.
 
 A window over a whole series puts it into one task. Here a series is cut into
-blocks of ``days`` calendar days; a block holds at most one row per distinct
-order value, so its size is bounded by its length. Frames reaching back across
-a block's start see a halo: copies of the last rows before it.
+blocks of ``days`` calendar days (a fraction for intraday series); a block
+holds at most one row per distinct order value, so its size is bounded by its
+length. Frames reaching back across a block's start see a halo: copies of the
+last rows before it.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ BROADCAST_ROWS = 100_000
 SALTS = 64
 
 
-def block_of(order: str, days: int = BLOCK_DAYS) -> Column:
+def block_of(order: str, days: float = BLOCK_DAYS) -> Column:
     """Number of the block a date or timestamp falls into."""
-    return F.floor(F.unix_date(F.col(order).cast("date")) / days).cast("int")
+    return F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / F.lit(float(days * 86_400))).cast("bigint")
 
 
-def with_halo(df: DataFrame, series: Sequence[str], order: str, rows_back: int, days: int = BLOCK_DAYS) -> DataFrame:
+def with_halo(df: DataFrame, series: Sequence[str], order: str, rows_back: int, days: float = BLOCK_DAYS) -> DataFrame:
     """Add ``_block`` and, flagged ``_halo``, the ``rows_back`` rows that precede each block of a series.
 
     Only the last ``rows_back`` rows of any block can be needed by a later one

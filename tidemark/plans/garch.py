@@ -88,7 +88,7 @@ class Series:
         return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "ticker", "seq")
 
 
-def prepare(returns: DataFrame, block_days: int = BLOCK_DAYS) -> Series:
+def prepare(returns: DataFrame, block_days: float = BLOCK_DAYS) -> Series:
     """Cut the ``log_return`` series into blocks, scaled to percent, and write them once."""
     packed = (
         returns.select("ticker", "date", (F.col("log_return") * R.PERCENT).alias("r"), block_of("date", block_days).alias("_block"))

@@ -12,7 +12,7 @@ from tidemark.session import cut_lineage
 SERIES = ["ticker"]
 
 
-def log_returns(bars: DataFrame, block_days: int = BLOCK_DAYS) -> DataFrame:
+def log_returns(bars: DataFrame, block_days: float = BLOCK_DAYS) -> DataFrame:
     """Bars with ``log_return``; rows with any undefined column (the first of a series) are dropped."""
     blocks = with_halo(bars, SERIES, "date", rows_back=1, days=block_days)
     previous = F.lag("close").over(block_window(SERIES, "date"))
@@ -51,7 +51,7 @@ def moments(returns: DataFrame) -> DataFrame:
     )
 
 
-def rolling(series: DataFrame, value: str, prefix: str, rows: int = R.ROLLING_ROWS, block_days: int = BLOCK_DAYS) -> DataFrame:
+def rolling(series: DataFrame, value: str, prefix: str, rows: int = R.ROLLING_ROWS, block_days: float = BLOCK_DAYS) -> DataFrame:
     """Rolling mean, deviation, population skewness, dispersion and bands; NULL until ``rows`` values exist."""
     blocks = with_halo(series, SERIES, "date", rows_back=rows - 1, days=block_days)
     frame = block_window(SERIES, "date").rowsBetween(-(rows - 1), 0)
