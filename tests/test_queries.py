@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {n: q for n, q in entry.queries().items() if n in entry.CATALOG}, entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
