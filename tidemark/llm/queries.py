@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import langid, pii, quality
+from tidemark.llm import langid, pii, quality, simhash
 
 QUERIES = {
     "op1_pii": (pii.query, None),
+    "op5_simhash": (simhash.query, None),
     "op6_quality_rules": (quality.query, None),
     "op8_language_id": (langid.query, None),
 }
