@@ -95,3 +95,14 @@ def mix(keys: np.ndarray, salt: int = 0) -> np.ndarray:
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return h ^ (h >> np.uint64(31))
+
+
+_ONCE: dict[str, tuple] = {}
+
+
+def once(slot: str, name: str, build):
+    """What ``build`` makes, kept by the worker process while ``slot`` is asked for the same ``name``."""
+    if _ONCE.get(slot, ("",))[0] != name:
+        _ONCE.pop(slot, None)
+        _ONCE[slot] = (name, build())
+    return _ONCE[slot][1]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import langid, pii, quality, simhash
+from tidemark.llm import decontaminate, langid, lm, pii, quality, simhash
 
 QUERIES = {
     "op1_pii": (pii.query, None),
     "op5_simhash": (simhash.query, None),
     "op6_quality_rules": (quality.query, None),
     "op8_language_id": (langid.query, None),
+    "op9_lm_scores": (lm.query, None),
+    "op10_decontamination": (decontaminate.query, None),
 }
