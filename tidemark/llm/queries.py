@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, langid, lm, pii, quality, simhash, urlfilter
+from tidemark.llm import bpe, decontaminate, langid, lm, packing, pii, quality, simhash, urlfilter
 
 QUERIES = {
     "op1_pii": (pii.query, None),
     "op2_url_filter": (urlfilter.query, urlfilter.SQL),
+    "op3_packing": (packing.query, None),
     "op4_bpe": (bpe.query, None),
     "op5_simhash": (simhash.query, None),
     "op6_quality_rules": (quality.query, None),
