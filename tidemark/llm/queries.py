@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, langid, lm, packing, pii, quality, simhash, urlfilter
+from tidemark.llm import bpe, decontaminate, langid, lm, packing, pii, quality, simhash, suffixes, urlfilter
 
 QUERIES = {
     "op1_pii": (pii.query, None),
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": (bpe.query, None),
     "op5_simhash": (simhash.query, None),
     "op6_quality_rules": (quality.query, None),
+    "op7_repeated_passages": (suffixes.query, None),
     "op8_language_id": (langid.query, None),
     "op9_lm_scores": (lm.query, None),
     "op10_decontamination": (decontaminate.query, None),
