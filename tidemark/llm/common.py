@@ -13,17 +13,32 @@ from tidemark.session import ensure_session
 
 # Text of one slice handed to Python code; a single longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
+# Rows of an Arrow batch: Spark's own limit counts rows only, and a row is a whole text here.
+BATCH_ROWS = 1000
 # Bits of a filter that one collected row holds.
 CHUNK_BITS = 1 << 16
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ensure_session(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return batched(ensure_session(spark).read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def batched(df: DataFrame) -> DataFrame:
+    """The frame; its session's Arrow batches hold ``BATCH_ROWS`` rows at most."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the key and the text, under fixed names: no other column of the caller can clash."""
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return batched(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def positional(df: DataFrame) -> DataFrame:
+    """The frame with columns named by position: no name of the caller's (dots, quotes) stands in the way."""
+    return batched(df).toDF(*[f"c{i}" for i in range(len(df.columns))])
 
 
 def fold(column: Column, folds: int) -> Column:

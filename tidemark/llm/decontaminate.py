@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import documents, id_text, once, slices, texts
+from tidemark.llm.common import documents, id_text, once, positional, slices, texts
 
 RATE = 0.1
 MIN_CHARS = 20
@@ -164,16 +164,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
     """The rows whose text holds no item; nothing is shuffled."""
-    out = docs
+    out = positional(docs)
+    column = out.columns[docs.columns.index(text_col)]
     for name, shared in _blocks(benchmark, item_id, item_text):
 
         def run(batches, name=name, shared=shared):
             matcher = _matcher(name, shared, rate)
-            for batch in slices(batches, text_col):
-                yield batch.filter(pa.array([not matcher.find(t) for t in texts(batch, text_col)]))
+            for batch in slices(batches, column):
+                yield batch.filter(pa.array([not matcher.find(t) for t in texts(batch, column)], pa.bool_()))
 
         out = out.mapInArrow(run, out.schema)
-    return out
+    return out.toDF(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tidemark.llm.common import documents, fold, mix, slices, texts
+from tidemark.llm.common import batched, documents, fold, mix, positional, slices, texts
 
 SLOTS = 1 << 20
 HASHES = 4
@@ -100,7 +100,7 @@ def _slot_rows(batches):
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of the rows that have a language; all of them count, without sampling."""
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
+    rows = batched(docs).select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     counted = rows.filter("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(_count, "lang string, gram long, n long")
     counts = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = counts.persist()  # lost blocks are counted again from the input
@@ -149,15 +149,17 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score`` added (a column of that name is replaced)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("lang_pred", "score")
+    plain = positional(kept)
+    column = plain.columns[kept.columns.index(text_col)]
 
     def run(batches):
-        for batch in slices(batches, text_col):
-            lang, score = _classify(shared.value, texts(batch, text_col))
+        for batch in slices(batches, column):
+            lang, score = _classify(shared.value, texts(batch, column))
             arrays = [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "score"])
 
-    schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return kept.mapInArrow(run, schema)
+    schema = StructType([*plain.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*kept.columns, "lang_pred", "score")
 
 
 def known_language(docs: DataFrame, folds: int = 4, held_out: int = 2, min_score: float = MIN_SCORE) -> DataFrame:

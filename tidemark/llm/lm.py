@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import documents, filter_bits, fold, has_bit, mix, once, slices, texts
+from tidemark.llm.common import batched, documents, filter_bits, fold, has_bit, mix, once, slices, texts
 from tidemark.session import cut_lineage
 
 END = b"\n"
@@ -133,7 +133,7 @@ def _unigram_keys(batches):
 
 def count_words(train: DataFrame) -> DataFrame:
     """Stored (word, n) of all tokens of the texts in ``text``."""
-    return cut_lineage(train.mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    return cut_lineage(batched(train).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
 
 
 def fit(train: DataFrame, words: DataFrame) -> Model:
@@ -233,7 +233,7 @@ def _score(model: Model, rows: list[str]):
 
 def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = batched(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

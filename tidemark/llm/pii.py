@@ -19,7 +19,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import documents, id_text, slices, texts, with_column
+from tidemark.llm.common import documents, id_text, positional, slices, texts, with_column
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "userinfo", "iban", "account", "key", "address")
@@ -177,12 +177,15 @@ def masked(text: str | None) -> str | None:
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with personal data in ``text_col`` masked; all columns and rows stay, a null text stays null."""
 
+    plain = positional(docs)
+    column = plain.columns[docs.columns.index(text_col)]
+
     def run(batches):
-        for batch in slices(batches, text_col):
-            done = [masked(t) for t in batch.column(text_col).to_pylist()]
-            yield with_column(batch, text_col, pa.array(done, batch.schema.field(text_col).type))
+        for batch in slices(batches, column):
+            done = [masked(t) for t in batch.column(column).to_pylist()]
+            yield with_column(batch, column, pa.array(done, batch.schema.field(column).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def of_kinds(*kinds: str) -> Column:

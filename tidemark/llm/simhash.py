@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from xxhash import xxh64_digest
 
-from tidemark.llm.common import documents, id_text, slices, texts
+from tidemark.llm.common import batched, documents, id_text, slices, texts
 from tidemark.llm.components import connected, join_values
 from tidemark.session import cut_lineage
 
@@ -140,7 +140,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """One row of each group of near-duplicates: that with the least key (a null key last), one of repeated rows."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    packed = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.struct(*columns).alias("_row"))
+    packed = batched(docs).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.struct(*columns).alias("_row"))
     table = cut_lineage(with_fingerprint(id_text(docs), "text", "fp", shingle), "simhash-rows")
     members = table.groupBy("fp", "doc_id").agg(F.count("*").alias("same"))
     members = members.join(groups(table, max_distance).select("fp", "root"), "fp")

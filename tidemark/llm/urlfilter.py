@@ -37,8 +37,8 @@ from tidemark.llm.common import filter_bits, has_bit, mix
 from tidemark.session import cut_lineage, ensure_session
 
 SHARD_KEYS = 1 << 24
-FIRST_BITS = 12  # per listed key
-NEXT_BITS = 2
+MAX_LEVELS = 200  # keys halve at each: beyond this two of them cannot be told apart
+NEXT_BITS = 2  # per key of a level after the first
 # The rules of the query, and the words that mark hosts to be blocked.
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 BLOCKED_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam", "track")
@@ -131,10 +131,11 @@ def build(listed: DataFrame, others: DataFrame) -> Cascade:
         n = inside.count()
         if not n:
             return Cascade(levels)
-        if len(levels) > 200:
+        if len(levels) > MAX_LEVELS:
             raise ValueError("two keys with the same 128-bit hash")
-        per_key = NEXT_BITS if levels else FIRST_BITS
-        bits, number = max(64, 1 << math.ceil(math.log2(n * per_key))), max(1, round(per_key * 0.7))
+        # The first level lets about as many others pass as there are listed keys, each later one half.
+        per_key = NEXT_BITS if levels else max(NEXT_BITS, 1.44 * math.log2(max(2, outside.count() / n)))
+        bits, number = max(64, math.ceil(n * per_key)), max(1, round(per_key * 0.7))
         level = len(levels)
         table = filter_bits(inside.mapInArrow(_level_rows(level, number, bits), "at long"), "at", bits)
         levels.append((bits, number, table))
