@@ -24,7 +24,8 @@ def simulate(kind, n, theta, seed):
         for _ in range(n):
             e = math.exp(s / 2) * rng.standard_normal()
             out.append(mu + e)
-            s = V.egarch_path_state(e, s, omega, alpha, gamma, beta)
+            z = e * math.exp(-s / 2)
+            s = omega + alpha * (abs(z) - math.sqrt(2 / math.pi)) + gamma * z + beta * s
     return np.array(out)
 
 
@@ -156,9 +157,45 @@ def test_missing_egarch_uses_the_garch_series(whole, fits, spark):
     assert both.filter("garch_vol <> egarch_vol").count() == 0 and both.count() == 1200
 
 
-def test_study_has_one_row_per_fitted_ticker(returns, whole):
+def test_study_has_one_row_per_ticker(returns, whole):
     out = P.study(returns, whole)
-    assert out.columns == P.RESULT_COLUMNS
+    assert out.columns == [*P.RESULT_COLUMNS, "Status"]
     got = {r.Ticker: r for r in out.collect()}
-    assert set(got) == {"G", "E"} and got["E"].Leverage_Effect == "Yes"
+    assert set(got) == set(SERIES) and got["E"].Leverage_Effect == "Yes"
     assert got["G"].High_Vol_Days == 300 and got["G"].Low_Vol_Days == 900
+    assert (got["SHORT"].Status, got["FLAT"].Status, got["G"].Status) == ("too_short", "constant", "ok")
+    assert got["SHORT"].GARCH_Alpha is None and (got["SHORT"].High_Vol_Days, got["SHORT"].Low_Vol_Days) == (0, 3)
+
+
+@pytest.mark.parametrize("model", [G.GARCH, G.EGARCH])
+def test_a_score_does_not_depend_on_the_blocks(returns, model):
+    """One series in 1, 13, 41 and 121 blocks, under slowly forgetting parameters too."""
+    own = returns.filter("ticker = 'G'")
+    grid, scores = np.vstack([G.grid_points(model)[::37], G.grid_points(model)[-1]]), []
+    if model is G.GARCH:
+        grid = np.vstack([grid, [0.0, 1.5, 0.12, 0.0]])  # persistence 0.995
+    for days in (4096, 100, 30, 10):
+        series = G.prepare(own, days)
+        origin, one = (F.array(*[F.lit(x)] * grid.shape[1]) for x in (0.0, 1.0))
+        state = series.stats.select("ticker", "mean", "var", "backcast", origin.alias("center"), one.alias("radius"))
+        state = G.cut_lineage(state, "points")
+        scores.append(G._score(series, series.blocks.drop("dates"), state, model, "normal", grid).first().scores)
+    for other in scores[1:]:
+        np.testing.assert_allclose(other, scores[0], atol=1e-6, rtol=0)
+
+
+def test_min_rows_is_the_callers(whole):
+    assert {r.ticker: r.status for r in G.fit_garch(whole, 3, min_rows=3).collect()}["SHORT"] != "too_short"
+
+
+def test_paths_step_together():
+    rng = np.random.default_rng(0)
+    series = [rng.standard_normal(n) for n in (0, 1, 7, 40)]
+    theta = [rng.random(4) * x for x in (0.1, 0.1, 0.1, 0.8)]
+    got = V.paths(V.garch_states, series, theta, np.ones(4))
+    for k, r in enumerate(series):
+        s, want = 1.0, [1.0]
+        for x in r:
+            s = theta[1][k] + theta[2][k] * (x - theta[0][k]) ** 2 + theta[3][k] * s
+            want.append(s)
+        np.testing.assert_allclose(got[k], want, rtol=1e-12)

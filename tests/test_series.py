@@ -98,11 +98,11 @@ VALUES = {
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.75, 0.999, 1.0])
-@pytest.mark.parametrize("bins,levels", [(4, 0), (4, 1), (4, 3), (1 << 16, 1)])
-def test_exact_quantile(spark, q, bins, levels):
-    data = [(k, float(v)) for k, values in VALUES.items() for v in values] + [("normal", None)]
+@pytest.mark.parametrize("bins,last_rows", [(4, 1000), (4, 50), (4, 1), (1 << 16, 100)])
+def test_exact_quantile(spark, q, bins, last_rows):
+    data = [(k, float(v)) for k, values in VALUES.items() for v in values] + [("normal", None), ("ties", float("nan"))]
     df = spark.createDataFrame(data, "k string, v double")
-    got = {r.k: r.quantile for r in D.exact_quantile(df, ["k"], "v", q, bins=bins, levels=levels).collect()}
+    got = {r.k: r.quantile for r in D.exact_quantile(df, ["k"], "v", q, bins=bins, last_rows=last_rows).collect()}
     for name, values in VALUES.items():
         assert got[name] == pytest.approx(np.quantile(values, q), rel=1e-12), name
     assert set(got) == set(VALUES)
@@ -182,3 +182,31 @@ def test_per_key_values_salted_and_broadcast_agree(spark):
     assert a == b and len(a) == 500
     assert "BroadcastExchange" in sides[1]._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in sides[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_far_outlier_costs_a_level_not_a_gather(spark, monkeypatch):
+    """A million distinct values and one at 1e12: the last count is of a bounded band."""
+    df = spark.range(1_000_000).select(F.lit("k").alias("k"), (F.col("id") * 0.5).alias("v"))
+    df = df.unionByName(spark.createDataFrame([("k", 1e12)], "k string, v double"))
+    bands, real = [], D._narrow
+
+    def watched(rows, band, keys, bin_):
+        bands.append(band.first()["_left"])
+        return real(rows, band, keys, bin_)
+
+    monkeypatch.setattr(D, "_narrow", watched)
+    got = D.exact_quantile(df, ["k"], "v", 0.75).first().quantile
+    assert got == 375000.0 and bands[-1] <= D.LAST_ROWS and len(bands) <= 4
+
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([("k", x) for x in (1.0, 2.0, 3.0, 4.0, float("nan"))], "k string, v double")
+    assert D.exact_quantile(df, ["k"], "v", 0.75).first().quantile == 3.25
+    assert D.density_histogram(df, ["k"], "v", 2).agg(F.sum("n")).first()[0] == 4
+
+
+def test_a_ticker_without_volatility_keeps_its_rows(spark):
+    rows_ = [("A", i, float(i)) for i in range(8)] + [("B", i, None) for i in range(5)]
+    df = spark.createDataFrame(rows_, "ticker string, date int, vol double")
+    got = P.with_regime(df, "vol").groupBy("ticker", "vol_regime").count().collect()
+    assert {(r.ticker, r.vol_regime): r["count"] for r in got} == {("A", "High Vol"): 2, ("A", "Low Vol"): 6, ("B", "Low Vol"): 5}

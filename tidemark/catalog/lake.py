@@ -126,7 +126,9 @@ def _change_table(spark: SparkSession, d: str, table_type: str, compact_at: str
     log, after = V.changes(spark, d).drop("commit_time"), "00000000"
     day = F.date_format("ts", "yyyyMMdd")
     for until in DECADES:
-        table.change(log.filter((day > after) & (day <= until)), "op", ["ts"], commit_time=until)
+        # The last commit takes all that is left.
+        upto = F.lit(True) if until == DECADES[-1] else day <= until
+        table.change(log.filter((day > after) & upto), "op", ["ts"], commit_time=until)
         if until == compact_at:
             table.compact()
         after = until

@@ -28,6 +28,9 @@ def _abs_vol(spark, d):
     return _returns(spark, d).withColumn("vol", F.abs("log_return"))
 
 
+GRID_DIGITS = 4
+
+
 def ts_scan(spark, d):
     """Two tickers in a date range: start included, end not."""
     return scan_bars(V.bars(spark, d), ["1-URGENT", "2-HIGH"], START, END)
@@ -160,21 +163,55 @@ def ts_daily_export(spark, d):
     return V.rounded(P.daily_rows(P.rolling(labelled, "garch_vol", "garch")), 8)
 
 
+def _grid(spark, d, model):
+    """Log-likelihood of every point of the model's coarse grid for every ticker."""
+    _, series = _prepared(spark, d)
+    return V.rounded(G.grid_loglik(series, model), GRID_DIGITS, "loglik")
+
+
+def ts_garch_grid(spark, d):
+    return _grid(spark, d, G.GARCH)
+
+
+def ts_egarch_grid(spark, d):
+    return _grid(spark, d, G.EGARCH)
+
+
+def _against_grid(fits, series, model):
+    """What each fit says, and the best grid point it must not fall behind."""
+    grid = G.grid_loglik(series, model).groupBy("ticker").agg(F.max_by("point", "loglik").alias("point"), F.max("loglik").alias("grid_loglik"))
+    gain = F.col("loglik") - F.col("grid_loglik")
+    out = fits.join(grid, "ticker", "left").select("ticker", "n", "dist", "status", "point", "grid_loglik", (gain >= -1e-9).alias("no_worse"))
+    return V.rounded(out, GRID_DIGITS, "grid_loglik")
+
+
 def ts_garch_fit(spark, d):
     _, series = _prepared(spark, d)
-    return G.fit_garch(series)
+    return _against_grid(G.fit_garch(series), series, G.GARCH)
 
 
 def ts_egarch_fit(spark, d):
     """EGARCH with the chain of densities; the later ones run only for tickers the first could not fit."""
     _, series = _prepared(spark, d)
-    return G.fit_egarch(series, G.DISTRIBUTIONS)
+    return _against_grid(G.fit_egarch(series, G.DISTRIBUTIONS), series, G.EGARCH)
 
 
 def ts_volatility_study(spark, d):
-    """The whole analysis of every ticker: fits, volatilities, regimes, pattern and leverage."""
+    """The whole analysis of every ticker; of what the fitted parameters decide, that the columns agree with each other."""
     returns, series = _prepared(spark, d)
-    return P.study(returns, series)
+    rows = P.study(returns, series)
+    persistence, gamma = F.col("GARCH_Persistence"), F.col("EGARCH_Gamma")
+    return V.rounded(
+        rows.select(
+            "Ticker", "Start_Date", "End_Date", "Mean_Return", "Daily_Volatility", "Annualized_Vol", "Skewness", "Kurtosis", "Status",
+            (F.col("High_Vol_Days") + F.col("Low_Vol_Days")).alias("Days"),
+            F.col("High_Vol_Days"),
+            ((persistence > 0) & (persistence < 1)).alias("stationary"),
+            (F.col("Trading_Pattern") == R.pattern_label(F.col("High_Vol_Return"), F.col("Low_Vol_Return"))).alias("pattern_agrees"),
+            (F.col("Leverage_Effect") == R.leverage_label(gamma)).alias("leverage_agrees"),
+        ),
+        8,
+    )
 
 
 # ---- oracles --------------------------------------------------------------------------------------
@@ -190,12 +227,13 @@ _PATTERN = (
     "CASE WHEN high_vol_return < low_vol_return THEN 'Buy when boring (sells off in high vol)'"
     " ELSE 'Buy when exciting (rallies in high vol)' END"
 )
-_MODEL_SQL = f"""WITH RECURSIVE {V.RETURNS_SQL},
+_DEV_SQL = f"""WITH RECURSIVE {V.RETURNS_SQL},
 num AS (SELECT ticker, date, close, log_return, log_return * 100 AS r, row_number() OVER (PARTITION BY ticker ORDER BY date) AS i FROM ret),
 st AS (SELECT ticker, avg(r) AS mean, var_samp(r) AS v FROM num GROUP BY 1),
 bc AS (SELECT n.ticker, any_value(mean) AS mean, any_value(v) AS v, sum(pow(0.94, i - 1) * pow(r - mean, 2)) / sum(pow(0.94, i - 1)) AS b
   FROM num n JOIN st USING (ticker) WHERE i <= 75 GROUP BY 1),
-dev AS MATERIALIZED (SELECT n.ticker, n.date, n.i, n.r - b.mean AS e, b.v, b.b FROM num n JOIN bc b USING (ticker)),
+dev AS MATERIALIZED (SELECT n.ticker, n.date, n.i, n.r - b.mean AS e, b.v, b.b FROM num n JOIN bc b USING (ticker))"""
+_MODEL_SQL = f"""{_DEV_SQL},
 path AS (
   SELECT ticker, date, i, e, v, v * {1 - ALPHA - BETA} + ({ALPHA} + {BETA}) * b AS s, ln(v) * (1 - {E_BETA}) + {E_BETA} * ln(b) AS l FROM dev WHERE i = 1
   UNION ALL
@@ -216,6 +254,46 @@ res AS (
   FROM lab GROUP BY 1),
 pat AS (SELECT *, {_PATTERN} AS pattern FROM res)"""
 
+
+
+def _grid_sql(model) -> str:
+    """CTEs up to ``grid`` (ticker, point, ll): the recursion of every grid point, one day after the other."""
+    points = ", ".join(f"({k}, {', '.join(f'CAST({x!r} AS DOUBLE)' for x in point)})" for k, point in enumerate(G.grid_points(model).tolist()))
+    if model is G.GARCH:
+        theta = """pts AS (SELECT *, pow(sin(c1), 2) AS p, pow(sin(c2), 2) AS share FROM (VALUES {points}) AS t(point, c0, c1, c2, c3)),
+th AS (SELECT ticker, point, v * exp(c3) * (1 - p) AS omega, p * share AS alpha, p * (1 - share) AS beta, b FROM bc, pts),
+path AS (
+  SELECT d.ticker, d.i, d.e, point, omega, alpha, beta, omega + (alpha + beta) * t.b AS s, CAST(0 AS DOUBLE) AS before
+  FROM dev d JOIN th t ON d.ticker = t.ticker WHERE d.i = 1
+  UNION ALL
+  SELECT d.ticker, d.i, d.e, point, omega, alpha, beta, omega + alpha * p.e * p.e + beta * p.s, before + ln(p.s) + p.e * p.e / p.s
+  FROM path p JOIN dev d ON d.ticker = p.ticker AND d.i = p.i + 1),
+ends AS (SELECT *, before + ln(s) + e * e / s AS total, row_number() OVER (PARTITION BY ticker, point ORDER BY i DESC) AS rn FROM path),"""
+    else:
+        theta = """pts AS (SELECT *, sin(c1) AS beta, c2 AS alpha, c3 AS gamma FROM (VALUES {points}) AS t(point, c0, c1, c2, c3, c4)),
+th AS (SELECT ticker, point, (1 - beta) * (ln(v) + c4) AS omega, alpha, gamma, beta, b FROM bc, pts),
+path AS (
+  SELECT d.ticker, d.i, d.e, point, omega, alpha, gamma, beta, omega + beta * ln(t.b) AS l, CAST(0 AS DOUBLE) AS before
+  FROM dev d JOIN th t ON d.ticker = t.ticker WHERE d.i = 1
+  UNION ALL
+  SELECT d.ticker, d.i, d.e, point, omega, alpha, gamma, beta, omega + alpha * (abs(p.e / exp(p.l / 2)) - sqrt(2 / pi()))
+    + gamma * p.e / exp(p.l / 2) + beta * p.l, before + p.l + p.e * p.e / exp(p.l)
+  FROM path p JOIN dev d ON d.ticker = p.ticker AND d.i = p.i + 1),
+ends AS (SELECT *, before + l + e * e / exp(l) AS total, row_number() OVER (PARTITION BY ticker, point ORDER BY i DESC) AS rn FROM path),"""
+    return f"{_DEV_SQL},\n{theta.format(points=points)}\ngrid AS (SELECT ticker, point, -0.5 * (i * ln(2 * pi()) + total) AS ll, i AS n FROM ends WHERE rn = 1)"
+
+
+def _grid_query(model) -> str:
+    return f"{_grid_sql(model)} SELECT ticker, CAST(point AS INTEGER) AS point, round(ll, {GRID_DIGITS}) AS loglik FROM grid"
+
+
+def _fit_query(model) -> str:
+    return (
+        f"{_grid_sql(model)} SELECT ticker, max(n) AS n, 'normal' AS dist, 'ok' AS status, CAST(arg_max(point, ll) AS INTEGER) AS point,"
+        f" round(max(ll), {GRID_DIGITS}) AS grid_loglik, true AS no_worse FROM grid GROUP BY 1"
+    )
+
+
 QUERIES = {
     "ts_scan": (
         ts_scan,
@@ -334,7 +412,18 @@ QUERIES = {
         " SELECT ticker, CAST(date AS VARCHAR) AS Date, close AS Close, round(log_return, 8) AS Log_Returns, round(garch_vol, 8) AS GARCH_Volatility,"
         " round(egarch_vol, 8) AS EGARCH_Volatility, round(CASE WHEN n = 20 THEN disp END, 8) AS GARCH_Vol_Dispersion, vol_regime AS Vol_Regime FROM w",
     ),
-    "ts_garch_fit": (ts_garch_fit, None),
-    "ts_egarch_fit": (ts_egarch_fit, None),
-    "ts_volatility_study": (ts_volatility_study, None),
+    "ts_garch_grid": (ts_garch_grid, _grid_query(G.GARCH)),
+    "ts_egarch_grid": (ts_egarch_grid, _grid_query(G.EGARCH)),
+    "ts_garch_fit": (ts_garch_fit, _fit_query(G.GARCH)),
+    "ts_egarch_fit": (ts_egarch_fit, _fit_query(G.EGARCH)),
+    "ts_volatility_study": (
+        ts_volatility_study,
+        f"{_R} SELECT ticker AS Ticker, CAST(min(date) AS VARCHAR) AS Start_Date, CAST(max(date) AS VARCHAR) AS End_Date,"
+        " round(avg(log_return), 8) AS Mean_Return, round(stddev_samp(log_return), 8) AS Daily_Volatility,"
+        " round(stddev_samp(log_return) * sqrt(252), 8) AS Annualized_Vol, round(skewness(log_return), 8) AS Skewness,"
+        " round(kurtosis(log_return), 8) AS Kurtosis, 'ok' AS Status, count(*) AS Days,"
+        # Days strictly above an interpolated upper quartile, when no two days have the same volatility.
+        " (count(*) - 1) // 4 + CASE WHEN (count(*) - 1) % 4 > 0 THEN 1 ELSE 0 END AS High_Vol_Days,"
+        " true AS stationary, true AS pattern_agrees, true AS leverage_agrees FROM ret GROUP BY 1",
+    ),
 }

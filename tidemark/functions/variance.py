@@ -14,44 +14,18 @@ MEAN_ABS_NORMAL = math.sqrt(2.0 / math.pi)
 LOG_VARIANCE_LIMIT = 700.0
 
 
-def garch_step(e, state, omega, alpha, beta):
-    """Next variance after residual ``e``; works on numbers and on parameter vectors."""
-    return omega + alpha * e * e + beta * state
-
-
-def egarch_path_state(e, state, omega, alpha, gamma, beta):
-    """Next log variance after residual ``e`` (scalar form)."""
-    z = e * math.exp(-0.5 * state)
-    nxt = omega + alpha * (abs(z) - MEAN_ABS_NORMAL) + gamma * z + beta * state
-    return max(-LOG_VARIANCE_LIMIT, min(LOG_VARIANCE_LIMIT, nxt))
-
-
-def garch_path(returns, mu, omega, alpha, beta, start):
-    """Variances of a block's rows and, last, the state the next block starts with."""
-    out = np.empty(len(returns) + 1)
-    state = float(start)
-    for i, r in enumerate(returns):
-        out[i] = state
-        state = garch_step(r - mu, state, omega, alpha, beta)
-    out[-1] = state
-    return out
-
-
-def egarch_path(returns, mu, omega, alpha, gamma, beta, start):
-    """Log variances of a block's rows and, last, the state the next block starts with."""
-    out = np.empty(len(returns) + 1)
-    state = float(start)
-    for i, r in enumerate(returns):
-        out[i] = state
-        state = egarch_path_state(r - mu, state, omega, alpha, gamma, beta)
-    out[-1] = state
-    return out
+def _columns(returns):
+    """Returns as rows of time and columns of parameters; one series serves all columns."""
+    return returns[:, None] if returns.ndim == 1 else returns
 
 
 def garch_states(returns, theta, start):
-    """Variance of every row under every column of ``theta`` (mu, omega, alpha, beta), and the end states."""
+    """Squared residuals and variance of every row under every column of ``theta`` (mu, omega, alpha, beta), and the end states.
+
+    ``returns`` is one series for all columns or a matrix with a series per column.
+    """
     mu, omega, alpha, beta = theta
-    e2 = (returns[:, None] - mu) ** 2
+    e2 = (_columns(returns) - mu) ** 2
     shocks = omega + alpha * e2
     variances = np.empty_like(e2)
     state = start
@@ -62,9 +36,9 @@ def garch_states(returns, theta, start):
 
 
 def egarch_states(returns, theta, start):
-    """As :func:`garch_states` for (mu, omega, alpha, gamma, beta); the carried state is the log variance."""
+    """As :func:`garch_states` for (mu, omega, alpha, gamma, beta); the states are log variances."""
     mu, omega, alpha, gamma, beta = theta
-    e = returns[:, None] - mu
+    e = _columns(returns) - mu
     level = omega - alpha * MEAN_ABS_NORMAL
     logs = np.empty_like(e)
     state = start
@@ -73,7 +47,21 @@ def egarch_states(returns, theta, start):
         z = e[i] * np.exp(-0.5 * state)
         state = level + alpha * np.abs(z) + gamma * z + beta * state
         np.clip(state, -LOG_VARIANCE_LIMIT, LOG_VARIANCE_LIMIT, out=state)
-    return e * e, np.exp(logs), state
+    return e * e, logs, state
+
+
+def paths(states, series, theta, starts):
+    """For each series (a list of arrays) under its own parameters: its rows' states and, last, the state after it.
+
+    All series step together, each in its own column; shorter ones are padded, which their part of the result leaves out.
+    """
+    longest = max(map(len, series), default=0)
+    padded = np.zeros((longest, len(series)))
+    for column, r in enumerate(series):
+        padded[: len(r), column] = r
+    _, inside, end = states(padded, theta, np.array(starts, dtype=float))
+    whole = np.vstack([inside, end])
+    return [whole[: len(r) + 1, column] for column, r in enumerate(series)]
 
 
 def log_density(e2, variance, dist, shape=None):

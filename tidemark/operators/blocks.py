@@ -63,9 +63,12 @@ def attach_stats(
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
     written: bool = False,
+    how: str = "inner",
 ) -> DataFrame:
     """Put per-key values (one narrow row per key) onto ``rows``.
 
+    ``how='left'`` keeps rows whose key has no values, with NULLs.
+
     The per-key table is written and counted first (pass ``written`` if it
     already is a stored table). Up to ``broadcast_rows`` keys it is broadcast
     and ``rows``, of which one key may hold a third, are not shuffled. Beyond
@@ -75,7 +78,7 @@ def attach_stats(
     if not written:
         stats = cut_lineage(stats, "per-key")
     if stats.count() <= broadcast_rows:
-        return rows.join(F.broadcast(stats), list(on))
+        return rows.join(F.broadcast(stats), list(on), how)
     salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     keyed = rows.withColumn("_salt", F.pmod(F.hash(*spread), F.lit(salts)))
-    return keyed.join(salted, [*on, "_salt"]).drop("_salt")
+    return keyed.join(salted, [*on, "_salt"], how).drop("_salt")

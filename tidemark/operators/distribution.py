@@ -1,4 +1,4 @@
-"""Exact quantiles and histograms per key, without gathering a key's values in one place."""
+"""Exact quantiles and histograms per key from counts, so that only a bounded rest of a key's values meets in one task."""
 
 from __future__ import annotations
 
@@ -7,6 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.blocks import attach_stats
+from tidemark.session import cut_lineage
+
+# Values of one key that may be counted one by one in the end.
+LAST_ROWS = 100_000
+
+
+def _numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Keys and values that are numbers: neither NULL nor NaN."""
+    v = F.col(value).cast("double")
+    return df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("_v"))
 
 
 def bin_of(value: Column, low: Column, high: Column, bins: int) -> Column:
@@ -26,7 +36,7 @@ def _narrow(rows: DataFrame, bands: DataFrame, keys: Sequence[str], bin_: Column
     touching ends are then the wanted values ``_v0`` and ``_v1``. A key whose
     values are known is carried along in a single bin.
     """
-    within = attach_stats(rows, bands, keys, ["_v"]).filter(F.col("_v").between(F.col("_low"), F.col("_high")))
+    within = attach_stats(rows, bands, keys, ["_v"], written=True).filter(F.col("_v").between(F.col("_low"), F.col("_high")))
     bin_ = F.when(F.col("_v0").isNull(), bin_)
     counted = within.groupBy(*keys, "_rank", "_frac", "_v0", "_v1", bin_.alias("_bin")).agg(
         F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
@@ -52,6 +62,7 @@ def _narrow(rows: DataFrame, bands: DataFrame, keys: Sequence[str], bin_: Column
         .when(split, F.coalesce("_next", "_max"))
         .when(single, F.col("_max"))
         .alias("_v1"),
+        F.when(known | split | single, 0).otherwise(F.col("_n")).alias("_left"),
     )
 
 
@@ -62,17 +73,17 @@ def exact_quantile(
     q: float,
     into: str = "quantile",
     bins: int = 1 << 16,
-    levels: int = 1,
+    last_rows: int = LAST_ROWS,
 ) -> DataFrame:
-    """One row per key with the linearly interpolated quantile of its non-NULL values.
+    """One row per key with the linearly interpolated quantile of its values (NULL and NaN do not count).
 
     Selection by counting: each level counts a key's values in ``bins`` bins
     (partial counts; at most ``bins`` rows per key leave a task) and keeps the
-    bin holding the wanted rank, so the band shrinks by up to ``bins`` per
-    level. The rest is counted per distinct value. Exact whatever the values
-    are; more ``levels`` only make the last band smaller.
+    bin holding the wanted rank. Levels follow until no key has more than
+    ``last_rows`` values left, which are then counted one by one. A band's ends
+    are values, so every level sheds some; a far outlier costs one more level.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    rows = _numbers(df, keys, value)
     position = (F.col("_count") - 1) * F.lit(float(q))
     unknown = F.lit(None).cast("double")
     bands = (
@@ -86,10 +97,12 @@ def exact_quantile(
             "_high",
             unknown.alias("_v0"),
             unknown.alias("_v1"),
+            F.col("_count").alias("_left"),
         )
     )
-    for _ in range(levels):
-        bands = _narrow(rows, bands, keys, bin_of(F.col("_v"), F.col("_low"), F.col("_high"), bins))
+    bands = cut_lineage(bands, "quantile-bands")
+    while (bands.agg(F.max("_left")).first()[0] or 0) > last_rows:
+        bands = cut_lineage(_narrow(rows, bands, keys, bin_of(F.col("_v"), F.col("_low"), F.col("_high"), bins)), "quantile-bands")
     bands = _narrow(rows, bands, keys, F.col("_v"))
     return bands.select(*keys, (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias(into))
 
@@ -99,7 +112,7 @@ def density_histogram(df: DataFrame, keys: Sequence[str], value: str, bins: int
 
     Partial counts leave each task, so rows of a hot key never travel.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    rows = _numbers(df, keys, value)
     extent = rows.groupBy(*keys).agg(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_total")
     )

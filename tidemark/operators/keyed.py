@@ -126,9 +126,16 @@ def update_from(target: DataFrame, source: DataFrame, on: Sequence[str], assignm
     )
 
 
-def update_with(target: DataFrame, source: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """UPDATE ... FROM taking the new values from ``source``, which must hold each key once."""
-    new = source.select(*on, F.struct(*columns).alias("_new"))
+def update_with(
+    target: DataFrame, source: DataFrame, on: Sequence[str], columns: Sequence[str], ordering: Sequence[str] = ()
+) -> DataFrame:
+    """UPDATE ... FROM taking the new values from ``source``.
+
+    Where the source repeats a key, its greatest row by ``ordering`` and then by
+    the assigned columns counts, so a target row never multiplies.
+    """
+    new = latest_by_key(source.select(*dict.fromkeys([*on, *columns, *ordering])), on, ordering)
+    new = new.select(*on, F.struct(*columns).alias("_new"))
     marked = target.join(new, list(on), "left")
     return marked.select(
         *[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns]

@@ -36,13 +36,15 @@ cloudpickle.register_pickle_by_value(V)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_DAYS = 4096
+# Shorter series are not fitted; a caller may ask for another number.
 MIN_ROWS = 10
 # Fixed values of the published estimator's start-up.
 BACKCAST_ROWS = 75
 BACKCAST_DECAY = 0.94
 DISTRIBUTIONS = ("normal", "ged", "t")
 
-SEARCH_SWEEPS = 3
+# A search that still gains after so many rounds says so in its status.
+MAX_ROUNDS = 60
 GAIN_TOLERANCE = 1e-6
 SEAM_TOLERANCE = 1e-12
 
@@ -57,19 +59,21 @@ class Model:
     radius: tuple[float, ...]
 
 
-# Coordinates: mean shift in deviations, logit persistence, logit alpha share, log variance ratio.
+# Persistences and shares are squared sines (EGARCH's beta a sine) of their coordinates: a maximum at the end of their
+# range is then a smooth one at a finite point. Coordinates: mean shift in deviations, persistence, alpha's share of it,
+# log variance ratio.
 GARCH = Model(
     "garch",
     ("mu", "omega", "alpha", "beta"),
-    ((0.0,), (0.0, 1.5, 3.0, 4.5), (-4.0, -2.5, -1.0, 0.5), (-0.7, 0.0, 0.7)),
-    (0.05, 1.2, 1.2, 0.5),
+    ((0.0,), (0.8, 1.1, 1.35, 1.46), (0.15, 0.3, 0.5, 0.9), (-0.7, 0.0, 0.7)),
+    (0.05, 0.2, 0.2, 0.5),
 )
-# Coordinates: mean shift in deviations, atanh beta, alpha, gamma, log variance offset.
+# Coordinates: mean shift in deviations, beta, alpha, gamma, log variance offset.
 EGARCH = Model(
     "egarch",
     ("mu", "omega", "alpha", "gamma", "beta"),
-    ((0.0,), (0.3, 1.0, 1.8, 2.6), (0.02, 0.1, 0.25, 0.45), (-0.2, -0.05, 0.05, 0.2), (-0.5, 0.0, 0.5)),
-    (0.05, 0.5, 0.1, 0.1, 0.4),
+    ((0.0,), (0.3, 0.85, 1.25, 1.42), (0.02, 0.1, 0.25, 0.45), (-0.2, -0.05, 0.05, 0.2), (-0.5, 0.0, 0.5)),
+    (0.05, 0.2, 0.1, 0.1, 0.4),
 )
 SHAPE_GRID = {"ged": (0.2, 0.7, 1.1), "t": (0.7, 1.8, 3.0)}
 SHAPE_RADIUS = 0.4
@@ -134,9 +138,9 @@ def _theta(model: Model, u: np.ndarray, mean: float, var: float, dist: str):
         shape = np.exp(u[:, -1]) + (2.0 if dist == "t" else 0.0)
     mu = mean + u[:, 0] * math.sqrt(var)
     if model.name == "garch":
-        p, share = 1 / (1 + np.exp(-u[:, 1])), 1 / (1 + np.exp(-u[:, 2]))
+        p, share = np.sin(u[:, 1]) ** 2, np.sin(u[:, 2]) ** 2
         return (mu, np.exp(u[:, 3]) * var * (1 - p), p * share, p * (1 - share)), shape
-    beta = np.tanh(u[:, 1])
+    beta = np.sin(u[:, 1])
     return (mu, (1 - beta) * (math.log(var) + u[:, 4]), u[:, 2], u[:, 3], beta), shape
 
 
@@ -188,9 +192,10 @@ def _move(values, center, radius, best, best_ll, design, coarse, first_radius):
         return best, radius * 0.5, best, best_ll, gain, False
     step, reach, predicted = _quadratic_step(values, design)
     settled = bool(gain < GAIN_TOLERANCE and predicted - values[i] < GAIN_TOLERANCE)
-    shrink = 1.0 if reach > 1 else max(0.3, min(0.8, 2 * reach))
+    # The box grows while the maximum lies beyond it (a best value may be at no finite point) and shrinks around one inside.
+    scale = 2.0 if reach > 1 and gain > 0 else 1.0 if reach > 1 else max(0.3, min(0.8, 2 * reach))
     target = center + radius * step if predicted >= values[i] else points[i]
-    return target, radius * shrink, best, best_ll, gain, settled
+    return target, np.minimum(radius * scale, 2 * first_radius), best, best_ll, gain, settled
 
 
 def _search_here(model: Model, dist: str, r, mean, var, backcast, coarse, local, first_radius, max_rounds):
@@ -216,6 +221,8 @@ def _score_block(model: Model, dist: str, u, r, mean, var, backcast, start):
         if start is None:
             start = _default_start(model.name, theta, backcast)
         e2, variance, end = states(r, theta, np.array(start, dtype=float))
+        if model.name == "egarch":
+            variance = np.exp(variance)
         return V.log_density(e2, variance, dist, shape), end
 
 
@@ -240,14 +247,31 @@ def _score_pass(rows: DataFrame, model: Model, dist: str, design: np.ndarray) ->
     return rows.mapInPandas(score, "ticker string, seq int, ll array<double>, ends array<double>")
 
 
+def _moved(ends: DataFrame, before: DataFrame) -> DataFrame:
+    """Blocks one of whose end states is not where the sweep before left it (two undefined states are the same)."""
+    old = before.select("ticker", "seq", F.col("ends").alias("_old"))
+    differ = F.exists(
+        F.zip_with("ends", "_old", lambda a, b: (a != b) & (F.abs(a - b) > SEAM_TOLERANCE * (1 + F.abs(a)))), lambda x: x
+    )
+    return ends.join(old, ["ticker", "seq"]).filter(differ)
+
+
 def _score(series: Series, blocks: DataFrame, state: DataFrame, model: Model, dist: str, design: np.ndarray) -> DataFrame:
-    """Log-likelihood per ticker and design point, summed over the blocks."""
+    """Log-likelihood per ticker and design point, summed over the blocks.
+
+    Sweeps go on until no state at a seam moves, so the sum is that of the
+    uncut series: after ``j`` sweeps the first ``j`` blocks are exact, and a
+    recursion that forgets its start needs few.
+    """
     points = state.select("ticker", "center", "radius", "mean", "var", "backcast")
     rows = series.spread(attach_stats(blocks, points, ["ticker"], ["seq"], written=True))
-    scored = _score_pass(rows.withColumn("start", F.lit(None).cast("array<double>")), model, dist, design)
-    for _ in range(min(series.max_blocks, SEARCH_SWEEPS) - 1):
+    scored = cut_lineage(_score_pass(rows.withColumn("start", F.lit(None).cast("array<double>")), model, dist, design), "seams")
+    for _ in range(series.max_blocks - 1):
         seams = scored.select("ticker", (F.col("seq") + 1).alias("seq"), F.col("ends").alias("start"))
-        scored = _score_pass(rows.join(seams, ["ticker", "seq"], "left"), model, dist, design)
+        before = scored
+        scored = cut_lineage(_score_pass(rows.join(seams, ["ticker", "seq"], "left"), model, dist, design), "seams")
+        if _moved(scored, before).isEmpty():
+            break
     return (
         scored.select("ticker", F.posexplode("ll").alias("pos", "ll"))
         .groupBy("ticker", "pos")
@@ -258,6 +282,22 @@ def _score(series: Series, blocks: DataFrame, state: DataFrame, model: Model, di
     )
 
 
+def grid_points(model: Model) -> np.ndarray:
+    """The fixed coarse grid, in search coordinates."""
+    return np.array(list(itertools.product(*model.grid)))
+
+
+def grid_loglik(series: Series, model: Model, min_rows: int = MIN_ROWS) -> DataFrame:
+    """(ticker, point, loglik): normal log-likelihood of every point of the coarse grid for every usable ticker."""
+    grid = grid_points(model)
+    origin = F.array(*[F.lit(0.0)] * grid.shape[1])
+    one = F.array(*[F.lit(1.0)] * grid.shape[1])
+    state = _usable(series.stats, min_rows).filter(F.col("reason").isNull())
+    state = cut_lineage(state.select("ticker", "mean", "var", "backcast", origin.alias("center"), one.alias("radius")), "grid")
+    scores = _score(series, series.blocks.drop("dates"), state, model, "normal", grid)
+    return scores.select("ticker", F.posexplode("scores").alias("point", "loglik"))
+
+
 def _advance(state: DataFrame, scores: DataFrame, design: np.ndarray, coarse: bool, first_radius: np.ndarray) -> DataFrame:
     """Move every ticker's search point by its scores (one small row per ticker)."""
     columns = state.columns
@@ -276,11 +316,11 @@ def _advance(state: DataFrame, scores: DataFrame, design: np.ndarray, coarse: bo
     return state.join(scores, "ticker").mapInPandas(move, state.schema)
 
 
-def _usable(stats: DataFrame) -> DataFrame:
+def _usable(stats: DataFrame, min_rows: int) -> DataFrame:
     """Statistics with the reason a series cannot be fitted, if any."""
     return stats.withColumn(
         "reason",
-        F.when(F.col("n") < MIN_ROWS, "too_short").when(~(F.col("var") > 0) | ~(F.col("backcast") > 0), "constant"),
+        F.when(F.col("n") < min_rows, "too_short").when(~(F.col("var") > 0) | ~(F.col("backcast") > 0), "constant"),
     )
 
 
@@ -340,7 +380,7 @@ def _search_long(series: Series, stats: DataFrame, model: Model, dist: str, coar
     return found.select("ticker", "mean", "var", "best", "best_ll", "settled")
 
 
-def search(series: Series, stats: DataFrame, model: Model, dist: str = "normal", max_rounds: int = 24) -> DataFrame:
+def search(series: Series, stats: DataFrame, model: Model, dist: str = "normal", max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Maximise the likelihood for every ticker in ``stats``: ``best`` point, ``best_ll`` and ``settled`` per ticker."""
     grid, radius = list(model.grid), np.array(model.radius)
     if dist != "normal":
@@ -368,9 +408,9 @@ def _natural(found: DataFrame, model: Model, dist: str) -> DataFrame:
     return found.mapInPandas(translate, schema)
 
 
-def _fit(series: Series, model: Model, distributions: Sequence[str], max_rounds: int) -> DataFrame:
+def _fit(series: Series, model: Model, distributions: Sequence[str], max_rounds: int, min_rows: int) -> DataFrame:
     """Try each density in turn for the tickers the ones before it could not fit."""
-    checked = _usable(series.stats)
+    checked = _usable(series.stats, min_rows)
     todo = checked.filter(F.col("reason").isNull())
     fits = None
     for dist in distributions:
@@ -407,32 +447,39 @@ def _fit(series: Series, model: Model, distributions: Sequence[str], max_rounds:
     )
 
 
-def fit_garch(series: Series, max_rounds: int = 24) -> DataFrame:
-    """Constant mean, normal GARCH(1,1) per ticker: parameters, persistence, fit summary and status."""
-    return _fit(series, GARCH, ["normal"], max_rounds).withColumn("persistence", F.col("alpha") + F.col("beta"))
+def fit_garch(series: Series, max_rounds: int = MAX_ROUNDS, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Constant mean, normal GARCH(1,1) per ticker: parameters, persistence, fit summary and status.
+
+    Every ticker has a row; one that cannot be fitted (fewer than ``min_rows``
+    returns, no variance) has NULL parameters and the reason as its status.
+    """
+    return _fit(series, GARCH, ["normal"], max_rounds, min_rows).withColumn("persistence", F.col("alpha") + F.col("beta"))
 
 
-def fit_egarch(series: Series, distributions: Sequence[str] = ("normal",), max_rounds: int = 24) -> DataFrame:
+def fit_egarch(series: Series, distributions: Sequence[str] = ("normal",), max_rounds: int = MAX_ROUNDS, min_rows: int = MIN_ROWS) -> DataFrame:
     """EGARCH(1,1) with asymmetry per ticker; pass :data:`DISTRIBUTIONS` for the fallback chain."""
-    return _fit(series, EGARCH, list(distributions), max_rounds)
+    return _fit(series, EGARCH, list(distributions), max_rounds, min_rows)
 
 
 # ---- conditional volatility ---------------------------------------------------------------------
 
 
 def _paths(rows: DataFrame, model: Model) -> DataFrame:
-    """States of each block's rows plus the state after it, from the row's ``start``."""
-    path = V.garch_path if model.name == "garch" else V.egarch_path
+    """States of each block's rows plus the state after it, from the row's ``start``; the blocks of a batch step together."""
+    states = V.garch_states if model.name == "garch" else V.egarch_states
     params = model.params
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            states = []
-            for row in pdf.itertuples(index=False):
-                theta = [getattr(row, p) for p in params]
-                start = row.start if not math.isnan(row.start) else _default_start(model.name, theta, row.backcast)
-                states.append(path(row.r, *theta, start))
-            yield pd.DataFrame({"ticker": pdf["ticker"], "seq": pdf["seq"], "dates": pdf["dates"], "states": states})
+            theta = [pdf[p].to_numpy(dtype=float) for p in params]
+            with np.errstate(all="ignore"):
+                if model.name == "garch":
+                    guess = _default_start(model.name, theta, pdf["backcast"].to_numpy(dtype=float))
+                else:
+                    guess = theta[1] + theta[-1] * np.log(pdf["backcast"].to_numpy(dtype=float))
+                starts = np.where(np.isnan(pdf["start"]), guess, pdf["start"])
+                found = V.paths(states, [np.asarray(r, dtype=float) for r in pdf["r"]], theta, starts)
+            yield pd.DataFrame({"ticker": pdf["ticker"], "seq": pdf["seq"], "dates": pdf["dates"], "states": found})
 
     return rows.mapInPandas(run, "ticker string, seq int, dates array<date>, states array<double>")
 

@@ -95,7 +95,8 @@ def with_regime(series: DataFrame, value: str, q: float = R.REGIME_QUANTILE) ->
     """
     series = cut_lineage(series, "series")
     threshold = exact_quantile(series, SERIES, value, q, into="vol_threshold")
-    marked = attach_stats(series, threshold, SERIES, ["date"])
+    # A ticker without any volatility has no threshold; its rows stay and are labelled like every unmarked row.
+    marked = attach_stats(series, threshold, SERIES, ["date"], how="left")
     return marked.withColumn("vol_regime", R.regime_label(F.col(value), F.col("vol_threshold")))
 
 
@@ -226,19 +227,19 @@ def summary_table(results: DataFrame) -> DataFrame:
 
 
 def study(returns: DataFrame, series, distributions=("normal",)) -> DataFrame:
-    """The whole analysis of every ticker in ``returns``: one result row each.
+    """The whole analysis of every ticker in ``returns``: one result row each, with ``Status``.
 
-    ``series`` is :func:`tidemark.plans.garch.prepare` of the same returns.
-    Tickers that cannot be fitted have no row; their reason is the ``status``
-    of :func:`tidemark.plans.garch.fit_garch`.
+    ``series`` is :func:`tidemark.plans.garch.prepare` of the same returns. A
+    ticker that cannot be fitted keeps its row: its parameters and dispersions
+    are NULL, all its days count as low volatility and ``Status`` says why.
     """
     from tidemark.plans import garch as G
 
     garch, egarch = G.fit_garch(series), G.fit_egarch(series, distributions)
-    labelled = with_regime(align(returns, G.volatilities(series, garch, egarch)), "garch_vol")
-    params = (
-        garch.select("ticker", F.col("alpha").alias("garch_alpha"), F.col("beta").alias("garch_beta"))
-        .na.drop()
-        .join(egarch.select("ticker", F.col("gamma").alias("egarch_gamma")), "ticker", "left")
+    daily = returns.join(G.volatilities(series, garch, egarch), [*SERIES, "date"], "left")
+    labelled = with_regime(daily, "garch_vol")
+    params = garch.select("ticker", F.col("alpha").alias("garch_alpha"), F.col("beta").alias("garch_beta"), "status").join(
+        egarch.select("ticker", F.col("gamma").alias("egarch_gamma")), "ticker", "left"
     )
-    return result_rows(labelled, params)
+    rows = result_rows(labelled, params.drop("status"))
+    return rows.join(params.select(F.col("ticker").alias("Ticker"), F.col("status").alias("Status")), "Ticker").select(*RESULT_COLUMNS, "Status")

@@ -13,10 +13,11 @@ MAX_IN_FLIGHT = 10_000
 BROKER_TIMEOUT_MS = 5_000
 
 
-def topic_options(servers: str, topic: str, max_per_trigger: int | None = MAX_IN_FLIGHT) -> dict[str, str]:
-    """Source options: whole topic from the earliest offset, rate-limited instead of dropping.
+def topic_options(servers: str, topic: str, max_per_trigger: int | None = None) -> dict[str, str]:
+    """Source options: whole topic from the earliest offset.
 
-    Offsets live in the query's checkpoint, so a failed micro-batch is read again.
+    A micro-batch takes all that is there unless ``max_per_trigger`` (such as
+    ``MAX_IN_FLIGHT``) rate-limits it; nothing is dropped either way. Offsets live in the query's checkpoint, so a failed micro-batch is read again.
     """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
     if max_per_trigger:
@@ -28,7 +29,7 @@ def _text_columns(df: DataFrame) -> DataFrame:
     return df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str = EVENT_TOPIC, max_per_trigger: int | None = MAX_IN_FLIGHT):
+def stream_topic(spark: SparkSession, servers: str, topic: str = EVENT_TOPIC, max_per_trigger: int | None = None):
     """Structured stream of a topic (needs the Kafka connector on the classpath)."""
     return _text_columns(spark.readStream.format("kafka").options(**topic_options(servers, topic, max_per_trigger)).load())
 

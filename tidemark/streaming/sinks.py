@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.plans.events import to_topic_records
 from tidemark.plans.volatility import daily_rows, summary_table
@@ -37,13 +37,19 @@ def _files(events: DataFrame, path: str, checkpoint: str | None = None, trigger=
     records.write.mode("append").parquet(path)
 
 
+def print_rows(rows: DataFrame, *_) -> None:
+    """Print every row as a line of JSON, one partition at a time on the driver."""
+    for row in rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator():
+        print(row[0])
+
+
 def _mock(events: DataFrame, name: str | None = None, trigger=None, **_):
-    """Print the events, or keep them in a named in-memory table of the driver (tests)."""
+    """Print all events, or keep them in a named in-memory table of the driver (tests)."""
     if events.isStreaming:
         writer = events.writeStream
-        writer = writer.format("memory").queryName(name) if name else writer.format("console").option("truncate", False)
+        writer = writer.format("memory").queryName(name) if name else writer.foreachBatch(print_rows)
         return writer.trigger(**trigger).start() if trigger else writer.start()
-    events.show(truncate=False)
+    print_rows(events)
 
 
 # Fixed sink names; any broker that speaks the Kafka protocol is the topic sink.
@@ -73,5 +79,6 @@ def export_daily(series: DataFrame, path: str) -> None:
     daily_rows(series).write.mode("overwrite").option("header", True).partitionBy("ticker").csv(path)
 
 
-def print_summary(results: DataFrame, n: int = 100) -> None:
-    summary_table(results).orderBy("Ticker").show(n, truncate=False)
+def print_summary(results: DataFrame) -> None:
+    """Print the summary line of every ticker, in order."""
+    print_rows(summary_table(results).orderBy("Ticker"))
