@@ -33,6 +33,9 @@ from xxhash import xxh64_digest, xxh64_intdigest
 from tidemark.llm.common import documents, id_text, once, slices, texts
 
 BLOCK_BYTES = 8 << 20
+# Pre-tokens held as objects at a time, and the length of a text whose pre-tokens are not listed at once.
+CHUNK_WORDS = 1 << 17
+LONG_TEXT = 1 << 20
 # Parts per shuffle partition: they are dealt by hash, so several even out.
 PARTS = 4
 _BLOCK_NAME = 1 << 62
@@ -75,33 +78,58 @@ def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs ``flat[start : start + size]``, one after another."""
-    before = np.cumsum(sizes) - sizes
-    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+    before = np.cumsum(sizes, dtype=np.int64) - sizes
+    at = np.repeat((starts - before).astype(np.int64 if len(flat) >> 31 else np.int32), sizes)
+    at += np.arange(len(at), dtype=at.dtype)
+    return flat[at]
+
+
+def pre_tokens(pattern, rows: list[str]) -> tuple[np.ndarray, list[bytes], list[int]]:
+    """(number of the word at every position, the distinct words, positions per row)."""
+    chunks, pending, sizes = [], [], []
+
+    def flush():
+        chunks.append(pa.array(pending, pa.string()).dictionary_encode())
+        pending.clear()
+
+    for text in rows:
+        before = sum(map(len, chunks)) + len(pending)
+        if len(text) <= LONG_TEXT:
+            pending += pattern.findall(text)
+        else:
+            for match in pattern.finditer(text):
+                pending.append(match[0])
+                if len(pending) >= CHUNK_WORDS:
+                    flush()
+        if len(pending) >= CHUNK_WORDS:
+            flush()
+        sizes.append(sum(map(len, chunks)) + len(pending) - before)
+    flush()
+    flat = pa.chunked_array(chunks).unify_dictionaries()
+    return np.concatenate([c.indices.to_numpy() for c in flat.chunks]), flat.chunk(0).dictionary.cast(pa.binary()).to_pylist(), sizes
 
 
 def _split(pattern: str, parts: int, limit: int):
     """Rows to (key, words of a part) and (block's name, positions)."""
-    words_of = regex.compile(pattern).findall
+    compiled = regex.compile(pattern)
 
     def run(batches):
         for batch in slices(batches, limit=limit):
-            found = [words_of(t) for t in texts(batch)]
-            flat = pa.array([w for ws in found for w in ws], pa.string()).dictionary_encode()
-            words = [w.encode() for w in flat.dictionary.to_pylist()]
+            indices, words, lengths = pre_tokens(compiled, texts(batch))
             part = np.fromiter((int.from_bytes(xxh64_digest(w)[:4], "big") for w in words), np.int64, len(words)) % parts
             order = np.argsort(part, kind="stable")
-            place = np.empty(len(words), np.int64)
+            place = np.empty(len(words), np.uint32)
             place[order] = np.arange(len(words))
             used, starts = np.unique(part[order], return_index=True)
             ends = [*starts[1:].tolist(), len(words)]
             ordered = [words[i] for i in order.tolist()]
             blobs = [_pack(np.array([len(w) for w in ordered[s:e]], "<u4"), b"".join(ordered[s:e])) for s, e in zip(starts.tolist(), ends)]
             name = _BLOCK_NAME | xxh64_intdigest(b"".join(blobs)) >> 2
-            at = _pack(_planes(place[flat.indices.to_numpy()] if len(words) else np.zeros(0)))
+            at = _pack(_planes(place[indices]))
             n = len(blobs)
             ids = batch.column("doc_id")
             lists = pa.ListArray.from_arrays(pa.array([0] * (n + 1) + [len(ids)], pa.int32()), ids)
-            sizes = pa.array([None] * n + [[len(ws) for ws in found]], pa.list_(pa.int32()))
+            sizes = pa.array([None] * n + [lengths], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*used.tolist(), name], pa.int64()), pa.array([name] * (n + 1), pa.int64()), pa.array([*blobs, at], pa.binary()), lists, sizes],
                 ["key", "block", "data", "ids", "sizes"],
@@ -141,14 +169,14 @@ def _place(key, blocks: pa.Table, encoded: pa.Table) -> pa.Table:
     if key[0].as_py() >= _BLOCK_NAME:
         by_part = dict(zip(encoded["part"].to_pylist(), encoded["data"].to_pylist()))
         unpacked = [_unpack(by_part[p]) for p in sorted(by_part)]
-        counts = np.concatenate([np.zeros(0, "<u4"), *[np.frombuffer(n, "<u4") for n, _ in unpacked]]).astype(np.int64)
+        counts = np.concatenate([np.zeros(0, "<u4"), *[np.frombuffer(n, "<u4") for n, _ in unpacked]]).astype(np.int32)
         flat = np.concatenate([np.zeros(0, "<u4"), *[_from_planes(i) for _, i in unpacked]])
-        starts = np.cumsum(counts) - counts
+        starts = (np.cumsum(counts, dtype=np.int64) - counts).astype(np.int64 if len(flat) >> 31 else np.int32)
         for row in range(blocks.num_rows):
             ids, words = blocks["ids"][row].values, np.array(blocks["sizes"][row].as_py(), np.int64)
             at = _from_planes(_unpack(blocks["data"][row].as_py())[0])
             tokens = counts[at]
-            sums = np.concatenate([[0], np.cumsum(tokens)])
+            sums = np.concatenate([[0], np.cumsum(tokens, dtype=np.int64)])
             ends = sums[np.cumsum(words)]
             sizes = np.diff(ends, prepend=0)
             data = gather(flat, starts[at], tokens).tobytes()
