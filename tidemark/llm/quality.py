@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import documents, slices, texts
+from tidemark.llm.common import batched, documents, slices, texts
 from tidemark.operators.blocks import attach_stats
 from tidemark.session import cut_lineage
 
@@ -29,7 +29,7 @@ MIN_GROUP = 200
 SKETCH_K = 4000  # rank error about 0.1 %
 FENCE = 3.0
 # Least distance of a bound from its quartile, per feature.
-SLACK = {"symbol_rate": 0.1, "dup_line_rate": 0.2, "repeat_rate": 0.15, "word_length": 2.0}
+SLACK = {"symbol_rate": 0.1, "dup_line_rate": 0.2, "repeat_rate": 0.3, "word_length": 2.0}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 _SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
@@ -84,7 +84,7 @@ def count(rows: list[str]) -> dict[str, np.ndarray]:
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """(doc_id, g0, g1, ..., counts) of every row."""
     groups = [f"g{i}" for i in range(len(by))]
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), *[F.col(f"`{c}`").cast("string").alias(g) for c, g in zip(by, groups)], F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = batched(docs).select(F.col(f"`{id_col}`").alias("doc_id"), *[F.col(f"`{c}`").cast("string").alias(g) for c, g in zip(by, groups)], F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches):
         for batch in slices(batches):
@@ -97,39 +97,54 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by:
 
 
 def features() -> dict[str, Column]:
-    per = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
-    return {"symbol_rate": per("n_symbols", "n_words"), "dup_line_rate": per("n_dup_lines", "n_lines"), "repeat_rate": per("n_repeat_words", "n_words"), "word_length": per("word_chars", "n_words")}
+    """The judged rates; one repeated line of a text is no sign of anything."""
+    per = lambda a, b: F.coalesce(F.try_divide(F.expr(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
+    return {"symbol_rate": per("n_symbols", "n_words"), "dup_line_rate": per("n_dup_lines - 1", "n_lines"), "repeat_rate": per("n_repeat_words", "n_words"), "word_length": per("word_chars", "n_words")}
+
+
+def _key(columns: list[str]) -> Column:
+    """The values of a group as one text that keeps nulls apart."""
+    return F.to_json(F.array(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"}) if columns else F.lit("all")
 
 
 def thresholds(measured: DataFrame, groups: list[str]) -> DataFrame:
-    """Per group, ``low_*`` and ``high_*`` of every feature, from the sketch of the group, its language or all rows."""
+    """Per ``_key`` of a group, ``low_*`` and ``high_*`` of every feature.
+
+    The groups' sketches are merged for each leading part of the group columns
+    (language and source, language, all); bounds come from the narrowest part
+    with ``MIN_GROUP`` rows. Only the bounds of all rows reach the driver.
+    """
     names = list(SLACK)
     sketched = measured.filter("n_words > 0").withColumns(features()).groupBy(*groups).agg(
         F.count("*").alias("n"), *[F.kll_sketch_agg_double(f, F.lit(SKETCH_K)).alias(f"s_{f}") for f in names]
     )
     sketched = cut_lineage(sketched, "quality-sketches")
-    merged = lambda df, to: df.agg(F.sum("n").alias(f"n_{to}"), *[F.kll_merge_agg_double(f"s_{f}").alias(f"{to}_{f}") for f in names])
-    wide = merged(sketched.groupBy(groups[0]), "lang").withColumnRenamed(groups[0], "_g")
-    every = merged(sketched.groupBy(F.lit(0).alias("_one")), "all")
-    joined = sketched.join(wide, F.col("_g").eqNullSafe(F.col(groups[0]))).withColumn("_one", F.lit(0)).join(every, "_one")
-    out = []
+    parts = F.array(*[_key(groups[:depth]) for depth in range(len(groups) + 1)])
+    merged = sketched.select(F.posexplode(parts).alias("depth", "part"), "n", *[f"s_{f}" for f in names])
+    merged = merged.groupBy("depth", "part").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"s_{f}").alias(f"s_{f}") for f in names])
+    bounds = []
     for f in names:
-        sketch = F.when(F.col("n") >= MIN_GROUP, F.col(f"s_{f}")).when(F.col("n_lang") >= MIN_GROUP, F.col(f"lang_{f}")).otherwise(F.col(f"all_{f}"))
-        q1, q3 = (F.kll_sketch_get_quantile_double(sketch, F.lit(r)) for r in (0.25, 0.75))
+        q1, q3 = (F.kll_sketch_get_quantile_double(f"s_{f}", F.lit(r)) for r in (0.25, 0.75))
         room = F.greatest((q3 - q1) * FENCE, F.lit(SLACK[f]))
-        out += [(q1 - room).alias(f"low_{f}"), (q3 + room).alias(f"high_{f}")]
-    return joined.select(*groups, *out)
+        bounds += [(q1 - room).alias(f"low_{f}"), (q3 + room).alias(f"high_{f}")]
+    limits = [f"{side}_{f}" for f in names for side in ("low", "high")]
+    bounded = cut_lineage(merged.select("depth", "part", "n", *bounds), "quality-bounds")
+    every = bounded.filter("depth = 0").first()
+    out = sketched.select(*[parts[d].alias(f"_p{d}") for d in range(len(groups) + 1)], *[F.lit(every[c] if every else None).cast("double").alias(c) for c in limits])
+    for depth in range(1, len(groups) + 1):
+        own = bounded.filter((F.col("depth") == depth) & (F.col("n") >= MIN_GROUP))
+        own = own.select(F.col("part").alias(f"_p{depth}"), *[F.col(c).alias(f"own_{c}") for c in limits])
+        out = out.join(own, f"_p{depth}", "left").withColumns({c: F.coalesce(f"own_{c}", c) for c in limits}).drop(*[f"own_{c}" for c in limits])
+    return out.select(F.col(f"_p{len(groups)}").alias("_key"), *limits)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """(doc_id, counts, base_failed, kept) of every row."""
     measured = cut_lineage(measure(docs, id_col, text_col, by), "quality-counts")
     groups = [f"g{i}" for i in range(len(by))]
-    # Null groups join as a marked text of their own.
-    key = F.to_json(F.array(*groups), {"ignoreNullFields": "false"})
-    bounds = thresholds(measured, groups).withColumn("_key", key).drop(*groups)
+    bounds = thresholds(measured, groups)
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = measured.withColumn("base_failed", base_failed).withColumn("_key", key)
+    judged = measured.withColumn("base_failed", base_failed).withColumn("_key", _key(groups))
     failed = judged.filter("n_words = 0").withColumn("kept", F.lit(False))
     rows = attach_stats(judged.filter("n_words > 0").withColumns(features()), bounds, ["_key"], ["doc_id", "n_words", "word_chars"])
     inside = [F.col(f) <= F.col(f"high_{f}") for f in SLACK] + [F.col("word_length") >= F.col("low_word_length")]
