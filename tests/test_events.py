@@ -147,9 +147,38 @@ def test_sinks(spark, tmp_path, capfd):
     assert sinks.SINKS["redpanda"] is sinks.SINKS["kafka"]
     options = sinks.topic_sink_options("broker:9092")
     assert options["topic"] == "chat_events" and options["kafka.delivery.timeout.ms"] == "5000"
-    assert S.topic_options("b:9092", "t") == {
-        "kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10000",
-    }
+    whole = {"kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "earliest"}
+    assert S.topic_options("b:9092", "t") == whole
+    assert S.topic_options("b:9092", "t", S.MAX_IN_FLIGHT) == whole | {"maxOffsetsPerTrigger": "10000"}
+
+
+def test_the_mock_sink_prints_every_event(spark, tmp_path, capfd):
+    events = [CHAT | {"message": f"m{i:02d}."} for i in range(21)]
+    sinks.write_events(normalized(spark, *events), "mock")
+    printed = capfd.readouterr().out
+    assert all(f"m{i:02d}." in printed for i in range(21))
+    land(bodies(spark, *events), tmp_path / "raw")
+    J.drain(J.normalize_stream(S.stream_lines(spark, str(tmp_path / "raw")), "mock", trigger=J.DRAIN))
+    printed = capfd.readouterr().out
+    assert all(f"m{i:02d}." in printed for i in range(21))
+
+
+def test_a_late_first_arrival_is_no_repeat(spark, tmp_path):
+    """An event a year older than what came before it is kept; its repeat is not."""
+    land(normalized(spark, CHAT, JOIN).select(F.to_json(F.struct("*")).alias("value")).coalesce(1), tmp_path / "in")
+    late = normalized(spark, CHAT | {"timestamp": CHAT["timestamp"] - 31_536_000})
+    schema = late.schema
+
+    def run():
+        parsed = S.stream_lines(spark, str(tmp_path / "in")).select(F.from_json("value", schema).alias("e")).select("e.*")
+        query = J.distinct_events(parsed).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        J.drain(query.option("checkpointLocation", str(tmp_path / "cp")).trigger(**J.DRAIN).start())
+
+    run()
+    both = late.unionByName(normalized(spark, CHAT))
+    land(both.select(F.to_json(F.struct("*")).alias("value")), tmp_path / "in")
+    run()
+    assert spark.read.schema(schema).parquet(str(tmp_path / "out")).count() == 3
 
 
 def land(df, path):

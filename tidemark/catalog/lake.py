@@ -80,16 +80,26 @@ def kt_insert(spark, d):
     return K.insert(V.trades(spark, d), V.fills(spark, d))
 
 
+def _since(log: DataFrame, day: str) -> DataFrame:
+    """Changes of the commits after ``day``: the bound stands on the stored instant too, so it reaches the scan."""
+    return log.filter(F.col("ts") >= F.date_add(F.to_date(F.lit(day), "yyyyMMdd"), 1).cast("timestamp"))
+
+
+def _until(log: DataFrame, day: str) -> DataFrame:
+    return log.filter(F.col("ts") < F.date_add(F.to_date(F.lit(day), "yyyyMMdd"), 1).cast("timestamp"))
+
+
 def kt_incremental(spark, d):
-    return K.incremental(V.changes(spark, d), ["user_id"], ["ts"], "commit_time", MID)
+    return K.incremental(_since(V.changes(spark, d), MID), ["user_id"], ["ts"], "commit_time", MID)
 
 
 def kt_incremental_changes(spark, d):
-    return K.incremental(V.changes(spark, d), ["user_id"], ["ts"], "commit_time", MID, end=COMPACTED, changes=True)
+    log = _until(_since(V.changes(spark, d), MID), COMPACTED)
+    return K.incremental(log, ["user_id"], ["ts"], "commit_time", MID, end=COMPACTED, changes=True)
 
 
 def kt_as_of(spark, d):
-    return K.as_of(V.changes(spark, d), ["user_id"], ["ts"], "commit_time", MID)
+    return K.as_of(_until(V.changes(spark, d), MID), ["user_id"], ["ts"], "commit_time", MID)
 
 
 def kt_commit_timeline(spark, d):
@@ -123,12 +133,12 @@ def _change_table(spark: SparkSession, d: str, table_type: str, compact_at: str
     """Replay the change log as one commit per ten days."""
     path = scratch_path(spark, "users")
     table = KeyedTable(spark, path, ["user_id"], "ts", table_type)
-    log, after = V.changes(spark, d).drop("commit_time"), "00000000"
-    day = F.date_format("ts", "yyyyMMdd")
+    log, after = V.changes(spark, d).drop("commit_time"), None
     for until in DECADES:
+        part = log if after is None else _since(log, after)
         # The last commit takes all that is left.
-        upto = F.lit(True) if until == DECADES[-1] else day <= until
-        table.change(log.filter((day > after) & upto), "op", ["ts"], commit_time=until)
+        part = part if until == DECADES[-1] else _until(part, until)
+        table.change(part, "op", ["ts"], commit_time=until)
         if until == compact_at:
             table.compact()
         after = until
@@ -156,6 +166,34 @@ def kt_table_incremental(spark, d):
     return _user_rows(_change_table(spark, d, MERGE_ON_READ).incremental(DECADES[0]))
 
 
+def kt_table_incremental_event_time(spark, d):
+    """The later part of the month arrives first: of the earlier part only rows that win, and are not deleted, are news."""
+    table = KeyedTable(spark, scratch_path(spark, "users"), ["user_id"], "ts", MERGE_ON_READ, mode="event_time")
+    log, day = V.changes(spark, d).drop("commit_time"), F.date_format("ts", "yyyyMMdd")
+    first = table.change(log.filter(day > COMPACTED), "op", ["ts"], commit_time=DECADES[0])
+    table.change(log.filter(day <= COMPACTED), "op", ["ts"], commit_time=DECADES[1])
+    return _user_rows(table.incremental(first))
+
+
+def _trade_table(spark) -> KeyedTable:
+    return KeyedTable(spark, scratch_path(spark, "trades"), KEY, "updated_at", MERGE_ON_READ)
+
+
+def kt_overwrite(spark, d):
+    """A table of trades replaced by the fills, of which each key's last counts."""
+    table = _trade_table(spark)
+    table.upsert(V.trades(spark, d))
+    table.overwrite(V.fills(spark, d))
+    return _trade_rows(table.snapshot())
+
+
+def kt_bulk_insert(spark, d):
+    """The fills as they are: no key lookup, no reduction."""
+    table = _trade_table(spark)
+    table.bulk_insert(V.fills(spark, d))
+    return _trade_rows(table.snapshot())
+
+
 def kt_table_as_of(spark, d):
     return _user_rows(_change_table(spark, d, COPY_ON_WRITE).snapshot(as_of=DECADES[1]))
 
@@ -294,6 +332,14 @@ QUERIES = {
     "kt_table_mor": (kt_table_mor, _latest("", columns=_USERS)),
     "kt_read_optimized": (kt_read_optimized, _latest(f"WHERE commit_time <= '{DECADES[1]}'", columns=_USERS)),
     "kt_table_incremental": (kt_table_incremental, _latest(f"WHERE commit_time > '{DECADES[0]}'", columns=_USERS)),
+    "kt_table_incremental_event_time": (
+        kt_table_incremental_event_time,
+        f"WITH {V.CHANGES_SQL}, late AS (SELECT * FROM (SELECT *, {_LATEST} FROM chg WHERE commit_time > '{COMPACTED}') WHERE rn = 1),"
+        f" early AS (SELECT * FROM (SELECT *, {_LATEST} FROM chg WHERE commit_time <= '{COMPACTED}') WHERE rn = 1)"
+        f" SELECT {_USERS} FROM early WHERE op <> 'd' AND user_id NOT IN (SELECT user_id FROM late WHERE op <> 'd')",
+    ),
+    "kt_overwrite": (kt_overwrite, f"{_TF} SELECT {V.TRADE_OUT} FROM last_fill"),
+    "kt_bulk_insert": (kt_bulk_insert, f"{_TF} SELECT {V.TRADE_OUT} FROM fills"),
     "kt_table_as_of": (kt_table_as_of, _latest(f"WHERE commit_time <= '{DECADES[1]}'", columns=_USERS)),
     "dq_constraints": (
         dq_constraints,

@@ -8,8 +8,9 @@ from tidemark.catalog import views as V
 from tidemark.functions import returns as R
 from tidemark.operators import distribution as D, ordering as O
 from tidemark.plans import garch as G, volatility as P
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources.tables import scan_bars
+from tidemark.streaming.sinks import export_daily, export_results
 
 START, END = "1996-01-01", "2000-01-01"
 HIST_BINS = 50
@@ -163,6 +164,29 @@ def ts_daily_export(spark, d):
     return V.rounded(P.daily_rows(P.rolling(labelled, "garch_vol", "garch")), 8)
 
 
+def ts_egarch_dispersion(spark, d):
+    """Rolling mean, deviation and dispersion of the EGARCH volatility."""
+    labelled, _ = _fixed_study(spark, d)
+    out = P.rolling(labelled, "egarch_vol", "egarch")
+    return V.rounded(out.select("ticker", "date", "egarch_ma", "egarch_std", "egarch_dispersion"), 8)
+
+
+def ts_export_results(spark, d):
+    """The result rows written as CSV and read back."""
+    results, path = ts_result_rows(spark, d), scratch_path(spark, "results-csv")
+    export_results(results, path)
+    return spark.read.schema(results.schema).option("header", True).csv(path)
+
+
+def ts_export_daily(spark, d):
+    """The daily series written as CSV, a folder per ticker, and read back."""
+    labelled, _ = _fixed_study(spark, d)
+    series, path = P.rolling(labelled, "garch_vol", "garch"), scratch_path(spark, "daily-csv")
+    export_daily(series, path)
+    back = spark.read.schema(P.daily_rows(series).schema).option("header", True).csv(path)
+    return V.rounded(back, 8)
+
+
 def _grid(spark, d, model):
     """Log-likelihood of every point of the model's coarse grid for every ticker."""
     _, series = _prepared(spark, d)
@@ -412,6 +436,12 @@ QUERIES = {
         " SELECT ticker, CAST(date AS VARCHAR) AS Date, close AS Close, round(log_return, 8) AS Log_Returns, round(garch_vol, 8) AS GARCH_Volatility,"
         " round(egarch_vol, 8) AS EGARCH_Volatility, round(CASE WHEN n = 20 THEN disp END, 8) AS GARCH_Vol_Dispersion, vol_regime AS Vol_Regime FROM w",
     ),
+    "ts_egarch_dispersion": (
+        ts_egarch_dispersion,
+        f"{_MODEL_SQL}, w AS (SELECT ticker, date, count(*) OVER {_WIN} AS n, stddev_samp(egarch_vol) OVER {_WIN} AS s, avg(egarch_vol) OVER {_WIN} AS m FROM day)"
+        " SELECT ticker, CAST(date AS VARCHAR) AS date, round(CASE WHEN n = 20 THEN m END, 8) AS egarch_ma,"
+        " round(CASE WHEN n = 20 THEN s END, 8) AS egarch_std, round(CASE WHEN n = 20 THEN s / m END, 8) AS egarch_dispersion FROM w",
+    ),
     "ts_garch_grid": (ts_garch_grid, _grid_query(G.GARCH)),
     "ts_egarch_grid": (ts_egarch_grid, _grid_query(G.EGARCH)),
     "ts_garch_fit": (ts_garch_fit, _fit_query(G.GARCH)),
@@ -427,3 +457,5 @@ QUERIES = {
         " true AS stationary, true AS pattern_agrees, true AS leverage_agrees FROM ret GROUP BY 1",
     ),
 }
+QUERIES["ts_export_results"] = (ts_export_results, QUERIES["ts_result_rows"][1])
+QUERIES["ts_export_daily"] = (ts_export_daily, QUERIES["ts_daily_export"][1])

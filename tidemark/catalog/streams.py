@@ -12,6 +12,7 @@ from tidemark.streaming import jobs as J
 
 RECENT = 3
 MEMBERS_DELAY = "60 days"
+WINDOW_S = 86_400
 
 
 def _parsed(spark, d):
@@ -24,10 +25,11 @@ def _normalized(spark, d):
 
 
 def _delivered(spark, d):
-    """Normalised events with a late second copy of those whose k is 90 or more."""
+    """Normalised events with a late second copy of those whose k is 90 or more (copied after the one parse)."""
     events = P.valid_events(_parsed(spark, d))
-    copies = events.filter(F.col("k") >= V.LATE_COPY).withColumn("server_ms", F.col("server_ms") + 1000)
-    return P.normalize_events(events.unionByName(copies), F.col("server_ms"))
+    delays = F.when(F.col("k") >= V.LATE_COPY, F.array(F.lit(0), F.lit(1000))).otherwise(F.array(F.lit(0)))
+    copies = events.withColumn("_late", F.explode(delays))
+    return P.normalize_events(copies, F.col("server_ms") + F.col("_late"))
 
 
 def ev_parse_valid(spark, d):
@@ -90,6 +92,14 @@ def ev_latency(spark, d):
     return V.rounded(P.latency_summary(_normalized(spark, d)))
 
 
+def ev_latency_by_window(spark, d):
+    return V.rounded(P.latency_by_window(_normalized(spark, d), WINDOW_S))
+
+
+def ev_failure_reply(spark, d):
+    return P.failure_reply(_parsed(spark, d), EVENT_TOPIC)
+
+
 # ---- streams: the view is landed as files, drained in micro-batches -------------------------------
 
 FILES, PER_BATCH = 8, 4
@@ -128,6 +138,16 @@ def ev_stream_rejects(spark, d):
     return spark.read.schema("raw string, error string").parquet(out).groupBy("error").agg(F.count("*").alias("n"))
 
 
+def ev_persist_rejects(spark, d):
+    """Topic records the persisting stream cannot store: cut off, or without a payload."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "record-rejects")
+    time, value = F.get_json_object("value", "$.timestamp").cast("bigint") % 7, F.col("value")
+    faulty = F.when(time == 0, F.substring(value, F.lit(1), F.length(value) - 1)).when(time == 1, F.regexp_replace(value, '"payload":"[^"]*",', ""))
+    P.to_topic_records(_normalized(spark, d)).withColumn("value", faulty.otherwise(value)).repartition(FILES).write.parquet(topic)
+    J.drain(J.record_reject_stream(stream_records(spark, topic, PER_BATCH), out, f"{out}-checkpoint", J.DRAIN))
+    return spark.read.schema("raw string, error string").parquet(out).groupBy("error").agg(F.count("*").alias("n"))
+
+
 def ev_stream_persist(spark, d):
     """Topic records, some delivered twice, through the persisting stream into the message table."""
     topic, path = scratch_path(spark, "topic"), scratch_path(spark, "messages")
@@ -178,9 +198,32 @@ def cdc_symbol_totals(spark, d):
 
 
 def cdc_as_of(spark, d):
-    """The table as the change history had it in the middle of the month."""
-    envelopes = C.of_table(C.decode_envelopes(V.envelopes(spark, d)))
-    return C.apply_changes(C.change_rows(envelopes.filter(F.col("commit_time") <= "20240115")))
+    """The table as the change history had it in the middle of the month; the bound on ``ts`` reaches the scan."""
+    early = V.envelopes(spark, d).filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp"))
+    commits = early.withColumn("_at", F.col("commit_time")).select("_at", "value")
+    decoded = C.change_rows(C.of_table(C.decode_envelopes(commits)), "base64", "_at")
+    return C.changes_as_of(decoded, "_at", "20240115")
+
+
+def cdc_rejected(spark, d):
+    """Reasons of the change records that cannot be applied."""
+    return C.rejected_changes(C.parse_changes(V.faulty_envelopes(spark, d))).groupBy("error").agg(F.count("*").alias("n"))
+
+
+def cdc_stream_rejects(spark, d):
+    """The same through the reject stream."""
+    topic, out = _land(V.faulty_envelopes(spark, d), "envelopes"), scratch_path(spark, "change-rejects")
+    J.drain(J.change_reject_stream(stream_lines(spark, topic, PER_BATCH), out, f"{out}-checkpoint", J.DRAIN))
+    return spark.read.schema("raw string, error string").parquet(out).groupBy("error").agg(F.count("*").alias("n"))
+
+
+def cdc_stream_ties(spark, d):
+    """Envelopes whose position says nothing but the day: ties fall to the later source time, in a stream as in a batch."""
+    day = F.regexp_replace("value", '"lsn":[0-9]+', F.concat(F.lit('"lsn":'), F.col("commit_time")))
+    topic, path = _land(V.envelopes(spark, d).withColumn("value", day), "envelopes"), scratch_path(spark, "trades")
+    table = J.change_table(spark, path)
+    J.drain(J.change_stream(stream_lines(spark, topic, PER_BATCH), table, f"{path}-checkpoint", J.DRAIN))
+    return J.current_trades(table)
 
 
 def cdc_stream_apply(spark, d):
@@ -207,6 +250,13 @@ _MEMBERS = f"""{_N}, moves AS (
   FROM norm WHERE event_type IN ('join', 'leave'))
 SELECT room_id, user_id, timestamp AS joined_at, timestamp AS updated_at FROM moves WHERE rn = 1 AND event_type = 'join'"""
 
+_CHANGE_REJECTS = (
+    f"SELECT error, count(*) AS n FROM (SELECT CASE WHEN k = {V.CUT_SHORT} THEN 'malformed_json' WHEN event_type <> 'purchase' THEN"
+    f" CASE WHEN k = {V.TEXT_TIME} THEN 'wrong_instant:created_at' WHEN k = {V.NO_ROOM} THEN 'unknown_operation'"
+    f" WHEN k = {V.NUMBER_USER} AND event_type <> 'error' THEN 'wrong_decimal:stock_price' END END AS error"
+    " FROM (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)) WHERE error IS NOT NULL GROUP BY 1"
+)
+
 QUERIES = {
     "ev_parse_valid": (
         ev_parse_valid,
@@ -286,4 +336,27 @@ QUERIES = {
         " WHERE commit_time <= '20240115') WHERE rn = 1 AND NOT gone",
     ),
     "cdc_stream_apply": (cdc_stream_apply, f"{_E} SELECT {_LIVE} FROM live"),
+    "cdc_rejected": (cdc_rejected, _CHANGE_REJECTS),
+    "cdc_stream_rejects": (cdc_stream_rejects, _CHANGE_REJECTS),
+    "cdc_stream_ties": (
+        cdc_stream_ties,
+        f"{_E} SELECT {_LIVE} FROM (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY commit_time DESC, ts_ms DESC, stock_name DESC) AS rn"
+        " FROM envl) WHERE rn = 1 AND NOT gone",
+    ),
+    "ev_latency_by_window": (
+        ev_latency_by_window,
+        f"{_N}, lat AS (SELECT CAST(floor(timestamp / {WINDOW_S}) * {WINDOW_S} AS BIGINT) AS window_start,"
+        " CAST(server_timestamp - timestamp * 1000 AS DOUBLE) AS ms FROM norm)"
+        " SELECT window_start, count(*) AS n, round(avg(ms), 6) AS mean_ms, min(ms) AS min_ms, max(ms) AS max_ms,"
+        " round(quantile_cont(ms, 0.95), 6) AS upper_ms FROM lat GROUP BY 1",
+    ),
+    "ev_failure_reply": (
+        ev_failure_reply,
+        f"{_N} SELECT false AS ok, error AS status, CAST(NULL AS VARCHAR) AS event_id, 'chat_events' AS topic FROM checked WHERE error IS NOT NULL",
+    ),
+    "ev_persist_rejects": (
+        ev_persist_rejects,
+        f"{_N} SELECT CASE timestamp % 7 WHEN 0 THEN 'malformed_json' ELSE 'missing_field:payload' END AS error, count(*) AS n"
+        " FROM norm WHERE timestamp % 7 IN (0, 1) GROUP BY 1",
+    ),
 }

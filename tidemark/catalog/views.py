@@ -243,11 +243,26 @@ def envelopes(spark: SparkSession, folder: str) -> DataFrame:
     wrapped = F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), F.to_json(bare), F.lit("}"))
     return e.select(
         F.lit("cdc.public.stock_trades").alias("topic"),
+        "ts",
+        "k",
         F.date_format("ts", "yyyyMMdd").alias("commit_time"),
         F.when(F.col("k") < 50, wrapped).otherwise(F.to_json(bare)).alias("value"),
     )
 
 
+def faulty_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """The envelopes, some of them with faults by the event's own k value."""
+    k, value = F.col("k"), F.col("value")
+    return envelopes(spark, folder).withColumn(
+        "value",
+        F.when(k == CUT_SHORT, F.substring(value, F.lit(1), F.length(value) - 1))
+        .when(k == TEXT_TIME, F.regexp_replace(value, '"created_at":"[^"]*"', '"created_at":"soon"'))
+        .when(k == NO_ROOM, F.regexp_replace(value, '"op":"[a-z]"', '"op":"x"'))
+        .when(k == NUMBER_USER, F.regexp_replace(value, '"stock_price":"[^"]*"', '"stock_price":"12.5"'))
+        .otherwise(value),
+    )
+
+
 ENVELOPES_SQL = """img AS (
   SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_type <> 'purchase'),
 envl AS (

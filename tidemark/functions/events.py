@@ -41,14 +41,26 @@ def field_types(variant: Column) -> Column:
     return F.transform_values(variant.try_cast("map<string, variant>"), lambda _, v: F.schema_of_variant(v))
 
 
-def json_value(variant: Column, field: str, kind: str) -> Column:
-    return F.try_variant_get(variant, f"$.{field}", "bigint" if kind == WHOLE else "string")
-
-
-def json_fields(variant: Column, fields: dict[str, str]) -> Column:
-    """All fields of a body as one struct; NULL where some value does not fit its type."""
-    kinds = ", ".join(f"{name}: {'bigint' if kind == WHOLE else 'string'}" for name, kind in fields.items())
-    return F.try_variant_get(variant, "$", f"struct<{kinds}>")
+def typed_fields(body: Column, fields: dict[str, str]) -> Column:
+    """The named fields of a JSON body as one typed struct, in one parse."""
+    kinds = ", ".join(f"`{name}` {'bigint' if kind == WHOLE else 'string'}" for name, kind in fields.items())
+    return F.from_json(body, kinds)
+
+
+def shape_of(variant: Column) -> Column:
+    """The body's fields and types as text (``OBJECT<a: STRING, b: BIGINT>``); NULL for malformed JSON."""
+    return F.schema_of_variant(variant)
+
+
+def plainly_valid(required: dict[str, str], optional: dict[str, str]) -> str:
+    """Pattern of the shapes that are valid at a glance: every required field there, every known one of its type,
+    nothing nested. Shapes that don't match are looked at field by field."""
+    present = "".join(f"(?=.*[< ]{name}: {kind}[,>])" for name, kind in required.items())
+    known = "|".join(f"{name}: {kind}" for name, kind in required.items())
+    known = "|".join([known, *[f"{name}: (?:{kind}|VOID)" for name, kind in optional.items()]])
+    names = "|".join([*required, *optional])
+    other = rf"(?!(?:{names}):)\w+: \w+(?:\(\d+,\d+\))?"
+    return rf"^{present}OBJECT<(?:(?:{known}|{other})(?:, |(?=>$)))+>$"
 
 
 def _literal_map(fields: dict[str, str]) -> Column:

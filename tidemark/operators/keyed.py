@@ -44,9 +44,13 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*").select(*df.columns)
 
 
-def precombine(batch: DataFrame, keys: Sequence[str], ordering: str) -> DataFrame:
-    """Reduce duplicate keys inside one batch to the row with the greatest ordering value."""
-    return latest_by_key(batch, keys, [ordering])
+def columns_of(names: str | Sequence[str]) -> list[str]:
+    return [names] if isinstance(names, str) else list(names)
+
+
+def precombine(batch: DataFrame, keys: Sequence[str], ordering: str | Sequence[str]) -> DataFrame:
+    """Reduce duplicate keys inside one batch to the row with the greatest ordering values."""
+    return latest_by_key(batch, keys, columns_of(ordering))
 
 
 def refuse_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,7 +78,9 @@ def concat_by_name(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], ordering: str, mode: str = "commit_time") -> DataFrame:
+def upsert(
+    base: DataFrame, batch: DataFrame, keys: Sequence[str], ordering: str | Sequence[str], mode: str = "commit_time"
+) -> DataFrame:
     """Insert new keys and replace existing ones whole-row.
 
     ``commit_time``: the incoming row wins. ``event_time``: the greater ordering
@@ -88,7 +94,7 @@ def upsert(base: DataFrame, batch: DataFrame, keys: Sequence[str], ordering: str
         # Only stored rows with a key in the batch compete; the rest of the base is not reduced.
         stored = base.join(batch.select(*keys), list(keys), "left_semi").withColumn("_in", F.lit(0))
         both = concat_by_name(stored, batch.withColumn("_in", F.lit(1)))
-        return concat_by_name(untouched, latest_by_key(both, keys, [ordering, "_in"]).drop("_in"))
+        return concat_by_name(untouched, latest_by_key(both, keys, [*columns_of(ordering), "_in"]).drop("_in"))
     raise ValueError(f"unknown upsert mode: {mode}")
 
 
@@ -151,7 +157,11 @@ def snapshot(log: DataFrame, keys: Sequence[str], order: Sequence[str], op: str
 
 
 def as_of(log: DataFrame, keys: Sequence[str], order: Sequence[str], commit: str, at: str, op: str = "op") -> DataFrame:
-    """Snapshot as it stood after commit ``at``; the bound prunes the scan."""
+    """Snapshot as it stood after commit ``at``.
+
+    The bound reaches the scan where ``commit`` is a column of the file or a
+    partition; bound a derived commit by its source column as well.
+    """
     return snapshot(log.filter(F.col(commit) <= at), keys, order, op)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.events import evaluate_once
-from tidemark.operators.keyed import DELETE, as_of, latest_by_key, snapshot
+from tidemark.operators.keyed import DELETE, as_of, snapshot
 from tidemark.schemas import CHANGE_ENVELOPE, STOCK_TRADES_KEY
 
 # Fixed names of the captured table and its topic.
@@ -18,25 +18,37 @@ UPSERT_OPS = ["c", "u", "r"]
 CHANGE_ORDER = ["lsn", "ts_ms"]
 
 
-def decode_decimal(text: Column, precision: int = 12, scale: int = 2) -> Column:
-    """Decimal from base64 of the unscaled big-endian two's-complement integer (up to 8 bytes)."""
-    digits = F.hex(F.unbase64(text))
+def decode_decimal(text: Column, precision: int = 12, scale: int = 2, mode: str = "base64") -> Column:
+    """Decimal of a change record; NULL where the text is none.
+
+    The connector declares how it writes decimals: ``base64`` of the unscaled
+    big-endian two's-complement integer (up to 8 bytes, so up to 18 digits), or
+    plain ``string``.
+    """
+    if not 0 < precision <= 18:
+        raise ValueError("decimals of more than 18 digits are not supported")
+    if mode == "string":
+        return text.try_cast(f"decimal({precision},{scale})")
+    if mode != "base64":
+        raise ValueError(f"unknown decimal mode: {mode}")
+    digits = F.hex(F.try_to_binary(text, F.lit("base64")))
     sign = F.when(digits >= "8", "F").otherwise("0")
     unscaled = F.conv(F.lpad(digits, F.lit(16), sign), 16, -10).cast("decimal(20,0)")
-    return (unscaled * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal({precision},{scale})")
+    value = (unscaled * F.lit(Decimal(1).scaleb(-scale))).try_cast(f"decimal({precision},{scale})")
+    return F.when(F.length(digits).between(2, 16), value)
 
 
-def decode_envelopes(records: DataFrame, body: str = "value") -> DataFrame:
+def decode_envelopes(records: DataFrame, body: str = "value", keep: bool = False) -> DataFrame:
     """Envelope columns of each change record; the body may be bare or wrapped beside its schema.
 
-    Bodies that are no envelope (no operation) come out with ``op`` NULL.
+    Bodies that are no envelope (no operation) come out with ``op`` NULL. ``keep`` keeps the body too.
     """
     both = StructType([StructField("payload", CHANGE_ENVELOPE), *CHANGE_ENVELOPE])
     # One parse serves both forms: a wrapped body fills ``payload``, a bare one the fields beside it.
     parsed = evaluate_once(records, _e=F.from_json(F.col(body), both))
     wrapped = F.col("_e.payload").isNotNull()
     fields = [F.when(wrapped, F.col(f"_e.payload.{f}")).otherwise(F.col(f"_e.{f}")).alias(f) for f in CHANGE_ENVELOPE.names]
-    return parsed.select(*[c for c in records.columns if c != body], *fields)
+    return parsed.select(*[c for c in records.columns if keep or c != body], *fields)
 
 
 def of_table(envelopes: DataFrame, schema: str = SOURCE_SCHEMA, table: str = SOURCE_TABLE) -> DataFrame:
@@ -48,45 +60,88 @@ def of_topic(records: DataFrame, topic: str) -> DataFrame:
     return records.filter(F.col("topic") == topic)
 
 
-def change_rows(envelopes: DataFrame) -> DataFrame:
-    """Typed rows of a change stream: key from whichever image exists, ``op`` c/u/r/d and source position.
+CHANGE_COLUMNS = [
+    "trade_id", "stock_name", "stock_price", "stock_purchase_choice", "trader_id", "created_at", "updated_at", "op", "lsn", "ts_ms",
+]
 
-    A delete carries the key alone: the source publishes only the primary key in ``before``.
-    """
+
+def _typed(envelopes: DataFrame, decimals: str) -> DataFrame:
+    """Envelopes with the typed columns of a change and, in ``_i``, the image they come from."""
     gone = F.col("op") == DELETE
-    image = F.when(gone, F.col("before")).otherwise(F.col("after"))
-    typed = envelopes.filter(F.col("op").isin(*UPSERT_OPS, DELETE)).withColumn("_i", image)
+    imaged = envelopes.withColumn("_i", F.when(gone, F.col("before")).otherwise(F.col("after")))
 
     def live(c: Column) -> Column:
         return F.when(~gone, c)
 
-    return typed.select(
-        F.col("_i.trade_id").alias("trade_id"),
-        live(F.col("_i.stock_name")).alias("stock_name"),
-        live(decode_decimal(F.col("_i.stock_price"))).alias("stock_price"),
-        live(F.col("_i.stock_purchase_choice")).alias("stock_purchase_choice"),
-        live(F.col("_i.trader_id")).alias("trader_id"),
-        F.to_timestamp("_i.created_at").alias("created_at"),
-        live(F.to_timestamp("_i.updated_at")).alias("updated_at"),
-        "op",
-        F.coalesce("source.lsn", F.lit(0)).alias("lsn"),
-        "ts_ms",
+    return imaged.withColumns(
+        {
+            "trade_id": F.col("_i.trade_id"),
+            "stock_name": live(F.col("_i.stock_name")),
+            "stock_price": live(decode_decimal(F.col("_i.stock_price"), mode=decimals)),
+            "stock_purchase_choice": live(F.col("_i.stock_purchase_choice")),
+            "trader_id": live(F.col("_i.trader_id")),
+            "created_at": F.try_to_timestamp(F.col("_i.created_at")),
+            "updated_at": live(F.try_to_timestamp(F.col("_i.updated_at"))),
+            "lsn": F.coalesce("source.lsn", F.lit(0)),
+        }
     )
 
 
+def change_rows(envelopes: DataFrame, decimals: str = "base64", *also: str) -> DataFrame:
+    """Typed rows of a change stream: key from whichever image exists, ``op`` c/u/r/d and source position.
+
+    A delete carries the key alone: the source publishes only the primary key
+    in ``before``. Values that cannot be decoded are NULL here;
+    :func:`parse_changes` tells them apart. ``also`` names further columns to keep.
+    """
+    return _typed(envelopes.filter(F.col("op").isin(*UPSERT_OPS, DELETE)), decimals).select(*CHANGE_COLUMNS, *also)
+
+
+def parse_changes(
+    records: DataFrame, body: str = "value", schema: str = SOURCE_SCHEMA, table: str = SOURCE_TABLE, decimals: str = "base64"
+) -> DataFrame:
+    """Changes of one table with the raw body and ``error``, NULL for those that can be applied.
+
+    Records of other tables are left out; what cannot be read as an envelope at all stays, as it could be of any.
+    """
+    envelopes = decode_envelopes(records.select(F.col(body).alias("value")), keep=True)
+    known = F.col("op").isNull() | ((F.col("source.schema") == schema) & (F.col("source.table") == table))
+    typed = _typed(envelopes.filter(known), decimals)
+    upsert = F.col("op") != DELETE
+
+    def unread(name: str) -> Column:
+        return F.col(f"_i.{name}").isNotNull() & F.col(name).isNull()
+
+    error = (
+        F.when(F.try_parse_json("value").isNull(), "malformed_json")
+        .when(F.col("op").isNull(), "no_operation")
+        .when(~F.col("op").isin(*UPSERT_OPS, DELETE), "unknown_operation")
+        .when(F.col("_i").isNull(), "no_image")
+        .when(F.col("_i.trade_id").isNull() | F.col("_i.created_at").isNull(), "missing_key")
+        .when(unread("created_at"), "wrong_instant:created_at")
+        .when(upsert & unread("updated_at"), "wrong_instant:updated_at")
+        .when(upsert & unread("stock_price"), "wrong_decimal:stock_price")
+    )
+    return evaluate_once(typed, error=error).select("value", *CHANGE_COLUMNS, "error")
+
+
+def valid_changes(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("error").isNull()).select(*CHANGE_COLUMNS)
+
+
+def rejected_changes(parsed: DataFrame) -> DataFrame:
+    """Bad-record path: raw text and reason of every change that cannot be applied."""
+    return parsed.filter(F.col("error").isNotNull()).select(F.col("value").alias("raw"), "error")
+
+
 def apply_changes(changes: DataFrame) -> DataFrame:
     """Live rows after all changes: last change per key by source position, deleted keys absent."""
     return snapshot(changes, STOCK_TRADES_KEY, CHANGE_ORDER).drop("op", "lsn", "ts_ms")
 
 
-def last_changes(changes: DataFrame) -> DataFrame:
-    """The deciding change per key of one batch, tombstones included."""
-    return latest_by_key(changes, STOCK_TRADES_KEY, CHANGE_ORDER)
-
-
 def changes_as_of(changes: DataFrame, commit: str, at: str) -> DataFrame:
     """The table as the retained history had it at commit ``at``."""
-    return as_of(changes, STOCK_TRADES_KEY, CHANGE_ORDER, commit, at).drop("op", "lsn", "ts_ms")
+    return as_of(changes, STOCK_TRADES_KEY, CHANGE_ORDER, commit, at).drop("op", "lsn", "ts_ms", commit)
 
 
 def symbol_totals(trades: DataFrame) -> DataFrame:

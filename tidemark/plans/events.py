@@ -25,36 +25,46 @@ def _field_error(types: Column, required: Column, kinds: Column) -> Column:
     )
 
 
-def _opened_bodies(raw: DataFrame, body: str, fields: dict[str, str], **more: Column) -> DataFrame:
-    """Add the parsed body ``_v``, its field types and its fields, each computed once per row."""
-    v = F.col("_v")
-    parsed = E.evaluate_once(raw, _v=F.try_parse_json(F.col(body)))
-    return E.evaluate_once(parsed, _types=E.field_types(v), _fields=E.json_fields(v, fields), **more)
+def _opened(raw: DataFrame, body: str, passed: list[str]) -> DataFrame:
+    """The passed columns with the body ``_v`` as a variant and its shape ``_s``, each computed once per row."""
+    parsed = E.evaluate_once(raw.select(*passed), _v=F.try_parse_json(F.col(body)))
+    return E.evaluate_once(parsed, _s=E.shape_of(F.col("_v")))
 
 
 def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:
     """Parse JSON bodies as the tagged union: one column per field and ``error``, NULL for valid rows.
 
     Strict about types: a string where a whole number belongs (or the other
-    way round) is an error; unknown keys are ignored.
+    way round) is an error; unknown keys are ignored. Most bodies are accepted
+    by the text of their shape; only the others are looked at field by field.
+    The fields come from one typed parse, which is left out where none is used.
     """
-    v, types, tag = F.col("_v"), F.col("_types"), F.col("_tag")
+    v, shape, tag = F.col("_v"), F.col("_s"), F.col("_tag")
+    passed = [c for c in raw.columns if c not in _ALL_FIELDS and c != "event_type"]
+    opened = _opened(raw, body, passed).withColumn("_tag", F.try_variant_get(v, "$.event_type", "string"))
+    plain = F.lit(False)
+    for name, (required, optional) in E.EVENT_FIELDS.items():
+        plain = plain | ((tag == name) & shape.rlike(E.plainly_valid({"event_type": E.TEXT} | required, optional)))
+    types = E.field_types(v)
     tag_type = F.element_at(types, F.lit("event_type"))
-    known = tag.isin(*E.EVENT_FIELDS)
     error = (
-        F.when(v.isNull(), "malformed_json")
+        F.when(plain, None)
+        .when(v.isNull(), "malformed_json")
         .when(types.isNull(), "not_an_object")
         .when(F.coalesce(tag_type, F.lit("VOID")) == "VOID", "missing_field:event_type")
         .when(tag_type != E.TEXT, "wrong_type:event_type")
-        .when(~known, "unknown_event_type")
+        .when(~tag.isin(*E.EVENT_FIELDS), "unknown_event_type")
         .otherwise(_field_error(types, E.required_of(tag), E.kinds_of(tag)))
     )
     own = {f: [n for n, (req, opt) in E.EVENT_FIELDS.items() if f in req | opt] for f in _ALL_FIELDS}
-    fields = [F.when(tag.isin(*own[f]), F.col(f"_fields.{f}")).alias(f) for f in _ALL_FIELDS]
-    passed = [c for c in raw.columns if c not in _ALL_FIELDS and c != "event_type"]
-    opened = _opened_bodies(raw.select(*passed), body, _ALL_FIELDS, _tag=E.json_value(v, "event_type", E.TEXT))
-    event_type = F.when(tag_type == E.TEXT, tag).alias("event_type")
-    return opened.select(*passed, event_type, *fields, error.alias("error"))
+    checked = opened.select(*passed, F.when(tag_type_is_text(shape), tag).alias("event_type"), error.alias("error"))
+    typed = checked.withColumn("_f", E.typed_fields(F.col(body), _ALL_FIELDS))
+    fields = [F.when(F.col("event_type").isin(*own[f]), F.col(f"_f.{f}")).alias(f) for f in _ALL_FIELDS]
+    return typed.select(*passed, "event_type", *fields, "error")
+
+
+def tag_type_is_text(shape: Column) -> Column:
+    return shape.rlike(r"^OBJECT<(?:.*, )?event_type: STRING[,>]")
 
 
 def valid_events(parsed: DataFrame, body: str = "value") -> DataFrame:
@@ -109,16 +119,17 @@ def to_topic_records(events: DataFrame) -> DataFrame:
 def parse_normalized(records: DataFrame, body: str = "value") -> DataFrame:
     """Read normalised events back; ``error`` is set where a required field is missing or mistyped."""
     fields = E.NORMALIZED_REQUIRED | E.NORMALIZED_OPTIONAL
-    v, types = F.col("_v"), F.col("_types")
+    v, types = F.col("_v"), E.field_types(F.col("_v"))
     error = (
-        F.when(v.isNull(), "malformed_json")
+        F.when(F.col("_s").rlike(E.plainly_valid(E.NORMALIZED_REQUIRED, E.NORMALIZED_OPTIONAL)), None)
+        .when(v.isNull(), "malformed_json")
         .when(types.isNull(), "not_an_object")
         .otherwise(_field_error(types, E.normalized_required(), E.normalized_kinds()))
     )
     passed = [c for c in records.columns if c not in fields]
-    opened = _opened_bodies(records.select(*passed), body, fields)
-    values = [F.col(f"_fields.{f}").alias(f) for f in NORMALIZED_EVENT.names]
-    return opened.select(*passed, *values, error.alias("error"))
+    checked = _opened(records, body, passed).select(*passed, error.alias("error"))
+    typed = checked.withColumn("_f", E.typed_fields(F.col(body), fields))
+    return typed.select(*passed, *[F.col(f"_f.{f}").alias(f) for f in NORMALIZED_EVENT.names], "error")
 
 
 def reply(events: DataFrame, topic: str) -> DataFrame:
@@ -128,6 +139,13 @@ def reply(events: DataFrame, topic: str) -> DataFrame:
     )
 
 
+def failure_reply(parsed: DataFrame, topic: str) -> DataFrame:
+    """The answer to each event that was not delivered: no id, and the reason as its status."""
+    return parsed.filter(F.col("error").isNotNull()).select(
+        F.lit(False).alias("ok"), F.col("error").alias("status"), F.lit(None).cast("string").alias("event_id"), F.lit(topic).alias("topic")
+    )
+
+
 # ---- message store ------------------------------------------------------------------------------
 
 
@@ -214,6 +232,12 @@ def ingest_latency(events: DataFrame) -> DataFrame:
     return events.withColumn("latency_ms", F.col("server_timestamp") - F.col("timestamp") * 1000)
 
 
+def latency_by_window(events: DataFrame, seconds: int, q: float = 0.95) -> DataFrame:
+    """The latency summary of each time window of so many seconds, named by its start."""
+    start = (F.floor(F.col("timestamp") / seconds) * seconds).cast("bigint")
+    return latency_summary(events.withColumn("window_start", start), "window_start", q)
+
+
 def latency_summary(events: DataFrame, by: str = "event_type", q: float = 0.95) -> DataFrame:
     """Mean, extremes and exact upper quantile of the ingest latency."""
     # Written once: the quantile reads its input several times, and parsing is what costs.

@@ -18,7 +18,7 @@ import json
 import time
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -67,7 +67,7 @@ class KeyedTable:
         spark: SparkSession,
         path: str,
         keys: Sequence[str],
-        ordering: str,
+        ordering: str | Sequence[str],
         table_type: str = COPY_ON_WRITE,
         mode: str = "commit_time",
         compact_every: int | None = None,
@@ -79,7 +79,7 @@ class KeyedTable:
         if mode not in ("commit_time", "event_time"):
             raise ValueError(f"unknown merge mode: {mode}")
         self.spark, self.path = spark, path.rstrip("/")
-        self.keys, self.ordering = list(keys), ordering
+        self.keys, self.ordering = list(keys), K.columns_of(ordering)
         self.table_type, self.mode, self.compact_every = table_type, mode, compact_every
         self.cluster_by = list(cluster_by or [])
         self.clock = clock
@@ -99,9 +99,6 @@ class KeyedTable:
     def commit_times(self) -> list[str]:
         return list(dict.fromkeys(c.commit_time for c in self.commits()))
 
-    def has_source(self, source: str) -> bool:
-        return any(c.source == source for c in self.commits())
-
     def _next_time(self, commits: list[Commit], asked: str | None) -> str:
         last = commits[-1].commit_time if commits else ""
         if asked is None:
@@ -112,9 +109,10 @@ class KeyedTable:
             raise ValueError(f"commit time {asked} is not after {last}")
         return asked
 
-    def _record(self, commits, commit_time, operation, base, log, source, schema: StructType) -> None:
-        row = (commit_time, operation, base, log, source, schema.json(), len(commits))
-        self.spark.createDataFrame([row], _COMMITS).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
+    def _record(self, commits, commit_time, operation, base, log, source, schema: StructType) -> Commit:
+        row = Commit(commit_time, operation, base, log, source, schema.json(), len(commits))
+        self.spark.createDataFrame([astuple(row)], _COMMITS).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
+        return row
 
     # ---- files --------------------------------------------------------------------------------
 
@@ -179,7 +177,7 @@ class KeyedTable:
 
     def delete(self, batch: DataFrame, commit_time: str | None = None, source: str | None = None) -> str:
         """Remove the keys in ``batch``; it needs no other columns and its ordering is not compared."""
-        keep = [c for c in (*self.keys, self.ordering) if c in batch.columns]
+        keep = [c for c in (*self.keys, *self.ordering) if c in batch.columns]
         tombstones = batch.select(*dict.fromkeys(keep)).dropDuplicates(self.keys)
         return self._append(tombstones.withColumn(OP, F.lit(K.DELETE)), "delete", commit_time, source)
 
@@ -190,7 +188,7 @@ class KeyedTable:
         return self._append(last.withColumn(OP, kind).drop(*({op} - {OP})), "change", commit_time, source)
 
     def _append(self, rows: DataFrame, operation: str, asked: str | None, source: str | None) -> str:
-        commits = self.commits()
+        commits = self.commits()  # read once: for the name of the batch, the time, the schema and the pending logs
         if source is not None:
             for c in commits:
                 if c.source == source:
@@ -201,17 +199,17 @@ class KeyedTable:
         base = None
         if self.table_type == COPY_ON_WRITE:
             base = self._write(self._merge(commits, schema, [log]), "base", t)
-        self._record(commits, t, operation, base, log, source, schema)
-        if self.table_type == MERGE_ON_READ and self.compact_every:
-            if len(self._pending(self.commits())) >= self.compact_every:
-                self.compact()
+        commits = [*commits, self._record(commits, t, operation, base, log, source, schema)]
+        if self.table_type == MERGE_ON_READ and self.compact_every and len(self._pending(commits)) >= self.compact_every:
+            self._compact(commits)
         return t
 
     def compact(self) -> str | None:
         """Merge the log commits since the last base into a new base at the last commit's time."""
         commits = self.commits()
-        if not self._pending(commits):
-            return None
+        return self._compact(commits) if self._pending(commits) else None
+
+    def _compact(self, commits: list[Commit]) -> str:
         t, schema = commits[-1].commit_time, self._schema(commits)
         base = self._write(self._merge(commits, schema), "base", t)
         self._record(commits, t, "compact", base, None, None, schema)
@@ -227,17 +225,21 @@ class KeyedTable:
         """Log folders committed after the last base."""
         return [c.log for c in commits[self._last_base(commits) + 1 :] if c.log]
 
-    def _merge(self, commits: list[Commit], schema: StructType, more: Sequence[str] = ()) -> DataFrame:
-        """Live rows of the last base and the logs after it."""
+    def _merge(self, commits: list[Commit], schema: StructType, more: Sequence[str] = (), only: DataFrame | None = None) -> DataFrame:
+        """Live rows of the last base and the logs after it; of the keys in ``only`` if given."""
         at = self._last_base(commits)
         base = self._read([commits[at].base] if at >= 0 else [], schema, op=False)
         logs = [*self._pending(commits), *more]
+        if only is not None:
+            base = base.join(only, self.keys, "left_semi")
         if not logs:
             return base
         log = self._read(logs, schema, op=True)
+        if only is not None:
+            log = log.join(only, self.keys, "left_semi")
         if self.mode == "event_time":
             return self._merge_by_event_time(base, log)
-        last = K.latest_by_key(log, self.keys, [COMMIT, self.ordering])
+        last = K.latest_by_key(log, self.keys, [COMMIT, *self.ordering])
         # The log is reduced first and is small beside the base: once it measures small enough
         # it is broadcast and the base is not shuffled at all.
         kept = base.join(last.select(*self.keys), self.keys, "left_anti")
@@ -253,7 +255,7 @@ class KeyedTable:
         dead = log.filter(F.col(OP) == K.DELETE).groupBy(*self.keys).agg(F.max(COMMIT).alias("_dead"))
         rows = base.join(touched, self.keys, "left_semi").unionByName(log.filter(F.col(OP) != K.DELETE).drop(OP))
         alive = rows.join(dead, self.keys, "left").filter(F.col("_dead").isNull() | (F.col(COMMIT) > F.col("_dead")))
-        winners = K.latest_by_key(alive.drop("_dead"), self.keys, [self.ordering, COMMIT])
+        winners = K.latest_by_key(alive.drop("_dead"), self.keys, [*self.ordering, COMMIT])
         return base.join(touched, self.keys, "left_anti").unionByName(winners)
 
     def snapshot(self, as_of: str | None = None, meta: bool = False) -> DataFrame:
@@ -275,7 +277,10 @@ class KeyedTable:
         """Latest version of each key committed in ``(begin, end]`` with its commit time.
 
         Reads the later commits' logs only, plus a base when the table was
-        replaced in that range. Deletes are not shown unless ``changes``.
+        replaced in that range. Deletes are not shown unless ``changes``. In
+        event-time mode a row that was committed but lost to a greater ordering
+        value or to a delete is no version: the keys the range touched are
+        merged like in a snapshot, and those whose winner is of the range show.
         """
         commits = [c for c in self.commits() if end is None or c.commit_time <= end]
         if not commits:
@@ -286,6 +291,10 @@ class KeyedTable:
         logs = self._read([c.log for c in later[full + 1 :] if c.log], schema, op=True)
         if full >= 0:
             logs = self._read([later[full].base], schema, op=False).withColumn(OP, F.lit(UPSERT)).unionByName(logs)
-        order = [COMMIT, self.ordering] if self.mode == "commit_time" else [self.ordering, COMMIT]
-        last = K.latest_by_key(logs, self.keys, order)
+        last = K.latest_by_key(logs, self.keys, [COMMIT, *self.ordering])
+        if self.mode == "event_time":
+            touched = last.select(*self.keys)
+            won = self._merge(commits, schema, only=touched).filter(F.col(COMMIT) > begin).withColumn(OP, F.lit(UPSERT))
+            gone = logs.filter(F.col(OP) == K.DELETE).join(self._merge(commits, schema, only=touched), self.keys, "left_anti")
+            last = won.unionByName(K.latest_by_key(gone, self.keys, [COMMIT, *self.ordering]))
         return last if changes else last.filter(F.col(OP) != K.DELETE).drop(OP)

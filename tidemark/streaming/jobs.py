@@ -30,8 +30,21 @@ def normalize_stream(
 
 
 def reject_stream(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Bad rows with reason and raw text, kept as files."""
-    bad = P.rejected_events(P.parse_events(raw))
+    """Bad raw events with reason and raw text, kept as files."""
+    return _keep_rejects(P.rejected_events(P.parse_events(raw)), path, checkpoint, trigger)
+
+
+def record_reject_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Topic records :func:`persist_stream` skips, kept as files."""
+    return _keep_rejects(P.rejected_events(P.parse_normalized(records)), path, checkpoint, trigger)
+
+
+def change_reject_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Change records :func:`change_stream` skips, kept as files."""
+    return _keep_rejects(C.rejected_changes(C.parse_changes(records.select("value"))), path, checkpoint, trigger)
+
+
+def _keep_rejects(bad: DataFrame, path: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return (
         bad.writeStream.format("parquet")
         .option("path", path)
@@ -42,22 +55,25 @@ def reject_stream(raw: DataFrame, path: str, checkpoint: str, trigger: dict | No
 
 
 def distinct_events(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Drop repeats of an event id that arrive within ``delay`` of each other (bounded state)."""
-    timed = events.withColumn("_time", F.timestamp_seconds("timestamp"))
-    return timed.withWatermark("_time", delay).dropDuplicatesWithinWatermark(["event_id"]).drop("_time")
+    """Drop repeats of an event id that arrive within ``delay`` of each other (bounded state).
+
+    The watermark follows the time of arrival, not the event's: a first arrival
+    is never late, however old the event, so only repeats are dropped.
+    """
+    timed = events.withColumn("_arrived", F.current_timestamp())
+    return timed.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived")
 
 
 def _keep_latest(rows: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     """Upsert every micro-batch into ``table``, once.
 
     A batch is named by its checkpoint and number; a replay after a failure
-    finds its commit recorded and stops. Empty batches write no commit.
+    finds its commit recorded and writes nothing. Empty batches write no commit.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        source = f"{checkpoint}#{batch_id}"
-        if not table.has_source(source) and not batch.isEmpty():
-            table.upsert(batch, source=source)
+        if not batch.isEmpty():
+            table.upsert(batch, source=f"{checkpoint}#{batch_id}")
 
     return rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY)).start()
 
@@ -80,12 +96,12 @@ def persist_stream(records: DataFrame, table: KeyedTable, checkpoint: str, trigg
 
 def change_table(spark, path: str, **options) -> KeyedTable:
     """Last change per key by source position. Deletes are kept as rows: an older change arriving later must lose to them."""
-    return KeyedTable(spark, path, STOCK_TRADES_KEY, "lsn", **(STREAM_TABLE | options))
+    return KeyedTable(spark, path, STOCK_TRADES_KEY, C.CHANGE_ORDER, **(STREAM_TABLE | options))
 
 
 def change_stream(records: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Change envelopes into a :func:`change_table`."""
-    changes = C.change_rows(C.of_table(C.decode_envelopes(records.select("value"))))
+    """Change envelopes into a :func:`change_table`; undecodable ones go to :func:`change_reject_stream`."""
+    changes = C.valid_changes(C.parse_changes(records.select("value")))
     return _keep_latest(changes, table, checkpoint, trigger)
 
 
