@@ -113,3 +113,43 @@ def test_update_and_delete_with_an_empty_source_touch_nothing(spark):
     assert rows(K.delete_using(trades, none, ["trade_id"])) == rows(trades)
     assert K.returning(trades, none, ["trade_id"]).count() == 0
     assert rows(K.returning(trades, one.union(one), ["trade_id"])) == [("a",)]
+
+
+def test_what_cannot_be_decoded_is_kept_with_its_reason(spark):
+    good = envelope("c", "t1", 1)
+    plain = good.replace(f'"stock_price": "{price("1.00")}"', '"stock_price": "12.5"')
+    bad = {
+        good[:-1]: "malformed_json",
+        json.dumps({"a": 1}): "no_operation",
+        good.replace('"op": "c"', '"op": "x"'): "unknown_operation",
+        good.replace(CREATED, "soon"): "wrong_instant:created_at",
+        good.replace("2024-01-02T10:20:30.123456Z", "2024-13-02"): "wrong_instant:updated_at",
+        plain: "wrong_decimal:stock_price",
+        good.replace('"trade_id": "t1"', '"trade_id": null'): "missing_key",
+        good.replace('"after"', '"afterwards"'): "no_image",
+    }
+    parsed = C.parse_changes(records(spark, good, *bad, envelope("c", "t2", 2, table="other")))
+    assert {r.raw: r.error for r in C.rejected_changes(parsed).collect()} == bad
+    assert rows(C.valid_changes(parsed), "trade_id") == [("t1",)]
+    # One bad instant neither ends a batch nor counts as a time.
+    assert changes(spark, good.replace(CREATED, "soon")).first().created_at is None
+
+
+def test_decimal_modes(spark):
+    df = spark.createDataFrame([("12.5",), ("x",), (price("3.21"),), ("AAAAAAAAAAAAAAAAAAA=",), (None,)], "p string")
+    plain = [r[0] for r in df.select(C.decode_decimal(F.col("p"), mode="string")).collect()]
+    coded = [r[0] for r in df.select(C.decode_decimal(F.col("p"))).collect()]
+    assert plain == [Decimal("12.50"), None, None, None, None]
+    assert coded == [None, None, Decimal("3.21"), None, None]
+    with pytest.raises(ValueError):
+        C.decode_decimal(F.col("p"), precision=19)
+
+
+def test_stream_and_batch_agree_on_equal_positions(spark, tmp_path):
+    late, early = envelope("u", "t1", 0, "2.00", ts_ms=20), envelope("u", "t1", 0, "9.00", ts_ms=10)
+    for i, body in enumerate((late, early)):
+        records(spark, body).coalesce(1).write.mode("append").text(str(tmp_path / "in"))
+        table = J.change_table(spark, str(tmp_path / "t"))
+        J.drain(J.change_stream(S.stream_lines(spark, str(tmp_path / "in")), table, str(tmp_path / "cp"), J.DRAIN))
+    batch = C.apply_changes(changes(spark, late, early))
+    assert rows(J.current_trades(table), *batch.columns) == rows(batch) and batch.first().stock_price == Decimal("2.00")

@@ -169,3 +169,65 @@ def test_records_match_by_name(spark):
     assert rows(df) == [("1", None, 3), ("2", "b", 1)]
     with pytest.raises(ValueError):
         records(spark, [{"nope": 1}], USERS)
+
+
+def test_incremental_in_event_time_mode_shows_winners_only(spark, table):
+    """Losers and deleted rows are no news."""
+    t = table(MERGE_ON_READ, mode="event_time")
+    first = t.overwrite(users(spark, [("x", "x10", 10), ("y", "y10", 10)]))
+    t.upsert(users(spark, [("x", "x5", 5), ("y", "y20", 20), ("z", "z1", 1)]))
+    t.delete(users(spark, [("y", 0)], USER_DELETES))
+    assert rows(t.snapshot()) == [("x", "x10", 10), ("z", "z1", 1)]
+    assert rows(t.incremental(first), "id", "name") == [("z", "z1")]
+    assert rows(t.incremental(first, changes=True), "id", "_op") == [("y", "d"), ("z", "u")]
+
+
+@pytest.mark.parametrize("mode", ["commit_time", "event_time"])
+@pytest.mark.parametrize("seed", range(3))
+def test_replaying_increments_rebuilds_the_snapshot(spark, table, mode, seed):
+    import random
+
+    r = random.Random(seed)
+    t = table(MERGE_ON_READ, mode=mode)
+    commits = [t.overwrite(users(spark, [(str(i), "0", i) for i in range(6)]))]
+    for step in range(1, 5):
+        keys = r.sample(range(9), 4)
+        commits.append(t.upsert(users(spark, [(str(k), str(step), r.randint(0, 30)) for k in keys])))
+        if r.random() < 0.6:
+            commits.append(t.delete(users(spark, [(str(k), 0) for k in r.sample(range(9), 2)], USER_DELETES)))
+        if r.random() < 0.3:
+            t.compact()
+    final = rows(t.snapshot())
+    for begin in commits:
+        state = {x.id: tuple(x) for x in t.snapshot(as_of=begin).collect()}
+        for x in t.incremental(begin, changes=True).collect():
+            if x._op == "d":
+                state.pop(x.id, None)
+            else:
+                state[x.id] = (x.id, x.name, x.ts)
+        assert sorted(state.values()) == final
+
+
+def test_ordering_may_be_several_columns(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], ["a", "b"], MERGE_ON_READ, mode="event_time")
+    make = lambda *data: spark.createDataFrame(data, "id string, a int, b int")
+    t.upsert(make(("k", 1, 5)))
+    t.upsert(make(("k", 1, 3), ("k", 1, 4)))
+    assert rows(t.snapshot()) == [("k", 1, 5)]
+    t.upsert(make(("k", 1, 6), ("k", 0, 9)))
+    assert rows(t.snapshot()) == [("k", 1, 6)]
+
+
+def test_a_named_batch_is_applied_once(spark, table):
+    t = table(MERGE_ON_READ)
+    t.upsert(users(spark, INITIAL), source="s#1")
+    before = len(t.commits())
+    t.upsert(users(spark, UPSERT), source="s#1")
+    assert len(t.commits()) == before and rows(t.snapshot()) == INITIAL
+
+
+def test_update_with_does_not_multiply_rows(spark):
+    target = spark.createDataFrame([("a", 1)], "id string, v int")
+    source = spark.createDataFrame([("a", 5, 1), ("a", 7, 0)], "id string, v int, o int")
+    assert rows(K.update_with(target, source, ["id"], ["v"], ["o"])) == [("a", 5)]
+    assert rows(K.update_with(target, source, ["id"], ["v"])) == [("a", 7)]

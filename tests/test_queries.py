@@ -69,3 +69,14 @@ def test_limits_never_sort_everything(spark):
 def test_windows_are_partitioned_by_block(spark):
     text = plan(QUERIES["ts_rolling"](spark, FOLDER))
     assert "hashpartitioning(ticker" in text and "_block" in text
+
+
+@pytest.mark.parametrize("name", ["kt_as_of", "kt_incremental", "kt_incremental_changes", "cdc_as_of"])
+def test_commit_bounds_reach_the_scan(spark, name):
+    scan = next(x for x in plan(QUERIES[name](spark, FOLDER)).splitlines() if "FileScan" in x)
+    assert "PushedFilters" in scan and ("LessThan(ts," in scan or "GreaterThanOrEqual(ts," in scan)
+
+
+def test_counting_errors_builds_no_fields(spark):
+    assert "from_json" not in plan(QUERIES["ev_throughput"](spark, FOLDER))
+    assert plan(QUERIES["ev_normalize"](spark, FOLDER)).count("from_json") == 1

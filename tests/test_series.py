@@ -210,3 +210,21 @@ def test_a_ticker_without_volatility_keeps_its_rows(spark):
     df = spark.createDataFrame(rows_, "ticker string, date int, vol double")
     got = P.with_regime(df, "vol").groupBy("ticker", "vol_regime").count().collect()
     assert {(r.ticker, r.vol_regime): r["count"] for r in got} == {("A", "High Vol"): 2, ("A", "Low Vol"): 6, ("B", "Low Vol"): 5}
+
+
+def test_default_blocks_hold_on_second_bars(spark, monkeypatch):
+    """100,000 second bars of one ticker, a burst of them in one place: no block holds more than its rows."""
+    from tidemark.operators import blocks as B
+    from tidemark.plans import garch as G
+
+    monkeypatch.setattr(B, "MAX_BLOCK_ROWS", 2000)
+    df = spark.range(100_000).select(
+        F.lit("A").alias("ticker"), F.timestamp_micros(F.when(F.col("id") < 90_000, F.col("id") * 1000).otherwise(F.col("id") * 1_000_000)).alias("date"),
+        (100 + F.sin("id")).alias("close"),
+    )
+    rows_ = B.with_halo(df, ["ticker"], "date", 19)
+    sizes = rows_.filter(~F.col(B.HALO)).groupBy(B.BLOCK).count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] <= 2000 and sizes[1] == 100_000
+    assert P.log_returns(df).count() == 99_999
+    series = G.prepare(df.select("ticker", "date", F.sin("close").alias("log_return")))
+    assert series.blocks.agg(F.max(F.size("r"))).first()[0] <= 2000 and series.max_blocks > 50

@@ -12,10 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DateType
 
 from tidemark.session import cut_lineage
 
 BLOCK_DAYS = 1024
+# Rows of a block: what one window or one array of a fit may hold. Blocks of denser series are cut shorter.
+MAX_BLOCK_ROWS = 16_384
 BLOCK = "_block"
 HALO = "_halo"
 
@@ -29,6 +32,24 @@ def block_of(order: str, days: float = BLOCK_DAYS) -> Column:
     return F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / F.lit(float(days * 86_400))).cast("bigint")
 
 
+def fitted_days(df: DataFrame, series: Sequence[str], order: str, days: float, max_rows: int | None = None) -> float:
+    """``days``, or the shorter length at which no block of a series has more than ``max_rows`` rows.
+
+    Series of dates have a row a day at most. Those of timestamps are counted
+    per block (partial counts leave a task), again with shorter blocks until
+    the fullest one fits; a timestamp occurs once in a series, so one does.
+    """
+    max_rows = max_rows or MAX_BLOCK_ROWS
+    if isinstance(df.schema[order].dataType, DateType):
+        return min(days, float(max_rows))
+    while True:
+        counted = df.groupBy(*series, block_of(order, days).alias(BLOCK)).count()
+        fullest = counted.agg(F.max("count")).first()[0] or 0
+        if fullest <= max_rows:
+            return days
+        days /= max(2.0, 1.25 * fullest / max_rows)
+
+
 def with_halo(df: DataFrame, series: Sequence[str], order: str, rows_back: int, days: float = BLOCK_DAYS) -> DataFrame:
     """Add ``_block`` and, flagged ``_halo``, the ``rows_back`` rows that precede each block of a series.
 
@@ -38,7 +59,7 @@ def with_halo(df: DataFrame, series: Sequence[str], order: str, rows_back: int,
     counting only tail rows is exact, because the rows left out are followed by
     ``rows_back`` tail rows of their own block.
     """
-    df = df.withColumn(BLOCK, block_of(order, days))
+    df = df.withColumn(BLOCK, block_of(order, fitted_days(df, series, order, days)))
     newest = Window.partitionBy(*series, BLOCK).orderBy(F.desc(order))
     tails = df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rows_back).drop("_rank")
     ahead = Window.partitionBy(*series).orderBy(order).rowsBetween(1, rows_back)

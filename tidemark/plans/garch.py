@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import returns as R, variance as V
-from tidemark.operators.blocks import attach_stats, block_of
+from tidemark.operators.blocks import attach_stats, block_of, fitted_days
 from tidemark.session import cut_lineage
 
 # Task-side helpers travel with the job; executors need no installed copy.
@@ -94,6 +94,7 @@ class Series:
 
 def prepare(returns: DataFrame, block_days: float = BLOCK_DAYS) -> Series:
     """Cut the ``log_return`` series into blocks, scaled to percent, and write them once."""
+    block_days = fitted_days(returns, ["ticker"], "date", block_days)
     packed = (
         returns.select("ticker", "date", (F.col("log_return") * R.PERCENT).alias("r"), block_of("date", block_days).alias("_block"))
         .groupBy("ticker", "_block")
