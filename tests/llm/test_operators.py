@@ -1,6 +1,5 @@
 """Each operator against a brute-force version, and on nulls, empty and long texts, repeats, ties and clashing columns."""
 
-import base64
 import math
 import re
 import zlib
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import bpe, components, decontaminate, langid, lm, packing, pii, quality, simhash, suffixes, urlfilter
+from tidemark.llm.common import filter_bits, fold, has_bit
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -175,7 +175,9 @@ def test_url_rules(spark):
     assert {(r.rule, r.verdict) for r in free.collect()} == {(None, "allow")}
 
 
-def test_cascade_is_exact(spark):
+@pytest.mark.parametrize("local", [0, 300, 1 << 18])
+def test_cascade_is_exact(spark, monkeypatch, local):
+    monkeypatch.setattr(urlfilter, "LOCAL_KEYS", local)
     keys = urlfilter.hashed(spark.range(6000).select(F.col("id").cast("string").alias("key")))
     shards, cascades = urlfilter.build_list(keys.filter("key % 7 = 0"), keys)
     assert shards == 1 and len(cascades[0].levels) > 2
@@ -257,6 +259,17 @@ def test_packed_rows_are_lossless(docs, empty, tmp_path):
     assert packing.pack(bpe.encode(empty, RANKS, public_tokenizers.PATTERN)).count() == 0
 
 
+def test_texts_pack_like_their_ids(docs, empty):
+    direct = packing.pack_texts(docs, RANKS, public_tokenizers.PATTERN, length=100).collect()
+    segments = sorted(((k, o, bytes(r.ids)[4 * s : 4 * e]) for r in direct for k, o, s, e in zip(r.doc_ids, r.offsets, r.cu_seqlens, r.cu_seqlens[1:])), key=repr)
+    enc, want = encoder(), []
+    for key, text, _, _ in ROWS:
+        ids = np.array(enc.encode_ordinary(text or ""), "<u4")
+        want += [(key, s, ids[s : s + 100].tobytes()) for s in range(0, len(ids), 100)]
+    assert segments == sorted(want, key=repr)
+    assert packing.pack_texts(empty, RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 # ---- op5 ---------------------------------------------------------------------------------------------
 
 
@@ -435,7 +448,7 @@ def test_passages_that_overlap_in_part(spark, seed):
 
 def test_language(docs, empty):
     model = langid.train(docs)
-    got = langid.predict(docs.select("doc_id", "text", "odd.name") if False else docs, model)
+    got = langid.predict(docs, model)
     assert len(got.columns) == len(docs.columns)
     rows = {r.doc_id: r for r in got.collect()}
     assert all(rows[i].lang_pred == lang for i, _, lang, _ in BASE)
@@ -629,5 +642,13 @@ def test_pipeline_of_nothing(spark, docs, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == 0
 
 
-def test_folds():
-    assert zlib.crc32(b"12") % 4 in range(4) and base64.b64encode(b"")== b""
+def test_folds(spark):
+    got = [r[0] for r in spark.range(50).select(fold(F.col("id"), 4)).collect()]
+    assert got == [zlib.crc32(str(i).encode()) % 4 for i in range(50)]
+
+
+def test_filter_bits(spark):
+    at = np.unique(np.random.default_rng(1).integers(0, 5000, 900))
+    df = spark.createDataFrame([(int(x),) for x in [*at, *at[:100]]], "at long")
+    bits = filter_bits(df, "at", 5000)
+    assert np.flatnonzero(has_bit(bits, np.arange(5000, dtype=np.uint64))).tolist() == at.tolist()

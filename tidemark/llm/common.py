@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.session import ensure_session
 
 # Text of one slice handed to Python code; a single longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Rows of an Arrow batch: Spark's own limit counts rows only, and a row is a whole text here.
 BATCH_ROWS = 1000
-# Bits of a filter that one collected row holds.
-CHUNK_BITS = 1 << 16
+# Bits of a filter that one collected row holds: a word without its sign.
+WORD_BITS = 63
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,31 +72,21 @@ def with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Record
 def filter_bits(positions: DataFrame, column: str, bits: int) -> np.ndarray:
     """A bit array of ``bits`` bits with the bits named in ``column`` set.
 
-    Spark gathers the positions into chunks of 64 Kbit, of which the driver
-    gets at most ``bits / 65536``: its share is bounded by the filter's size,
-    whatever the number of positions.
+    Tasks combine their positions into words of 63 bits before the one shuffle;
+    the driver gets at most a row for each word, so its share is bounded by the
+    filter's size, whatever the number of positions.
     """
-    chunks = (
-        positions.select(F.col(column).alias("p")).distinct()
-        .groupBy((F.col("p") / CHUNK_BITS).cast("long").alias("chunk"))
-        .agg(F.collect_list((F.col("p") % CHUNK_BITS).cast("int")).alias("at"))
-        .mapInArrow(_chunk_bytes, "chunk long, bits binary")
-    )
-    out = np.zeros((bits + 7) // 8 + CHUNK_BITS // 8, np.uint8)
-    for row in chunks.toLocalIterator():
-        start = row["chunk"] * (CHUNK_BITS // 8)
-        out[start : start + CHUNK_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def _chunk_bytes(batches):
-    for batch in batches:
-        blobs = []
-        for at in batch.column("at"):
-            bits = np.zeros(CHUNK_BITS, np.uint8)
-            bits[at.values.to_numpy()] = 1
-            blobs.append(np.packbits(bits, bitorder="little").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(blobs, pa.binary())], ["chunk", "bits"])
+    word, bit = F.expr(f"{column} div {WORD_BITS}"), F.expr(f"shiftleft(1L, cast({column} % {WORD_BITS} as int))")
+    got = positions.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("set")).toArrow()
+    spread = np.zeros((bits + WORD_BITS - 1) // WORD_BITS, np.uint64)
+    spread[got["word"].to_numpy()] = got["set"].to_numpy().view(np.uint64)
+    return set_bits(spread)
+
+
+def set_bits(words: np.ndarray) -> np.ndarray:
+    """Words of 63 bits as bytes of 8."""
+    ones = np.unpackbits(np.ascontiguousarray(words.astype("<u8")).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.packbits(ones[:, :WORD_BITS].ravel(), bitorder="little")
 
 
 def has_bit(bits: np.ndarray, positions: np.ndarray) -> np.ndarray:

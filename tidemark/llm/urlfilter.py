@@ -37,6 +37,7 @@ from tidemark.llm.common import filter_bits, has_bit, mix
 from tidemark.session import cut_lineage, ensure_session
 
 SHARD_KEYS = 1 << 24
+LOCAL_KEYS = 1 << 18  # 4 MB of hashes
 MAX_LEVELS = 200  # keys halve at each: beyond this two of them cannot be told apart
 NEXT_BITS = 2  # per key of a level after the first
 # The rules of the query, and the words that mark hosts to be blocked.
@@ -119,27 +120,46 @@ def _passing(rows: DataFrame, level: int, number: int, bits: int, table: np.ndar
     return rows.mapInArrow(run, "h1 long, h2 long")
 
 
+def _level(listed: int, others: int, level: int) -> tuple[int, int]:
+    """(bits, hashes) of a level: the first lets about as many others pass as there are listed keys, each later one half."""
+    per_key = NEXT_BITS if level else max(NEXT_BITS, 1.44 * math.log2(max(2, others / listed)))
+    return max(64, math.ceil(listed * per_key)), max(1, round(per_key * 0.7))
+
+
 def build(listed: DataFrame, others: DataFrame) -> Cascade:
     """A cascade of the hashed keys ``listed`` (h1, h2) against ``others``, all of which are false for the list.
 
-    Each level is a Spark job over what the last one let pass falsely: a small
-    share after the first. Only bit tables, bounded by the list, reach the driver.
+    Each level is a Spark job over what the last one let pass falsely, a small
+    share after the first; only bit tables, bounded by the list, reach the
+    driver. Once ``LOCAL_KEYS`` keys are left in all, it finishes the same
+    levels by itself.
     """
     levels: list[tuple[int, int, np.ndarray]] = []
     inside, outside = listed, others
-    while True:
-        n = inside.count()
-        if not n:
-            return Cascade(levels)
+    n, m = inside.count(), outside.count()
+    while n and n + m > LOCAL_KEYS:
+        bits, number = _level(n, m, len(levels))
+        table = filter_bits(inside.mapInArrow(_level_rows(len(levels), number, bits), "at long"), "at", bits)
+        inside, outside = cut_lineage(_passing(outside, len(levels), number, bits, table), "cascade-level"), inside
+        levels.append((bits, number, table))
+        n, m = inside.count(), n
+    if not n:
+        return Cascade(levels)
+    near, far = (tuple(t[c].to_numpy().view(np.uint64) for c in ("h1", "h2")) for t in (inside.toArrow(), outside.toArrow()))
+    while len(near[0]):
         if len(levels) > MAX_LEVELS:
             raise ValueError("two keys with the same 128-bit hash")
-        # The first level lets about as many others pass as there are listed keys, each later one half.
-        per_key = NEXT_BITS if levels else max(NEXT_BITS, 1.44 * math.log2(max(2, outside.count() / n)))
-        bits, number = max(64, math.ceil(n * per_key)), max(1, round(per_key * 0.7))
-        level = len(levels)
-        table = filter_bits(inside.mapInArrow(_level_rows(level, number, bits), "at long"), "at", bits)
+        bits, number = _level(len(near[0]), len(far[0]), len(levels))
+        table = np.zeros(bits, np.uint8)
+        for at in _positions(*near, len(levels), number, bits):
+            table[at] = 1
+        table = np.packbits(table, bitorder="little")
+        passing = np.ones(len(far[0]), bool)
+        for at in _positions(*far, len(levels), number, bits):
+            passing &= has_bit(table, at)
         levels.append((bits, number, table))
-        inside, outside = cut_lineage(_passing(outside, level, number, bits, table), "cascade-level"), inside
+        near, far = tuple(h[passing] for h in far), near
+    return Cascade(levels)
 
 
 def _shard(column: str, shards: int) -> Column:
@@ -163,8 +183,10 @@ def judge(pages: DataFrame, rules: DataFrame, blocked_hosts: DataFrame, id_col:
     rules = cut_lineage(rules.select("verdict", "host", "path").filter("host != ''").distinct(), "url-rules")
     blocked_hosts = cut_lineage(blocked_hosts.select("host").filter("host != ''").distinct(), "url-hosts")
     # What candidate keys need to know of the lists: path lengths and the most labels of a host.
-    lengths = sorted({0, *(r[0] for r in rules.select(F.length("path")).distinct().collect())})
-    labels = max([1, *(df.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1 for df in (rules, blocked_hosts))])
+    sizes = F.size(F.split("host", r"\."))
+    needs = rules.select(F.length("path").alias("length"), sizes.alias("labels")).unionByName(blocked_hosts.select(F.lit(0).alias("length"), sizes.alias("labels")))
+    needs = needs.groupBy("length").agg(F.max("labels").alias("labels")).collect()
+    lengths, labels = sorted({0, *(r["length"] for r in needs)}), max([1, *(r["labels"] for r in needs)])
     url = F.col(f"`{url_col}`").cast("string")
     asked = pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     asked = asked.withColumn("keys", candidates(F.col("host"), F.col("path"), labels, lengths))
