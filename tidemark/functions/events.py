@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -63,6 +64,16 @@ def plainly_valid(required: dict[str, str], optional: dict[str, str]) -> str:
     return rf"^{present}OBJECT<(?:(?:{known}|{other})(?:, |(?=>$)))+>$"
 
 
+def usual_shapes(required: dict[str, str], optional: dict[str, str]) -> list[str]:
+    """The shapes of bodies with all required fields and any of the optional ones, and no others."""
+    shapes = []
+    for size in range(len(optional) + 1):
+        for more in itertools.combinations(optional, size):
+            fields = {**required, **{name: optional[name] for name in more}}
+            shapes.append("OBJECT<" + ", ".join(f"{name}: {fields[name]}" for name in sorted(fields)) + ">")
+    return shapes
+
+
 def _literal_map(fields: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
 

@@ -31,6 +31,11 @@ def _opened(raw: DataFrame, body: str, passed: list[str]) -> DataFrame:
     return E.evaluate_once(parsed, _s=E.shape_of(F.col("_v")))
 
 
+def _plain(shape: Column, required: dict[str, str], optional: dict[str, str]) -> Column:
+    """Whether a shape is valid as a whole: one of the usual ones, or like them with nulls and unknown fields."""
+    return shape.isin(*E.usual_shapes(required, optional)) | shape.rlike(E.plainly_valid(required, optional))
+
+
 def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:
     """Parse JSON bodies as the tagged union: one column per field and ``error``, NULL for valid rows.
 
@@ -44,7 +49,7 @@ def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:
     opened = _opened(raw, body, passed).withColumn("_tag", F.try_variant_get(v, "$.event_type", "string"))
     plain = F.lit(False)
     for name, (required, optional) in E.EVENT_FIELDS.items():
-        plain = plain | ((tag == name) & shape.rlike(E.plainly_valid({"event_type": E.TEXT} | required, optional)))
+        plain = plain | ((tag == name) & _plain(shape, {"event_type": E.TEXT} | required, optional))
     types = E.field_types(v)
     tag_type = F.element_at(types, F.lit("event_type"))
     error = (
@@ -57,16 +62,14 @@ def parse_events(raw: DataFrame, body: str = "value") -> DataFrame:
         .otherwise(_field_error(types, E.required_of(tag), E.kinds_of(tag)))
     )
     own = {f: [n for n, (req, opt) in E.EVENT_FIELDS.items() if f in req | opt] for f in _ALL_FIELDS}
-    checked = opened.select(*passed, F.when(tag_type_is_text(shape), tag).alias("event_type"), error.alias("error"))
-    typed = checked.withColumn("_f", E.typed_fields(F.col(body), _ALL_FIELDS))
+    checked = opened.select(*passed, "_s", "_tag", error.alias("error"))
+    text = F.col("error").isNull() | shape.rlike(r"^OBJECT<(?:.*, )?event_type: STRING[,>]")
+    tagged = checked.select(*passed, F.when(text, tag).alias("event_type"), "error")
+    typed = tagged.withColumn("_f", E.typed_fields(F.col(body), _ALL_FIELDS))
     fields = [F.when(F.col("event_type").isin(*own[f]), F.col(f"_f.{f}")).alias(f) for f in _ALL_FIELDS]
     return typed.select(*passed, "event_type", *fields, "error")
 
 
-def tag_type_is_text(shape: Column) -> Column:
-    return shape.rlike(r"^OBJECT<(?:.*, )?event_type: STRING[,>]")
-
-
 def valid_events(parsed: DataFrame, body: str = "value") -> DataFrame:
     return parsed.filter(F.col("error").isNull()).drop("error", body)
 
@@ -121,7 +124,7 @@ def parse_normalized(records: DataFrame, body: str = "value") -> DataFrame:
     fields = E.NORMALIZED_REQUIRED | E.NORMALIZED_OPTIONAL
     v, types = F.col("_v"), E.field_types(F.col("_v"))
     error = (
-        F.when(F.col("_s").rlike(E.plainly_valid(E.NORMALIZED_REQUIRED, E.NORMALIZED_OPTIONAL)), None)
+        F.when(_plain(F.col("_s"), E.NORMALIZED_REQUIRED, E.NORMALIZED_OPTIONAL), None)
         .when(v.isNull(), "malformed_json")
         .when(types.isNull(), "not_an_object")
         .otherwise(_field_error(types, E.normalized_required(), E.normalized_kinds()))

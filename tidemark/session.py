@@ -70,6 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables; frames that still read them must have been used before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tidemark")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df, name: str):
     """Write ``df`` to the shared folder and read it back.
 
