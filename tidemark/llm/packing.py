@@ -20,13 +20,17 @@ piece that came first and the row that was opened last.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from tidemark.llm.bpe import encode, read_ranks
-from tidemark.llm.common import documents
+from tidemark.llm.bpe import read_ranks
+from tidemark.llm.common import batched, documents, id_text, once, slices, texts
 
 LENGTH = 2048
 GROUP_TOKENS = 1 << 22
@@ -100,15 +104,11 @@ def _rows(keys: list, ids: list[np.ndarray], length: int, pad: int):
         yield line.tobytes(), ends, positions.tobytes(), [keys[pieces[p][0]] for p in row], [pieces[p][1] for p in row]
 
 
-def pack(encoded: DataFrame, length: int = LENGTH, pad: int = PAD, group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """Rows of ``length`` tokens from (doc_id, ids): ids, cu_seqlens, positions, doc_ids, offsets, n_tokens.
-
-    Segment i holds tokens ``cu_seqlens[i]`` to ``cu_seqlens[i + 1]``: the tokens
-    of document ``doc_ids[i]`` from its ``offsets[i]``.
-    """
-    kind = encoded.schema["doc_id"].dataType
-    key_type = to_arrow_type(kind)
-    schema = pa.schema([("ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())), ("positions", pa.binary()), ("doc_ids", pa.list_(key_type)), ("offsets", pa.list_(pa.int64())), ("n_tokens", pa.int32())])
+def _packer(kind: DataType, length: int, pad: int, group_tokens: int):
+    """Batches of (doc_id, ids) to batches of packed rows."""
+    schema = pa.schema(
+        [("ids", pa.binary()), ("cu_seqlens", pa.list_(pa.int32())), ("positions", pa.binary()), ("doc_ids", pa.list_(to_arrow_type(kind))), ("offsets", pa.list_(pa.int64())), ("n_tokens", pa.int32())]
+    )
 
     def batch_of(rows):
         columns = list(zip(*rows))
@@ -137,7 +137,37 @@ def pack(encoded: DataFrame, length: int = LENGTH, pad: int = PAD, group_tokens:
                     keys, ids, size = [], [], 0
         yield from packed(keys, ids)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"ids binary, cu_seqlens array<int>, positions binary, doc_ids array<{kind.simpleString()}>, offsets array<long>, n_tokens int")
+    return run
+
+
+def _packed_schema(kind: DataType) -> str:
+    return f"ids binary, cu_seqlens array<int>, positions binary, doc_ids array<{kind.simpleString()}>, offsets array<long>, n_tokens int"
+
+
+def pack(encoded: DataFrame, length: int = LENGTH, pad: int = PAD, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """Rows of ``length`` tokens from (doc_id, ids): ids, cu_seqlens, positions, doc_ids, offsets, n_tokens.
+
+    Segment i holds tokens ``cu_seqlens[i]`` to ``cu_seqlens[i + 1]``: the tokens
+    of document ``doc_ids[i]`` from its ``offsets[i]``.
+    """
+    kind = encoded.schema["doc_id"].dataType
+    return batched(encoded).select("doc_id", "ids").mapInArrow(_packer(kind, length, pad, group_tokens), _packed_schema(kind))
+
+
+def pack_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, pad: int = PAD, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """As :func:`pack`, of texts that are encoded where they are read, one after the other."""
+    rows = id_text(docs, id_col, text_col)
+    kind, name = rows.schema["doc_id"].dataType, uuid4().hex
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)
+    pack_all = _packer(kind, length, pad, group_tokens)
+
+    def encoded(batches):
+        encoder = once("packing", name, lambda: tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={}))
+        for batch in slices(batches):
+            ids = [encoder.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    return rows.mapInArrow(lambda batches: pack_all(encoded(batches)), _packed_schema(kind))
 
 
 def write_matrices(packed: DataFrame, path: str) -> None:
@@ -155,4 +185,4 @@ def query(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return pack(encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN))
+    return pack_texts(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
