@@ -27,9 +27,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from xxhash import xxh64_intdigest
 
 from tidemark.llm.common import documents, id_text, mix, slices, texts
@@ -148,88 +148,94 @@ def common(a: bytes, b: bytes) -> int:
     return low
 
 
-class _Group:
-    """The suffixes of one seed as they come, sorted by the words after and before it."""
-
-    def __init__(self, key, edge: bool):
-        self.key = key
-        self.edge = edge  # other suffixes of the seed may be in the neighbouring range
-        self.other = None  # the last suffix of another document than the last one's
-        self.waiting: list[list] = []  # suffixes of one document that have no later neighbour yet
-        self.kept: list[list] = []  # settled ones, in case an unsettled one needs them
-        self.open = False
-        self.run = None  # contexts of the last settled suffix
-
-
-def _neighbours(seed: int, least: int):
-    """Sorted suffixes to spans (start, end) found by extension and, where a seed's suffixes aren't all settled,
-    one suffix (with its words) of each settled run and each unsettled suffix."""
+# A suffix as it is compared: (key, words after the seed, words before it, document's name, start, document's key).
+SUFFIX = ("key", "after", "before", "name", "at", "doc_id")
+# Settled suffixes of a seed that wait to see whether an unsettled one follows.
+_WAITING_RUNS = 1000
+
+
+class _Seed:
+    """The suffixes of one seed, which come sorted by the words after it and before it."""
+
+    def __init__(self, key, edge: bool, seed: int, least: int):
+        self.key, self.seed, self.least = key, seed, least
+        self.edge = edge  # the seed may go on in the neighbouring range, with suffixes not seen here
+        self.other = None  # the last suffix of another document than the latest one's
+        self.latest: list[tuple] = []  # the latest document's suffixes, each with its match to ``other``
+        self.runs: list[tuple] = []  # one suffix of each settled run
+        self.words = None  # those of the last settled run
+        self.unsettled = False
+
+    def match(self, a: tuple, b: tuple) -> tuple[int, int, bool]:
+        """(words equal on the left, on the right, whether they reach as far as the text of ``a``)."""
+        left, right = common(a[2], b[2]), common(a[1], b[1])
+        return left, right, 4 * left == len(a[2]) and 4 * right == len(a[1])
+
+    def add(self, row: tuple):
+        """Rows to put out because a suffix of another document has come."""
+        if self.latest and self.latest[-1][0][3] != row[3]:
+            yield from self.settle(row)
+        self.latest.append((row, self.match(row, self.other) if self.other else (0, 0, False)))
+
+    def settle(self, later: tuple | None):
+        """The latest document's suffixes, now that both their neighbours are known."""
+        for row, best in self.latest:
+            if later is not None:
+                best = max(best, self.match(row, later), key=lambda m: (m[2], m[0] + m[1]))
+            yield from self.put(row, *best)
+        if self.latest:
+            self.other, self.latest = self.latest[-1][0], []
+
+    def put(self, row: tuple, left: int, right: int, settled: bool):
+        """The span of a suffix, and the suffix itself where its windows may have to be counted."""
+        found = left + self.seed + right >= self.least
+        yield (*row, row[4] - left if found else None, row[4] + self.seed + right if found else None, settled, False)
+        if not settled:
+            self.unsettled = True
+            yield from self.counted()
+            yield (*row, None, None, False, True)
+        elif self.words != row[1:3]:
+            self.words = row[1:3]
+            self.runs.append(row)
+            if self.unsettled or self.edge or len(self.runs) > _WAITING_RUNS:
+                yield from self.counted()
+
+    def counted(self):
+        yield from ((*r, None, None, True, True) for r in self.runs)
+        self.runs = []
+
+
+def _neighbours(seed: int, least: int, id_type: pa.DataType):
+    """Sorted suffixes to spans (start, end) found by extension and, where a seed's suffixes aren't all settled
+    (or may not be in the next range), one suffix of each settled run and each unsettled suffix to count windows of."""
+    schema = pa.schema(
+        [("key", pa.int64()), ("after", pa.binary()), ("before", pa.binary()), ("name", pa.int64()), ("at", pa.int32()), ("doc_id", id_type)]
+        + [("start", pa.int32()), ("end", pa.int32()), ("settled", pa.bool_()), ("counts", pa.bool_())]
+    )
 
-    names = ("key", "after", "before", "name", "at", "doc_id")
+    def batch_of(rows):
+        # Words only where windows are counted.
+        rows = [r if r[9] else (r[0], None, None, *r[3:]) for r in rows]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def run(batches):
-        out: list[list] = []
-        group = None
-
-        def extend(row, mate):
-            """[left, right, settled] of the match with a neighbour."""
-            left, right = common(row[2], mate[2]), common(row[1], mate[1])
-            return left, right, 4 * left == len(row[2]) and 4 * right == len(row[1])
-
-        def emit(row, left, right, settled):
-            span = left + seed + right >= least
-            new = not settled or group.run != (row[1], row[2])
-            out.append([*row, row[4] - left if span else None, row[4] + seed + right if span else None, settled, False])
-            if settled:
-                group.run = row[1], row[2]
-            if not new:
-                return
-            if settled and not group.open and not group.edge and len(group.kept) < 1000:
-                group.kept.append(row)
-            else:
-                out.extend([*r, None, None, True, True] for r in group.kept)
-                group.kept = []
-                group.open = group.open or not settled
-                out.append([*row, None, None, settled, True])
-
-        def settle(later):
-            for row, best in group.waiting:
-                pairs = [best] if best else []
-                if later is not None:
-                    pairs.append(extend(row, later))
-                emit(row, *max(pairs, key=lambda p: (p[2], p[0] + p[1]), default=(0, 0, False)))
-            group.waiting = []
-
-        def batch_of():
-            columns = list(zip(*out)) if out else [()] * 10
-            out.clear()
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), id_type[0], pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            # Words only where windows are counted.
-            bare = pa.array([not x for x in columns[9]], pa.bool_())
-            for i in (1, 2):
-                arrays[i] = pc.if_else(bare, pa.scalar(None, pa.binary()), arrays[i])
-            return pa.RecordBatch.from_arrays(arrays, [*names, "start", "end", "settled", "counts"])
-
-        id_type = [pa.null()]
+        group, out = None, []
         for batch in batches:
-            id_type[0] = batch.schema.field("doc_id").type
-            for row in map(list, zip(*(batch.column(c).to_pylist() for c in names))):
+            for row in zip(*(batch.column(c).to_pylist() for c in SUFFIX)):
                 if group is None or row[0] != group.key:
                     if group is not None:
-                        settle(None)
-                    group = _Group(row[0], edge=group is None)
-                elif group.waiting and group.waiting[-1][0][3] != row[3]:
-                    group.other = group.waiting[-1][0]
-                    settle(row)
-                group.waiting.append((row, extend(row, group.other) if group.other is not None else None))
+                        out.extend(group.settle(None))
+                    group = _Seed(row[0], group is None, seed, least)
+                out.extend(group.add(row))
             if len(out) > 4096:
-                yield batch_of()
+                yield batch_of(out)
+                out = []
         if group is not None:
             group.edge = True
-            settle(None)
-            out.extend([*r, None, None, True, True] for r in group.kept)
-            yield batch_of()
+            out.extend(group.settle(None))
+            out.extend(group.counted())
+        if out:
+            yield batch_of(out)
 
     return run
 
@@ -278,19 +284,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         raise ValueError("a seed is no longer than the least passage")
     reach = min_words - seed_words
     rows = id_text(docs, id_col, text_col).filter("text IS NOT NULL").withColumn("name", F.xxhash64("doc_id", "text"))
-    spark = rows.sparkSession
     kind = rows.schema["doc_id"].dataType.simpleString()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # One exchange by seed serves the count and the join.
-    retained = rows.select("name", "text").mapInArrow(_retained(seed_words, reach + 1), "key long, name long, at int").repartition(partitions, "key")
+    # Stored once, read by the count and by the join, whose side with the suffixes adaptive execution splits where a seed is hot.
+    retained = cut_lineage(rows.select("name", "text").mapInArrow(_retained(seed_words, reach + 1), "key long, name long, at int"), "suffix-starts")
     shared = retained.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("b")).filter("a != b").select("key")
+    shared = cut_lineage(shared, "suffix-seeds")
     starts = retained.join(shared, "key").groupBy("name").agg(F.collect_list("at").alias("starts"))
     sent = rows.mapInArrow(_zipped, f"doc_id {kind}, name long, packed binary").join(starts, "name")
     suffixes = sent.mapInArrow(_contexts(seed_words, reach), f"doc_id {kind}, name long, key long, at int, after binary, before binary")
     order = ["key", "after", "before", "name", "at"]
     ranged = cut_lineage(suffixes, "suffixes").repartitionByRange(*order).sortWithinPartitions(*order)
-    compared = ranged.select(*order, "doc_id").mapInArrow(
-        _neighbours(seed_words, min_words),
+    compared = ranged.select(*SUFFIX).mapInArrow(
+        _neighbours(seed_words, min_words, to_arrow_type(rows.schema["doc_id"].dataType)),
         f"key long, after binary, before binary, name long, at int, doc_id {kind}, start int, end int, settled boolean, counts boolean",
     )
     compared = cut_lineage(compared, "suffix-neighbours")
