@@ -228,3 +228,15 @@ def test_default_blocks_hold_on_second_bars(spark, monkeypatch):
     assert P.log_returns(df).count() == 99_999
     series = G.prepare(df.select("ticker", "date", F.sin("close").alias("log_return")))
     assert series.blocks.agg(F.max(F.size("r"))).first()[0] <= 2000 and series.max_blocks > 50
+
+
+def test_the_summary_prints_every_ticker(spark, capfd):
+    from tidemark.streaming.sinks import print_summary
+
+    results = spark.range(130).select(
+        F.format_string("T%03d", "id").alias("Ticker"), *[F.lit(0.01).alias(c) for c in ("Daily_Volatility", "High_Vol_Return", "Low_Vol_Return", "GARCH_Dispersion")],
+        F.lit("Buy when boring").alias("Trading_Pattern"),
+    )
+    print_summary(results)
+    lines = [x for x in capfd.readouterr().out.splitlines() if '"Ticker"' in x]
+    assert len(lines) == 130 and "T000" in lines[0] and "T129" in lines[-1]
