@@ -57,7 +57,7 @@ def tokens(rows: list[str]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 def _count(batches):
-    for batch in slices(batches, limit=8 << 20):
+    for batch in slices(batches, limit=2 << 20):
         codes, distinct, _ = tokens(texts(batch))
         yield pa.RecordBatch.from_arrays([distinct.cast(pa.string()), pa.array(np.bincount(codes, minlength=len(distinct)), pa.int64())], ["word", "n"])
 
@@ -150,7 +150,7 @@ def fit(train: DataFrame, words: DataFrame) -> Model:
 
     def bigrams(batches):
         vocabulary = once("lm-vocabulary", name, lambda: {w: i for i, w in enumerate(shared.value[0])})
-        for batch in slices(batches, limit=8 << 20):
+        for batch in slices(batches, limit=2 << 20):
             pairs = _pairs(*tokens(texts(batch)), vocabulary)[0]
             seen = pc.value_counts(pa.array(pairs))
             yield pa.RecordBatch.from_arrays([seen.field(0), seen.field(1)], ["pair", "n"])
@@ -237,7 +237,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, limit=2 << 20):
             sizes, known, base, points, owner, code, times, distinct = _score(shared.value, texts(batch))
             offsets = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
             rare = pa.StructArray.from_arrays([distinct.take(pa.array(code)).cast(pa.string()), pa.array(times, pa.int32())], ["word", "times"])
