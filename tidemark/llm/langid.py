@@ -34,6 +34,9 @@ HASHES = 4
 MIN_RATE = 2e-6
 MIN_SHARE = 0.1
 UNKNOWN = "und"
+# Text of a slice, whose arrays take some fifty times its size, and counts a task adds up at a time.
+SLICE = 1 << 18
+HELD_GRAMS = 1 << 20
 # Below this corrected share no learned language explains the text (the pipeline rejects it).
 MIN_SCORE = 0.3
 
@@ -81,14 +84,30 @@ class Model:
 
 
 def _count(batches):
-    for batch in slices(batches):
+    """(lang, gram, n) of a task's rows; what its slices count is added up before it goes out."""
+    found, held = {}, 0
+
+    def sums():
+        for lang, parts in found.items():
+            merged = pa.table([pa.concat_arrays([p.field(i) for p in parts]) for i in (0, 1)], ["gram", "n"]).group_by("gram").aggregate([("n", "sum")])
+            yield lang, merged["gram"].combine_chunks(), merged["n_sum"].combine_chunks()
+
+    def rows():
+        for lang, grams, n in sums():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), grams, n], ["lang", "gram", "n"])
+
+    for batch in slices(batches, limit=SLICE):
         langs = np.array(batch.column("lang").to_pylist())
-        rows = texts(batch)
+        own = texts(batch)
         for lang in np.unique(langs):
-            keys, _ = trigrams([rows[i] for i in np.flatnonzero(langs == lang)])
-            seen = pc.value_counts(pa.array(keys.view(np.int64)))
-            n = len(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), seen.field(0), seen.field(1)], ["lang", "gram", "n"])
+            keys, _ = trigrams([own[i] for i in np.flatnonzero(langs == lang)])
+            counts = pc.value_counts(pa.array(keys.view(np.int64)))
+            found.setdefault(str(lang), []).append(counts)
+            held += len(counts)
+        if held > HELD_GRAMS:
+            yield from rows()
+            found, held = {}, 0
+    yield from rows()
 
 
 def _slot_rows(batches):
@@ -153,7 +172,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     column = plain.columns[kept.columns.index(text_col)]
 
     def run(batches):
-        for batch in slices(batches, column):
+        for batch in slices(batches, column, SLICE):
             lang, score = _classify(shared.value, texts(batch, column))
             arrays = [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "lang_pred", "score"])
