@@ -293,7 +293,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sent = rows.mapInArrow(_zipped, f"doc_id {kind}, name long, packed binary").join(starts, "name")
     suffixes = sent.mapInArrow(_contexts(seed_words, reach), f"doc_id {kind}, name long, key long, at int, after binary, before binary")
     order = ["key", "after", "before", "name", "at"]
-    ranged = cut_lineage(suffixes, "suffixes").repartitionByRange(*order).sortWithinPartitions(*order)
+    # A fixed number of ranges: merged by size they would be uneven in rows, as equal suffixes compress to nothing.
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(suffixes, "suffixes").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     compared = ranged.select(*SUFFIX).mapInArrow(
         _neighbours(seed_words, min_words, to_arrow_type(rows.schema["doc_id"].dataType)),
         f"key long, after binary, before binary, name long, at int, doc_id {kind}, start int, end int, settled boolean, counts boolean",
