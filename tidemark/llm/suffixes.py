@@ -295,7 +295,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     order = ["key", "after", "before", "name", "at"]
     # A fixed number of ranges: merged by size they would be uneven in rows, as equal suffixes compress to nothing.
     ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(suffixes, "suffixes").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # Bounds need the seed first, so that its parts are neighbours, and then anything that splits a hot one; they are short,
+    # as samples of them reach the driver.
+    bounds = ["key", F.substring("after", 1, 8), F.substring("before", 1, 8), F.xxhash64("after", "before"), "name"]
+    ranged = cut_lineage(suffixes, "suffixes").repartitionByRange(ranges, *bounds).sortWithinPartitions(*order)
     compared = ranged.select(*SUFFIX).mapInArrow(
         _neighbours(seed_words, min_words, to_arrow_type(rows.schema["doc_id"].dataType)),
         f"key long, after binary, before binary, name long, at int, doc_id {kind}, start int, end int, settled boolean, counts boolean",
