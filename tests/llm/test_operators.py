@@ -543,6 +543,29 @@ def test_model_beats_the_base_on_held_out_text(spark):
     assert held[0] > 0.6 * held[1]
 
 
+def test_rare_words_form_bigrams(spark):
+    """Every word is rarer than 1e-4 and every pair than 1e-6 of a large corpus would be: all count, once-seen ones too."""
+    order = np.random.default_rng(8).permutation(30_000)
+    chains = [(i, " ".join(f"w{w}" for w in order[i * 100 : i * 100 + 100])) for i in range(300)]
+    df = spark.createDataFrame(chains, "doc_id long, text string")
+    counted = lm.count_words(df.select("text"))
+    model = lm.fit(df.select("text"), counted)
+    for r in lm.score(df.limit(20), model, counted).collect():
+        assert r.n_known == r.n_tokens == 101 and r.score > -0.5 * r.n_tokens > 0.3 * r.base_score
+    swapped = spark.createDataFrame([(i, " ".join(reversed(t.split()))) for i, t in chains[:20]], "doc_id long, text string")
+    assert all(r.score < -3 * r.n_tokens for r in lm.score(swapped, model, counted).collect())
+
+
+def test_shards_grow_with_the_corpus(spark, monkeypatch):
+    df = spark.createDataFrame([(i, " ".join(f"w{i * 50 + j}" for j in range(50))) for i in range(200)], "doc_id long, text string")
+    counted = lm.count_words(df.select("text"))
+    want = sorted((r.doc_id, r.n_known, round(r.base_score, 6)) for r in lm.score(df, lm.fit(df.select("text"), counted), counted).collect())
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 100)
+    model = lm.fit(df.select("text"), counted)
+    assert model.shards == 102 and model.filters.count() == 102
+    assert sorted((r.doc_id, r.n_known, round(r.base_score, 6)) for r in lm.score(df, model, counted).collect()) == want
+
+
 # ---- op10 --------------------------------------------------------------------------------------------
 
 

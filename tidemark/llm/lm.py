@@ -1,22 +1,26 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
 The tokens of a text are its words (A-Z lower-cased) and one end. Training
-counts all tokens of all training texts. A count enters the filter as a level,
-the power of two by which its rate exceeds a floor; an n-gram of level l is
-stored as l members (n-gram, 1) to (n-gram, l), and a reader probes them in
-turn until one is missing. Floors are rates, so every size of corpus is treated
-alike and the filter is bounded: at most 1 / rate n-grams reach a rate, each
-power of two halves them, so an order has at most 2 / floor members.
-
-Bigrams are counted between words that each make up ``VOCABULARY_RATE`` of all
-tokens. A token's probability interpolates the bigram's with the unigram's:
-P(b|a) = L * r(ab) / r(a) + (1 - L * cover(a)) * P(b), where cover(a) is the share
-of a's occurrences whose bigram is in the filter. What unigrams in the filter
-leave of the mass is shared by all rarer types and one unseen type.
-
-The add-one base score needs exact counts. Words with at least ``EXACT_RATE``
-of all tokens (at most 1 / EXACT_RATE of them) are broadcast; the others are
-looked up by a join on the word, in which no word is frequent.
+counts all tokens and all pairs of neighbouring tokens of all training texts;
+a row starts after an end. Every counted word and pair enters the filter, those
+seen once too, so the filter grows with the corpus. A count enters as a level,
+the bit length of the count; an n-gram of level l is stored as l members
+(n-gram, 1) to (n-gram, l), and a reader probes them in turn until one is
+missing. A level stands for the mean count of the n-grams that have it.
+
+The filter lies in shards: an n-gram belongs to the shard its key's hash names,
+and a shard is sized from its own members. Shards number at least one per
+``SHARD_TOKENS`` training tokens, so a shard is bounded; they are built, stored
+and probed by Spark, and neither the driver nor a broadcast holds them. Scoring
+cuts the texts into blocks. A block asks each shard once for its distinct words
+and pairs; the levels go back to the block, which puts them in place by position.
+
+A token's probability interpolates the pair's with the word's:
+P(b|a) = L * r(ab) / r(a) + (1 - L) * P(b), and P(b) where a is in no training
+text. One unseen word counts as a single occurrence.
+
+The add-one base score needs exact counts: a shard also holds its words with
+their counts, and answers for them by the word itself, not by its hash.
 
 Defined results: a null or empty text is its end alone; repeated rows give
 repeated results; without training texts every probability is 1. Other columns
@@ -27,26 +31,39 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh64, xxh64_intdigest
 
-from tidemark.llm.common import batched, documents, filter_bits, fold, has_bit, mix, once, slices, texts
+from tidemark.llm.bpe import _cut, _from_planes, _pack, _planes, _unpack
+from tidemark.llm.common import batched, documents, fold, has_bit, id_text, mix, slices, texts
 from tidemark.session import cut_lineage
 
 END = b"\n"
-UNIGRAM_FLOOR = 2e-7
-BIGRAM_FLOOR = 1e-6
+# Occurrences from which a word or a pair is in the model: all of them.
+UNIGRAM_FLOOR = 1
+BIGRAM_FLOOR = 1
+# Without effect: pairs of all words are counted, and all words by the same join. Kept for callers that set them.
 VOCABULARY_RATE = 1e-4
 EXACT_RATE = 1e-6
 BIGRAM_WEIGHT = 0.5
 BITS_PER_MEMBER = 12
 HASHES = 5
+BLOCK_BYTES = 4 << 20
+SHARD_TOKENS = 1 << 20
+# Shards per shuffle partition, at least: they are dealt by hash, so several even out.
+SHARDS = 4
+# Words and pairs that a task holds before it sends them or adds equal ones up.
+PENDING_WORDS, PENDING_PAIRS = 1 << 17, 1 << 22
+LEVELS = 64
+# Bytes of a key inside a shard: two of a million n-grams agree in them once in some 500 shards.
+KEY_BYTES = 6
+_KEY = np.uint64((1 << 8 * KEY_BYTES) - 1)
 _UNIGRAM, _BIGRAM = 1, 2
+_BLOCK_NAME = 1 << 62
 
 
 def tokens(rows: list[str]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -72,63 +89,192 @@ def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(mix(a, _BIGRAM) ^ b, _BIGRAM)
 
 
-def level_of(count: str, total: int, floor: float) -> Column:
-    """1 for the floor rate up to twice of it, and so on; 0 below."""
-    rate = F.col(count) / F.lit(float(max(total, 1)) * floor)
-    return F.when(rate >= 1, F.floor(F.log2(rate)) + 1).otherwise(0).cast("int")
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shards by the upper half of the keys; inside a shard the lower ``KEY_BYTES`` tell n-grams apart."""
+    return ((keys >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """The lower bytes of ascending keys as differences, the bytes of each rank together."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return np.ascontiguousarray(steps[:, :KEY_BYTES].T).tobytes()
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    steps = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    steps[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(KEY_BYTES, -1).T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def level_of(count: str, total: int, floor: int) -> Column:
+    """1 for ``floor`` occurrences up to twice of it, and so on; 0 below. The level is that of the count, whatever the ``total``."""
+    times = F.col(count) / F.lit(float(floor))
+    return F.when(times >= 1, F.floor(F.log2(times)) + 1).otherwise(0).cast("int")
+
+
+def _levels(table: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    """Levels of n-gram keys by repeated probes of their shard."""
+    out = np.zeros(len(keys), np.uint8)
+    alive, level = np.arange(len(keys)), 0
+    while len(alive) and level < LEVELS - 1:
+        level += 1
+        own = mix(keys[alive], level)
+        for i in range(HASHES):
+            inside = has_bit(table, mix(own, 1000 + i) % np.uint64(bits))
+            alive, own = alive[inside], own[inside]
+        out[alive] = level
+    return out
 
 
 @dataclass
 class Model:
-    name: str
     total: int  # training tokens
     types: int  # distinct training tokens
-    words: list[bytes]  # exactly counted words
-    counts: np.ndarray
-    vocabulary: int  # the first so many of them may form bigrams
-    bits: int
-    table: np.ndarray
-    unigram_scale: float
-    bigram_scale: float
-    cover: np.ndarray  # per vocabulary word
-    rare: float  # probability of any type below the unigram floor
-
-    def index(self) -> dict[bytes, int]:
-        return once("lm", self.name, lambda: {w: i for i, w in enumerate(self.words)})
+    shards: int
+    filters: DataFrame  # stored (key, data): a shard's words, counts, bits and filter
+    unigram: np.ndarray  # per level, the mean count of its words
+    bigram: np.ndarray  # per level, the mean count of its pairs
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Levels of n-gram keys by repeated probes."""
-        out = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
-        while len(alive):
-            level = int(out[alive[0]]) + 1
-            inside = np.ones(len(alive), bool)
-            for p in positions(keys[alive], level, self.bits):
-                inside &= has_bit(self.table, p)
-            alive = alive[inside]
-            out[alive] = level
+        """Levels of a few n-gram keys; the driver reads one shard after another."""
+        out, shard = np.zeros(len(keys), np.int64), shard_of(keys, self.shards)
+        for row in self.filters.toLocalIterator():
+            mine = shard == row["key"]
+            out[mine] = _Shard(bytes(row["data"])).levels(keys[mine])
         return out
 
 
+class _Shard:
+    """A stored shard: exact counts of its words, levels of its words and pairs."""
+
+    def __init__(self, data: bytes | None):
+        sizes, joined, counts, bits, table = _unpack(data) if data else [b""] * 5
+        self.counts = dict(zip(_cut(joined, np.frombuffer(sizes, "<u4")), np.frombuffer(counts, "<i8").tolist()))
+        self.bits, self.table = int.from_bytes(bits, "little"), np.frombuffer(table, np.uint8)
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        return _levels(self.table, self.bits, keys & _KEY) if self.bits else np.zeros(len(keys), np.uint8)
+
+
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([xxh64_intdigest(w, 42) for w in words], np.uint64)
 
 
-def _members(bits: int):
+def _pairs(codes: np.ndarray, sizes: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of neighbouring tokens as codes (first, second), the pair at every position, the pairs' counts."""
+    before = np.empty(len(codes), np.int64)
+    before[1:] = codes[:-1]
+    before[np.cumsum(sizes) - sizes] = words.index(END)
+    unique, at, times = np.unique(before * len(words) + codes, return_inverse=True, return_counts=True)
+    return unique // len(words), unique % len(words), at, times
+
+
+def _dealt(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the order that puts keys of a shard together, by their lower bytes, and the shards in this order)."""
+    shard = shard_of(keys, shards)
+    order = np.lexsort((keys & _KEY, shard))
+    return order, shard[order]
+
+
+def _rows(used: np.ndarray, blobs: list[bytes], kind: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array([kind] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())], ["key", "kind", "data"])
+
+
+def _send_pairs(shards: int):
+    """Texts to (shard, packed keys and counts of pairs)."""
+
     def run(batches):
+        for batch in slices(batches, limit=BLOCK_BYTES):
+            codes, distinct, sizes = tokens(texts(batch))
+            words = distinct.to_pylist()
+            first, second, _, times = _pairs(codes, sizes, words)
+            hashes = _hashes(words)
+            keys = pair_keys(hashes[first], hashes[second])
+            order, shard = _dealt(keys, shards)
+            keys, times = keys[order] & _KEY, times[order].astype("<u4")
+            used, starts = np.unique(shard, return_index=True)
+            ends = [*starts[1:].tolist(), len(keys)]
+            yield _rows(used, [_pack(_pack_keys(keys[s:e]), _planes(times[s:e])) for s, e in zip(starts.tolist(), ends)], _BIGRAM)
+
+    return run
+
+
+def _send_words(shards: int):
+    """Rows (word, n) to (shard, packed words and counts)."""
+
+    def send(words, counts):
+        counts = np.array(counts, "<i8")
+        order, shard = _dealt(mix(_hashes(words), _UNIGRAM), shards)
+        used, starts = np.unique(shard, return_index=True)
+        parts = [order[s:e] for s, e in zip(starts, [*starts[1:], len(order)])]
+        return _rows(used, [_pack(np.array([len(words[i]) for i in p], "<u4"), b"".join(words[i] for i in p), counts[p]) for p in parts], _UNIGRAM)
+
+    def run(batches):
+        words, counts = [], []
         for batch in batches:
-            keys, levels = batch.column("key").to_numpy().view(np.uint64), batch.column("level").to_numpy()
-            for level in range(1, int(levels.max(initial=0)) + 1):
-                at = np.concatenate(positions(keys[levels >= level], level, bits))
-                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], ["at"])
+            words += batch.column("word").cast(pa.binary()).to_pylist()
+            counts += batch.column("n").to_pylist()
+            if len(words) >= PENDING_WORDS:
+                yield send(words, counts)
+                words, counts = [], []
+        if words:
+            yield send(words, counts)
 
     return run
 
 
-def _unigram_keys(batches):
+def _sum_up(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with their counts."""
+    key, n = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *times])
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[starts], np.add.reduceat(n, starts) if len(key) else n
+
+
+def _build(batches):
+    """Rows of shards, each shard's together, to one stored shard and its statistics per order and level."""
+    now, words, sizes, counts, keys, times, held = None, [], [], [], [], [], 0
+
+    def shard():
+        own = np.concatenate([np.zeros(0, "<i8"), *counts])
+        joined, lengths = b"".join(words), np.concatenate([np.zeros(0, "<u4"), *sizes])
+        pairs, n = _sum_up(keys, times)
+        grams = np.concatenate([mix(_hashes(_cut(joined, lengths)), _UNIGRAM) & _KEY, pairs])
+        stats, levels = [], []
+        for c in (own, n):
+            level = np.frexp(c.astype(float))[1]
+            levels.append(level)
+            stats += [np.bincount(level, minlength=LEVELS), np.bincount(level, c, LEVELS).astype(np.int64)]
+        level = np.concatenate(levels)
+        bits = max(64, int(level.sum()) * BITS_PER_MEMBER)
+        mark = np.zeros(bits, bool)
+        for step in range(1, int(level.max(initial=0)) + 1):
+            for p in positions(grams[level >= step], step, bits):
+                mark[p] = True
+        data = _pack(lengths, joined, own, bits.to_bytes(8, "little"), np.packbits(mark, bitorder="little"))
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([data], pa.binary()), pa.array([np.concatenate(stats).tolist()], pa.list_(pa.int64()))], ["key", "data", "stats"])
+
     for batch in batches:
-        keys = mix(batch.column("hash").to_numpy().view(np.uint64), _UNIGRAM)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("level")], ["key", "level"])
+        for key, kind, data in zip(*(batch.column(c) for c in ("key", "kind", "data"))):
+            if key.as_py() != now:
+                if now is not None:
+                    yield shard()
+                now, words, sizes, counts, keys, times, held = key.as_py(), [], [], [], [], [], 0
+            got = _unpack(data.as_py())
+            if kind.as_py() == _UNIGRAM:
+                sizes.append(np.frombuffer(got[0], "<u4"))
+                words.append(got[1])
+                counts.append(np.frombuffer(got[2], "<i8"))
+                continue
+            keys.append(_unpack_keys(got[0]))
+            times.append(_from_planes(got[1]).astype(np.int64))
+            held += len(keys[-1])
+            if held >= PENDING_PAIRS and len(keys) > 1:
+                key, n = _sum_up(keys, times)
+                keys, times, held = [key], [n], 0
+    if now is not None:
+        yield shard()
 
 
 def count_words(train: DataFrame) -> DataFrame:
@@ -138,125 +284,122 @@ def count_words(train: DataFrame) -> DataFrame:
 
 def fit(train: DataFrame, words: DataFrame) -> Model:
     """The model of the texts in ``text``, whose counted tokens are ``words``."""
-    spark = train.sparkSession
     row = words.agg(F.sum("n").alias("total"), F.count("*").alias("types")).first()
     total, types = row["total"] or 0, row["types"]
-    exact = words.filter(F.col("n") >= total * EXACT_RATE).orderBy(F.desc("n"), "word").toArrow()
-    known = exact["word"].cast(pa.binary()).to_pylist()
-    counts = exact["n"].to_numpy().astype(np.int64)
-    size = int(np.sum(counts >= total * VOCABULARY_RATE))
-    shared = spark.sparkContext.broadcast((known[:size], _hashes(known[:size])))
-    name = uuid4().hex
-
-    def bigrams(batches):
-        vocabulary = once("lm-vocabulary", name, lambda: {w: i for i, w in enumerate(shared.value[0])})
-        for batch in slices(batches, limit=2 << 20):
-            pairs = _pairs(*tokens(texts(batch)), vocabulary)[0]
-            seen = pc.value_counts(pa.array(pairs))
-            yield pa.RecordBatch.from_arrays([seen.field(0), seen.field(1)], ["pair", "n"])
-
-    level = level_of("n", total, BIGRAM_FLOOR)
-    pairs = train.mapInArrow(bigrams, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).withColumn("level", level).filter("level > 0")
-    pairs = cut_lineage(pairs, "lm-pairs")
-    unigrams = words.withColumn("level", level_of("n", total, UNIGRAM_FLOOR)).filter("level > 0")
-    kept, members, mass, quantised = _mass(unigrams, total, UNIGRAM_FLOOR)
-    _, more, pair_mass, pair_quantised = _mass(pairs, total, BIGRAM_FLOOR)
-    bits = 1 << max(16, math.ceil(math.log2(max(1, (members + more) * BITS_PER_MEMBER))))
-
-    def bigram_keys(batches):
-        hashes = shared.value[1]
-        for batch in batches:
-            pair = batch.column("pair").to_numpy()
-            keys = pair_keys(hashes[pair // size], hashes[pair % size])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("level")], ["key", "level"])
-
-    keys = unigrams.select(F.xxhash64("word").alias("hash"), "level").mapInArrow(_unigram_keys, "key long, level int")
-    keys = keys.unionByName(pairs.select("pair", "level").mapInArrow(bigram_keys, "key long, level int"))
-    table = filter_bits(keys.mapInArrow(_members(bits), "at long"), "at", bits)
-    # Per first word: at most as many rows as the vocabulary has.
-    covered = pairs.groupBy(F.expr(f"pair div {max(size, 1)}").alias("a")).agg(F.sum("n").alias("n")).toArrow()
-    cover = np.zeros(size)
-    cover[covered["a"].to_numpy()] = covered["n"].to_numpy()
-    cover = np.minimum(cover / np.maximum(counts[:size], 1), 1)
-    left = (total - mass + 1) / ((total + 1) * (types - kept + 1))
-    return Model(name, total, types, known, counts, size, bits, table, mass / max(total, 1) / quantised if quantised else 1.0, pair_mass / max(total, 1) / pair_quantised if pair_quantised else 1.0, cover, left)
-
-
-def _mass(ngrams: DataFrame, total: int, floor: float) -> tuple[int, int, int, float]:
-    """(n-grams, filter members, occurrences, sum of the quantised rates)."""
-    quantised = F.sum(F.pow(F.lit(2.0), F.col("level") - 0.5)) * floor
-    row = ngrams.agg(F.count("*"), F.sum("level"), F.sum("n"), quantised).first()
-    return row[0], row[1] or 0, row[2] or 0, row[3] or 0.0
-
-
-def _pairs(codes: np.ndarray, distinct: pa.Array, sizes: np.ndarray, vocabulary: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(pair numbers of neighbouring vocabulary tokens, positions of their second tokens); a row starts after an end."""
-    size = len(vocabulary)
-    number = np.array([vocabulary.get(w, -1) for w in distinct.to_pylist()], np.int64)[codes]
-    before = np.empty_like(number)
-    before[1:] = number[:-1]
-    before[np.cumsum(sizes) - sizes] = vocabulary.get(END, -1)
-    at = np.flatnonzero((number >= 0) & (before >= 0))
-    return before[at] * size + number[at], at
-
-
-def _score(model: Model, rows: list[str]):
-    """Per row: tokens, exactly known tokens, sum of log10(c + 1), log10 probability; rare (row, word code, count) and the words."""
-    codes, distinct, sizes = tokens(rows)
-    index = model.index()
-    words = distinct.to_pylist()
-    found = np.array([index.get(w, -1) for w in words], np.int64)
-    exact = np.where(found >= 0, model.counts[found] if len(model.counts) else 0, 0)
-    row = np.repeat(np.arange(len(rows)), sizes)
-    hashes = _hashes(words)
-    levels = model.levels(mix(hashes, _UNIGRAM))
-    unigram = np.where(levels > 0, np.minimum(model.unigram_scale * UNIGRAM_FLOOR * 2.0 ** (levels - 0.5), 1), model.rare)
-    p = unigram[codes]
-    vocabulary = once("lm-words", model.name, lambda: {w: i for i, w in enumerate(model.words[: model.vocabulary])})
-    pairs, at = _pairs(codes, distinct, sizes, vocabulary)
-    if len(pairs):
-        unique, inverse = np.unique(pairs, return_inverse=True)
-        first, second = unique // model.vocabulary, unique % model.vocabulary
-        own = once("lm-hashes", model.name, lambda: _hashes(model.words[: model.vocabulary]))
-        level = model.levels(pair_keys(own[first], own[second]))
-        rate = np.where(level > 0, model.bigram_scale * BIGRAM_FLOOR * 2.0 ** (level - 0.5), 0)
-        given = np.minimum(rate * model.total / np.maximum(model.counts[first], 1), 1)
-        p[at] = BIGRAM_WEIGHT * given[inverse] + (1 - BIGRAM_WEIGHT * model.cover[first][inverse]) * p[at]
-    n = len(rows)
-    score = np.bincount(row, np.log10(p), n)
-    base = np.bincount(row, np.log10(exact + 1.0)[codes], n)
-    known = np.bincount(row, (exact > 0)[codes], n).astype(np.int64)
-    rare = (found < 0)[codes]
-    keys, times = np.unique(row[rare] * np.int64(len(words)) + codes[rare], return_counts=True)
-    return sizes, known, base, score, keys // len(words), keys % len(words), times, distinct
-
-
-def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    rows = batched(docs).select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(SHARDS * partitions, -(-total // SHARD_TOKENS))
+    kinds = "key long, kind int, data binary"
+    sent = batched(train).mapInArrow(_send_pairs(shards), kinds).unionByName(words.mapInArrow(_send_words(shards), kinds))
+    built = sent.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(_build, "key long, data binary, stats array<long>")
+    built = cut_lineage(built, "lm-shards")
+    stats = np.zeros(4 * LEVELS, np.int64)
+    # A row a level and order.
+    for at, n in built.select(F.posexplode("stats").alias("at", "n")).groupBy("at").agg(F.sum("n")).collect():
+        stats[at] = n
+    number, mass, pairs, pair_mass = stats.reshape(4, LEVELS)
+    return Model(total, types, shards, built.select("key", "data"), mass / np.maximum(number, 1), pair_mass / np.maximum(pairs, 1))
+
+
+def _ask(shards: int):
+    """Rows to (shard, the words and pairs a block asks it for) and (block's name, positions)."""
 
     def run(batches):
-        for batch in slices(batches, limit=2 << 20):
-            sizes, known, base, points, owner, code, times, distinct = _score(shared.value, texts(batch))
-            offsets = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
-            rare = pa.StructArray.from_arrays([distinct.take(pa.array(code)).cast(pa.string()), pa.array(times, pa.int32())], ["word", "times"])
+        task = TaskContext.get().partitionId()
+        for ordinal, batch in enumerate(slices(batches, limit=BLOCK_BYTES)):
+            codes, distinct, sizes = tokens(texts(batch))
+            words = distinct.to_pylist()
+            first, second, at, _ = _pairs(codes, sizes, words)
+            hashes = _hashes(words)
+            by_word, word_shard = _dealt(mix(hashes, _UNIGRAM), shards)
+            keys = pair_keys(hashes[first], hashes[second])
+            by_pair, pair_shard = _dealt(keys, shards)
+            word_place, pair_place = np.empty(len(words), np.uint32), np.empty(len(keys), np.uint32)
+            word_place[by_word], pair_place[by_pair] = np.arange(len(words)), np.arange(len(keys))
+            ordered, keys = [words[i] for i in by_word.tolist()], keys[by_pair] & _KEY
+            used = np.union1d(word_shard, pair_shard)
+            word_cuts = [np.searchsorted(word_shard, used, side).tolist() for side in ("left", "right")]
+            pair_cuts = [np.searchsorted(pair_shard, used, side).tolist() for side in ("left", "right")]
+            blobs = [_pack(np.array([len(w) for w in ordered[s:e]], "<u4"), b"".join(ordered[s:e]), _pack_keys(keys[i:j])) for s, e, i, j in zip(*word_cuts, *pair_cuts)]
+            own = _pack(_planes(pair_place[at]), _planes(word_place[first[by_pair]]), _planes(word_place[second[by_pair]]))
+            # Named by its place and its content: no two blocks share a name, and one rebuilt from other rows does not meet old answers.
+            name = xxh64(f"{task} {ordinal} ")
+            for blob in [*blobs, own]:
+                name.update(blob)
+            name = _BLOCK_NAME | name.intdigest() >> 2
+            n, ids = len(blobs), batch.column("doc_id")
+            lists = pa.ListArray.from_arrays(pa.array([0] * (n + 1) + [len(ids)], pa.int32()), ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), pa.array(known), pa.array(base), pa.array(points), pa.ListArray.from_arrays(pa.array(offsets), rare)],
-                ["doc_id", "n_tokens", "n_known", "base", "score", "rare"],
+                [pa.array([*used.tolist(), name], pa.int64()), pa.array([name] * (n + 1), pa.int64()), pa.array([*blobs, own], pa.binary()), lists, pa.array([None] * n + [sizes], pa.list_(pa.int64()))],
+                ["key", "block", "data", "ids", "sizes"],
             )
 
+    return run
+
+
+def _answer(batches):
+    """Rows of shards, the stored shard before what it is asked, to the answers by block."""
+    now, shard = None, _Shard(None)
+    for batch in batches:
+        for key, block, data in zip(*(batch.column(c) for c in ("key", "block", "data"))):
+            key, block = key.as_py(), block.as_py()
+            if key >= _BLOCK_NAME:
+                continue
+            if key != now:
+                now, shard = key, _Shard(data.as_py() if block < 0 else None)
+            if block < 0:
+                continue
+            sizes, joined, keys = _unpack(data.as_py())
+            words = _cut(joined, np.frombuffer(sizes, "<u4"))
+            exact = np.array([shard.counts.get(w, 0) for w in words], "<i8")
+            levels = shard.levels(np.concatenate([mix(_hashes(words), _UNIGRAM), _unpack_keys(keys)]))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([key], pa.int64()), pa.array([_pack(exact, levels)], pa.binary())], ["key", "shard", "data"])
+
+
+def _place(total: int, types: int, unigram: np.ndarray, bigram: np.ndarray):
+    """The rows of a block with their scores, from its positions and the shards' answers."""
+
+    def run(key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        schema = pa.schema(list(zip(names, [blocks.schema.field("ids").type.value_type, pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])))
+        out = []
+        for row in range(blocks.num_rows if key[0].as_py() >= _BLOCK_NAME else 0):
+            by_shard = dict(zip(answers["shard"].to_pylist(), answers["data"].to_pylist()))
+            exact, words, pairs = [], [], []
+            for s in sorted(by_shard):
+                counts, levels = _unpack(by_shard[s])
+                exact.append(np.frombuffer(counts, "<i8"))
+                words.append(np.frombuffer(levels, np.uint8)[: len(exact[-1])])
+                pairs.append(np.frombuffer(levels, np.uint8)[len(exact[-1]) :])
+            exact, words, pairs = map(np.concatenate, (exact, words, pairs))
+            at, first, second = map(_from_planes, _unpack(blocks["data"][row].as_py()))
+            sizes = np.array(blocks["sizes"][row].as_py(), np.int64)
+            seen = unigram[words]
+            alone = np.where(words > 0, seen, 1)[second] / (total + 1)
+            given = np.minimum(bigram[pairs] / np.maximum(seen[first], 1), 1)
+            p = np.where(words[first] > 0, BIGRAM_WEIGHT * given + (1 - BIGRAM_WEIGHT) * alone, alone)
+            n, owner = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+            second = second[at]
+            base = np.bincount(owner, np.log10(exact + 1.0)[second], n) - sizes * math.log10(total + types + 1)
+            known = np.bincount(owner, (exact > 0)[second], n).astype(np.int64)
+            score = np.bincount(owner, np.log10(p)[at], n)
+            out.append(pa.record_batch([blocks["ids"][row].values, pa.array(sizes), pa.array(known), pa.array(np.full(n, total)), pa.array(base), pa.array(score)], schema=schema))
+        return pa.Table.from_batches(out, schema=schema)
+
+    return run
+
+
+def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row; the model holds the counts of ``words``."""
+    rows = id_text(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base double, score double, rare array<struct<word:string,times:int>>")
-    # Row numbers are stored with the rows: keys may repeat or be null.
-    scored = cut_lineage(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    asked = scored.select("row", F.inline("rare"))
-    rare = words.filter(F.col("n") < model.total * EXACT_RATE)
-    added = asked.join(rare, "word").groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("more"))
-    base = F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(math.log10(model.total + model.types + 1))
-    return scored.drop("rare").join(added, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
-    )
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = rows.mapInArrow(_ask(model.shards), f"key long, block long, data binary, ids array<{kind}>, sizes array<long>")
+    stored = model.filters.select("key", F.lit(-1).cast("long").alias("block"), "data", F.lit(None).cast(f"array<{kind}>").alias("ids"), F.lit(None).cast("array<long>").alias("sizes"))
+    # What is asked goes to its shard and positions to their block's place in one exchange, which both readers use.
+    sent = asked.union(stored).repartition(partitions, "key")
+    answers = sent.sortWithinPartitions("key", "block").mapInArrow(_answer, "key long, shard long, data binary").repartition(partitions, "key")
+    place = _place(model.total, model.types, model.unigram, model.bigram)
+    return sent.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(place, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
