@@ -219,6 +219,22 @@ def test_each_distinct_word_travels_once_per_block(docs):
     assert "FlatMapCoGroupsInArrow" in plan and "Cartesian" not in plan
 
 
+def test_blocks_of_copies_are_groups_of_their_own(spark, monkeypatch):
+    """Runs of one text, with equal and null keys: no group holds more than one block."""
+    place = bpe._place
+
+    def one_block(key, blocks, encoded):
+        assert key[0].as_py() < 1 << 62 or blocks.num_rows == 1
+        return place(key, blocks, encoded)
+
+    monkeypatch.setattr(bpe, "_place", one_block)
+    text = prose("en", 100)
+    df = spark.createDataFrame([(None if i % 2 else 7, text) for i in range(64)], "doc_id long, text string").coalesce(2)
+    got = bpe.encode(df, RANKS, public_tokenizers.PATTERN, block_bytes=2 * len(text)).collect()
+    want = encoder().encode_ordinary(text)
+    assert len(got) == 64 and all(np.frombuffer(r.ids, "<u4").tolist() == want for r in got)
+
+
 def naive_best_fit(sizes, length):
     free = []
     for n in sorted(sizes, reverse=True):

@@ -10,8 +10,9 @@ the ids with the table of token bytes, which every worker holds.
 
 A frequent word is one entry per block, not one per occurrence, and a hot
 source's rows stay in the blocks where they were read. A block is named by a
-hash of its words: were a lost block rebuilt from rows in another order, the
-job would fail and not mix up ids.
+hash of its place (task and number in the task), its words and its positions:
+blocks of equal texts keep apart, so that a group is one block, and were a lost
+block rebuilt from rows in another order, the job would fail and not mix up ids.
 
 Defined results: a null or empty text has no ids; repeated rows give repeated
 results; other columns are not read. The ranks and the pattern are parameters.
@@ -27,6 +28,7 @@ import pyarrow as pa
 import regex
 import tiktoken
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_digest, xxh64_intdigest
 
@@ -114,7 +116,8 @@ def _split(pattern: str, parts: int, limit: int):
     compiled = regex.compile(pattern)
 
     def run(batches):
-        for batch in slices(batches, limit=limit):
+        task = TaskContext.get().partitionId()
+        for ordinal, batch in enumerate(slices(batches, limit=limit)):
             indices, words, lengths = pre_tokens(compiled, texts(batch))
             part = np.fromiter((int.from_bytes(xxh64_digest(w)[:4], "big") for w in words), np.int64, len(words)) % parts
             order = np.argsort(part, kind="stable")
@@ -124,8 +127,8 @@ def _split(pattern: str, parts: int, limit: int):
             ends = [*starts[1:].tolist(), len(words)]
             ordered = [words[i] for i in order.tolist()]
             blobs = [_pack(np.array([len(w) for w in ordered[s:e]], "<u4"), b"".join(ordered[s:e])) for s, e in zip(starts.tolist(), ends)]
-            name = _BLOCK_NAME | xxh64_intdigest(b"".join(blobs)) >> 2
             at = _pack(_planes(place[indices]))
+            name = _BLOCK_NAME | xxh64_intdigest(b"".join([b"%d %d " % (task, ordinal), *blobs, at])) >> 2
             n = len(blobs)
             ids = batch.column("doc_id")
             lists = pa.ListArray.from_arrays(pa.array([0] * (n + 1) + [len(ids)], pa.int32()), ids)
