@@ -409,6 +409,16 @@ def test_thresholds_equal_exact_quartiles(spark):
     assert math.isclose(got.high_symbol_rate, q3 + max(3 * (q3 - q1), 0.1), rel_tol=0.02)
 
 
+def test_repeated_lines_are_judged_by_rate_not_by_line_count(spark):
+    """Clean texts of one to six lines have a rate of zero, so many repeated lines stand out."""
+    clean = [(i, "\n".join(prose("en", 20 + 60 // (1 + i % 6)) for _ in range(1 + i % 6)), "en", "s") for i in range(300)]
+    menu = [(1000, "\n".join(prose("en", 12) + "\nMenu" for _ in range(12)), "en", "s")]
+    df = spark.createDataFrame(clean + menu, "doc_id long, text string, lang string, source string")
+    assert math.isclose(quality.thresholds(quality.measure(df), ["g0", "g1"]).first().high_dup_line_rate, 0.2)
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert not got[1000].kept and not got[1000].base_failed
+
+
 # ---- op7 ---------------------------------------------------------------------------------------------
 
 

@@ -99,7 +99,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by:
 def features() -> dict[str, Column]:
     """The judged rates; one repeated line of a text is no sign of anything."""
     per = lambda a, b: F.coalesce(F.try_divide(F.expr(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
-    return {"symbol_rate": per("n_symbols", "n_words"), "dup_line_rate": per("n_dup_lines - 1", "n_lines"), "repeat_rate": per("n_repeat_words", "n_words"), "word_length": per("word_chars", "n_words")}
+    return {"symbol_rate": per("n_symbols", "n_words"), "dup_line_rate": per("greatest(n_dup_lines - 1, 0)", "n_lines"), "repeat_rate": per("n_repeat_words", "n_words"), "word_length": per("word_chars", "n_words")}
 
 
 def _key(columns: list[str]) -> Column:
