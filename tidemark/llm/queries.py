@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, langid, lm, packing, pii, quality, simhash, suffixes, urlfilter
+from tidemark.llm import bpe, decontaminate, hardnegatives, langid, lm, neighbours, packing, periodic, pii, quality, simhash, suffixes, urlfilter
 
 QUERIES = {
     "op1_pii": (pii.query, None),
@@ -15,4 +15,7 @@ QUERIES = {
     "op8_language_id": (langid.query, None),
     "op9_lm_scores": (lm.query, None),
     "op10_decontamination": (decontaminate.query, None),
+    "op11_neighbours": (neighbours.query, None),
+    "op12_periodic_runs": (periodic.query, None),
+    "op13_hard_negatives": (hardnegatives.query, hardnegatives.SQL),
 }
