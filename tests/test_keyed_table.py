@@ -1,9 +1,12 @@
+import random
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import keyed as K
-from tidemark.plans.lake_table import COPY_ON_WRITE, MERGE_ON_READ, KeyedTable
+from tidemark.plans.keyed_table import BucketedTable, ChangeLog
 from tidemark.schemas import USER_DELETES, USERS, USERS_EVOLVED
 from tidemark.sources.tables import records
 
@@ -19,15 +22,22 @@ def users(spark, data, schema=USERS):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    def make(table_type=COPY_ON_WRITE, **options):
-        return KeyedTable(spark, str(tmp_path / "users"), ["id"], "ts", table_type, **options)
+    def make(**options):
+        return BucketedTable(spark, str(tmp_path / "users"), ["id"], "ts", **({"buckets": 8} | options))
 
     return make
 
 
-@pytest.mark.parametrize("table_type", [COPY_ON_WRITE, MERGE_ON_READ])
-def test_overwrite_upsert_delete_incremental(spark, table, table_type):
-    t = table(table_type)
+def files(tmp_path, folder="users"):
+    return {str(p) for p in Path(tmp_path / folder).glob("rows-*/*/*.parquet")}
+
+
+def folders(paths):
+    return {str(Path(p).parent) for p in paths}
+
+
+def test_overwrite_upsert_delete_incremental(spark, table):
+    t = table()
     first = t.overwrite(users(spark, INITIAL))
     assert rows(t.snapshot()) == INITIAL
     t.upsert(users(spark, UPSERT))
@@ -38,14 +48,11 @@ def test_overwrite_upsert_delete_incremental(spark, table, table_type):
     # A bound before every instant is a full read; the true first commit shows only later changes.
     assert rows(t.incremental("00000000000001"), "id", "name", "ts") == live
     assert rows(t.incremental(first), "id", "name", "ts") == [("1", "AliceUpdated", 2000)]
-    changed = t.incremental(first, changes=True)
-    assert rows(changed, "id", "_op") == [("1", "u"), ("2", "d"), ("4", "d")]
-    assert len(t.commit_times()) == 3 and t.commit_times() == sorted(t.commit_times())
-    assert rows(t.snapshot(as_of=first)) == INITIAL
+    assert rows(table().snapshot()) == live, "a table opened anew"
 
 
-def test_merge_on_read_evolution_and_compaction(spark, table):
-    t = table(MERGE_ON_READ, compact_every=1)
+def test_new_columns(spark, table):
+    t = table()
     t.bulk_insert(users(spark, INITIAL[:2]))
     t.upsert(users(spark, EVOLVED, USERS_EVOLVED))
     expected = [
@@ -54,57 +61,69 @@ def test_merge_on_read_evolution_and_compaction(spark, table):
         ("3", "Charlie", 1002, "charlie@example.com"),
     ]
     assert rows(t.snapshot()) == expected
-    assert rows(t.read_optimized()) == expected
+    assert rows(table().snapshot(), "id", "name", "ts", "email") == expected
+
+
+def test_a_batch_rewrites_the_buckets_of_its_keys_and_a_replay_nothing(spark, table, tmp_path):
+    t = table(buckets=32)
+    t.overwrite(users(spark, [(str(i), "a", i) for i in range(400)]))
+    before = files(tmp_path)
+    assert len(folders(before)) == 32
+    assert t.upsert(users(spark, [(str(i), "b", 1000) for i in (3, 7, 500)]), source="stream", number=4)
+    after = files(tmp_path)
+    assert 1 <= len(folders(before - after)) <= 3 and folders(before - after) == folders(after - before)
+    for number in (4, 2):
+        assert not t.upsert(users(spark, [("9", "again", 5000)]), source="stream", number=number)
+    assert files(tmp_path) == after
+    assert t.upsert(users(spark, [("9", "new", 5000)]), source="stream", number=5) and t.upsert(users(spark, [("9", "x", 5001)]), source="other", number=0)
+    assert len(list(Path(tmp_path / "users" / "applied").iterdir())) == 2, "a record a source, however many batches"
+    assert t.snapshot().count() == 401
+
+
+def test_a_bucket_that_loses_all_its_keys_is_gone(spark, table, tmp_path):
+    t = table(buckets=64)
+    t.overwrite(users(spark, INITIAL))
+    t.delete(users(spark, [("1", 0), ("2", 0)], USER_DELETES))
+    assert rows(t.snapshot()) == INITIAL[2:] and len(folders(files(tmp_path))) == 1
+    t.delete(users(spark, [("3", 0)], USER_DELETES))
+    assert not files(tmp_path)
 
 
-def test_read_optimized_hides_the_log(spark, table):
-    t = table(MERGE_ON_READ)
+def test_a_writer_that_dies_between_staging_and_placing(spark, table, monkeypatch):
+    t = table()
     t.overwrite(users(spark, INITIAL))
-    t.upsert(users(spark, UPSERT))
-    assert rows(t.read_optimized()) == INITIAL
-    t.compact()
-    assert rows(t.read_optimized()) == rows(t.snapshot())
-    assert t.compact() is None
 
+    def dies(self):
+        raise RuntimeError("lost")
 
-def test_cow_equals_mor_with_and_without_compaction(spark, tmp_path):
-    batches = [("upsert", UPSERT, USERS), ("delete", DELETE, USER_DELETES), ("upsert", [("2", "Bob2", 5), ("1", "Old", 1)], USERS)]
-    tables = [
-        KeyedTable(spark, str(tmp_path / name), ["id"], "ts", kind, compact_every=every)
-        for name, kind, every in (("cow", COPY_ON_WRITE, None), ("mor", MERGE_ON_READ, None), ("mor2", MERGE_ON_READ, 2))
-    ]
-    for t in tables:
-        t.overwrite(users(spark, INITIAL))
-        for op, data, schema in batches:
-            getattr(t, op)(users(spark, data, schema))
-    states = [rows(t.snapshot()) for t in tables]
-    assert states[0] == states[1] == states[2]
-    assert ("1", "Old", 1) in states[0], "the later commit wins although its ordering value is smaller"
+    real, calls = BucketedTable._finish, []
+    monkeypatch.setattr(BucketedTable, "_finish", lambda self: real(self) if not calls and not calls.append(1) else dies(self))
+    with pytest.raises(RuntimeError):
+        t.upsert(users(spark, UPSERT), source="s", number=1)
+    monkeypatch.setattr(BucketedTable, "_finish", real)
+    again = table()
+    assert again.upsert(users(spark, UPSERT), source="s", number=1), "no record of it yet"
+    assert rows(again.snapshot()) == [("1", "AliceUpdated", 2000), ("2", "Bob", 1001), ("3", "Charlie", 1002), ("4", "Dave", 1003)]
 
 
-def test_replaying_incremental_changes_gives_the_snapshot(spark, table):
-    t = table(MERGE_ON_READ)
-    first = t.overwrite(users(spark, INITIAL))
-    t.upsert(users(spark, UPSERT))
-    t.delete(users(spark, DELETE, USER_DELETES))
-    changes = t.incremental(first, changes=True)
-    base = t.snapshot(as_of=first)
-    kept = K.delete(base, changes, ["id"])
-    replay = kept.unionByName(changes.filter("_op <> 'd'").select("id", "name", "ts"))
-    assert rows(replay) == rows(t.snapshot())
+def test_another_number_of_buckets_is_refused(spark, table):
+    table().overwrite(users(spark, INITIAL))
+    with pytest.raises(ValueError, match="number of buckets"):
+        table(buckets=9)
 
 
-def test_event_time_mode(spark, table):
-    t = table(MERGE_ON_READ, mode="event_time")
+def test_later_commit_or_greater_ordering_wins(spark, table, tmp_path):
+    t = table()
     t.overwrite(users(spark, INITIAL))
-    t.upsert(users(spark, [("1", "Late", 5), ("2", "Newer", 9000)]))
-    assert rows(t.snapshot()) == [("1", "Alice", 1000), ("2", "Newer", 9000), ("3", "Charlie", 1002)]
-    t.delete(users(spark, [("1", 1)], USER_DELETES))
-    t.upsert(users(spark, [("1", "Back", 3)]))
-    assert ("1", "Back", 3) in rows(t.snapshot()), "what came after the delete is alive, whatever its ordering"
-    before = rows(t.snapshot())
-    t.compact()
-    assert rows(t.snapshot()) == before
+    t.upsert(users(spark, [("1", "Old", 1)]))
+    assert ("1", "Old", 1) in rows(t.snapshot()), "the later commit wins although its ordering value is smaller"
+    e = BucketedTable(spark, str(tmp_path / "by-time"), ["id"], "ts", "event_time", 4)
+    e.overwrite(users(spark, INITIAL))
+    e.upsert(users(spark, [("1", "Late", 5), ("2", "Newer", 9000)]))
+    assert rows(e.snapshot()) == [("1", "Alice", 1000), ("2", "Newer", 9000), ("3", "Charlie", 1002)]
+    e.delete(users(spark, [("1", 1)], USER_DELETES))
+    e.upsert(users(spark, [("1", "Back", 3)]))
+    assert ("1", "Back", 3) in rows(e.snapshot()), "what came after the delete is alive, whatever its ordering"
 
 
 def test_in_batch_duplicates_and_unknown_deletes(spark, table):
@@ -125,28 +144,56 @@ def test_null_keys_and_type_changes_are_refused(spark, table):
     assert rows(t.snapshot()) == INITIAL, "a failed write leaves no trace"
 
 
-def test_commit_times(spark, table):
-    t = table(clock=lambda: "20240101000000000")
-    assert t.overwrite(users(spark, INITIAL)) == "20240101000000000"
-    assert t.upsert(users(spark, UPSERT)) == "20240101000000001"
-    with pytest.raises(ValueError, match="is not after"):
-        t.upsert(users(spark, UPSERT), commit_time="20230101000000000")
+def test_expired_rows_leave_with_their_bucket(spark, table):
+    """Rows named x are forgotten ten units after them."""
+    t = table(buckets=1, mode="event_time", expire=lambda batch: (F.col("name") == "x") & (F.col("ts") < batch.agg(F.max("ts")).first()[0] - 10))
+    t.upsert(users(spark, [("1", "x", 5), ("2", "x", 20), ("3", "a", 1)]))
+    assert rows(t.snapshot(), "id") == [("2",), ("3",)]
+    t.upsert(users(spark, [("4", "a", 31)]))
+    assert rows(t.snapshot(), "id") == [("3",), ("4",)]
 
 
-def test_a_named_source_is_applied_once(spark, table):
-    t = table(MERGE_ON_READ)
-    t.overwrite(users(spark, INITIAL))
-    assert t.upsert(users(spark, UPSERT), source="q#0") == t.upsert(users(spark, [("9", "again", 1)]), source="q#0")
-    assert len(t.commit_times()) == 2
+def test_a_log_gives_states_and_increments(spark, tmp_path):
+    log = ChangeLog(spark, str(tmp_path / "log"), ["id"], "ts")
+    make = lambda op, data: users(spark, data).withColumn("op", F.lit(op))
+    log.append(make("u", INITIAL), "20240101")
+    log.append(make("u", UPSERT), "20240102")
+    log.append(make("d", [("2", None, 3000), ("4", None, 3000)]), "20240103")
+    log.append(make("d", [("2", None, 3000), ("4", None, 3000)]), "20240103")
+    assert rows(log.snapshot(), "id", "name") == [("1", "AliceUpdated"), ("3", "Charlie")]
+    assert rows(log.snapshot("20240101")) == INITIAL
+    assert rows(log.incremental("20240101"), "id") == [("1",)]
+    assert rows(log.incremental("20240101", changes=True), "id", "op") == [("1", "u"), ("2", "d"), ("4", "d")]
+    assert rows(log.incremental("20240101", "20240102"), "id") == [("1",), ("4",)]
+    plan = log.snapshot("20240101")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_commit" in plan
 
 
-def test_overwrite_resets_incremental_reads(spark, table):
-    t = table(MERGE_ON_READ)
-    first = t.overwrite(users(spark, INITIAL))
-    t.upsert(users(spark, UPSERT))
-    t.overwrite(users(spark, [("7", "Only", 1)]))
-    assert rows(t.snapshot()) == [("7", "Only", 1)]
-    assert rows(t.incremental(first), "id") == [("7",)]
+@pytest.mark.parametrize("mode", ["commit_time", "event_time"])
+@pytest.mark.parametrize("seed", range(2))
+def test_table_equals_a_dictionary(spark, table, mode, seed):
+    r, t, state = random.Random(seed), table(mode=mode), {}
+    for step in range(5):
+        batch = {str(k): r.randint(0, 30) for k in r.sample(range(9), 4)}
+        t.upsert(users(spark, [(k, str(step), ts) for k, ts in batch.items()]))
+        for k, ts in batch.items():
+            if mode == "commit_time" or k not in state or ts >= state[k][2]:
+                state[k] = (k, str(step), ts)
+        if r.random() < 0.6:
+            gone = [str(k) for k in r.sample(range(9), 2)]
+            t.delete(users(spark, [(k, 0) for k in gone], USER_DELETES))
+            state = {k: v for k, v in state.items() if k not in gone}
+        assert rows(t.snapshot()) == sorted(state.values())
+
+
+def test_ordering_may_be_several_columns(spark, tmp_path):
+    t = BucketedTable(spark, str(tmp_path / "t"), ["id"], ["a", "b"], "event_time", 4)
+    make = lambda *data: spark.createDataFrame(data, "id string, a int, b int")
+    t.upsert(make(("k", 1, 5)))
+    t.upsert(make(("k", 1, 3), ("k", 1, 4)))
+    assert rows(t.snapshot()) == [("k", 1, 5)]
+    t.upsert(make(("k", 1, 6), ("k", 0, 9)))
+    assert rows(t.snapshot()) == [("k", 1, 6)]
 
 
 def test_upsert_is_idempotent_and_modes_differ(spark):
@@ -171,61 +218,6 @@ def test_records_match_by_name(spark):
         records(spark, [{"nope": 1}], USERS)
 
 
-def test_incremental_in_event_time_mode_shows_winners_only(spark, table):
-    """Losers and deleted rows are no news."""
-    t = table(MERGE_ON_READ, mode="event_time")
-    first = t.overwrite(users(spark, [("x", "x10", 10), ("y", "y10", 10)]))
-    t.upsert(users(spark, [("x", "x5", 5), ("y", "y20", 20), ("z", "z1", 1)]))
-    t.delete(users(spark, [("y", 0)], USER_DELETES))
-    assert rows(t.snapshot()) == [("x", "x10", 10), ("z", "z1", 1)]
-    assert rows(t.incremental(first), "id", "name") == [("z", "z1")]
-    assert rows(t.incremental(first, changes=True), "id", "_op") == [("y", "d"), ("z", "u")]
-
-
-@pytest.mark.parametrize("mode", ["commit_time", "event_time"])
-@pytest.mark.parametrize("seed", range(3))
-def test_replaying_increments_rebuilds_the_snapshot(spark, table, mode, seed):
-    import random
-
-    r = random.Random(seed)
-    t = table(MERGE_ON_READ, mode=mode)
-    commits = [t.overwrite(users(spark, [(str(i), "0", i) for i in range(6)]))]
-    for step in range(1, 5):
-        keys = r.sample(range(9), 4)
-        commits.append(t.upsert(users(spark, [(str(k), str(step), r.randint(0, 30)) for k in keys])))
-        if r.random() < 0.6:
-            commits.append(t.delete(users(spark, [(str(k), 0) for k in r.sample(range(9), 2)], USER_DELETES)))
-        if r.random() < 0.3:
-            t.compact()
-    final = rows(t.snapshot())
-    for begin in commits:
-        state = {x.id: tuple(x) for x in t.snapshot(as_of=begin).collect()}
-        for x in t.incremental(begin, changes=True).collect():
-            if x._op == "d":
-                state.pop(x.id, None)
-            else:
-                state[x.id] = (x.id, x.name, x.ts)
-        assert sorted(state.values()) == final
-
-
-def test_ordering_may_be_several_columns(spark, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], ["a", "b"], MERGE_ON_READ, mode="event_time")
-    make = lambda *data: spark.createDataFrame(data, "id string, a int, b int")
-    t.upsert(make(("k", 1, 5)))
-    t.upsert(make(("k", 1, 3), ("k", 1, 4)))
-    assert rows(t.snapshot()) == [("k", 1, 5)]
-    t.upsert(make(("k", 1, 6), ("k", 0, 9)))
-    assert rows(t.snapshot()) == [("k", 1, 6)]
-
-
-def test_a_named_batch_is_applied_once(spark, table):
-    t = table(MERGE_ON_READ)
-    t.upsert(users(spark, INITIAL), source="s#1")
-    before = len(t.commits())
-    t.upsert(users(spark, UPSERT), source="s#1")
-    assert len(t.commits()) == before and rows(t.snapshot()) == INITIAL
-
-
 def test_update_with_does_not_multiply_rows(spark):
     target = spark.createDataFrame([("a", 1)], "id string, v int")
     source = spark.createDataFrame([("a", 5, 1), ("a", 7, 0)], "id string, v int, o int")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.catalog import views as V
 from tidemark.functions import returns as R
 from tidemark.operators import keyed as K, ordering as O, quality as Q
-from tidemark.plans.lake_table import COPY_ON_WRITE, MERGE_ON_READ, KeyedTable
+from tidemark.plans.keyed_table import BucketedTable, ChangeLog
 from tidemark.session import scratch_path
 
 KEY = ["trade_id"]
@@ -129,54 +129,76 @@ def kt_time_partition_scan(spark, d):
 DECADES = ["20240110", "20240120", "20240131"]
 
 
-def _change_table(spark: SparkSession, d: str, table_type: str, compact_at: str | None = None) -> KeyedTable:
-    """Replay the change log as one commit per ten days."""
-    path = scratch_path(spark, "users")
-    table = KeyedTable(spark, path, ["user_id"], "ts", table_type)
+BUCKETS = 4
+
+
+def _commits(spark, d):
+    """The change log as one commit per ten days: (last day, changes)."""
     log, after = V.changes(spark, d).drop("commit_time"), None
     for until in DECADES:
         part = log if after is None else _since(log, after)
         # The last commit takes all that is left.
-        part = part if until == DECADES[-1] else _until(part, until)
-        table.change(part, "op", ["ts"], commit_time=until)
-        if until == compact_at:
-            table.compact()
+        yield until, part if until == DECADES[-1] else _until(part, until)
         after = until
+
+
+def _user_table(spark, mode: str = "commit_time") -> BucketedTable:
+    return BucketedTable(spark, scratch_path(spark, "users"), ["user_id"], "ts", mode, BUCKETS)
+
+
+def _changed_table(spark, d, last: str = DECADES[-1]) -> BucketedTable:
+    table = _user_table(spark)
+    for commit, changes in _commits(spark, d):
+        if commit <= last:
+            table.change(changes, "op", ["ts"], commit)
     return table
 
 
+def _change_log(spark, d) -> ChangeLog:
+    log = ChangeLog(spark, scratch_path(spark, "user-log"), ["user_id"], "ts")
+    for commit, changes in _commits(spark, d):
+        log.append(changes, commit)
+    return log
+
+
 def _user_rows(df: DataFrame) -> DataFrame:
     return df.select("user_id", "ts", "value", "event_id")
 
 
 def kt_table_cow(spark, d):
-    return _user_rows(_change_table(spark, d, COPY_ON_WRITE).snapshot())
+    """Every commit rewrites the buckets it touches."""
+    return _user_rows(_changed_table(spark, d).snapshot())
 
 
 def kt_table_mor(spark, d):
-    return _user_rows(_change_table(spark, d, MERGE_ON_READ, DECADES[0]).snapshot())
+    """Commits are appended and reduced by the reader."""
+    return _user_rows(_change_log(spark, d).snapshot())
 
 
 def kt_read_optimized(spark, d):
-    """Compacted through the second commit; the third is still in the log and invisible."""
-    return _user_rows(_change_table(spark, d, MERGE_ON_READ, DECADES[1]).read_optimized())
+    """The table after the second commit; the third is only in the log and invisible."""
+    return _user_rows(_changed_table(spark, d, DECADES[1]).snapshot())
 
 
 def kt_table_incremental(spark, d):
-    return _user_rows(_change_table(spark, d, MERGE_ON_READ).incremental(DECADES[0]))
+    return _user_rows(_changed_table(spark, d).incremental(DECADES[0]))
 
 
 def kt_table_incremental_event_time(spark, d):
     """The later part of the month arrives first: of the earlier part only rows that win, and are not deleted, are news."""
-    table = KeyedTable(spark, scratch_path(spark, "users"), ["user_id"], "ts", MERGE_ON_READ, mode="event_time")
+    table = _user_table(spark, "event_time")
     log, day = V.changes(spark, d).drop("commit_time"), F.date_format("ts", "yyyyMMdd")
-    first = table.change(log.filter(day > COMPACTED), "op", ["ts"], commit_time=DECADES[0])
-    table.change(log.filter(day <= COMPACTED), "op", ["ts"], commit_time=DECADES[1])
-    return _user_rows(table.incremental(first))
+    table.change(log.filter(day > COMPACTED), "op", ["ts"], DECADES[0])
+    table.change(log.filter(day <= COMPACTED), "op", ["ts"], DECADES[1])
+    return _user_rows(table.incremental(DECADES[0]))
+
+
+def kt_table_as_of(spark, d):
+    return _user_rows(_change_log(spark, d).snapshot(as_of=DECADES[1]))
 
 
-def _trade_table(spark) -> KeyedTable:
-    return KeyedTable(spark, scratch_path(spark, "trades"), KEY, "updated_at", MERGE_ON_READ)
+def _trade_table(spark) -> BucketedTable:
+    return BucketedTable(spark, scratch_path(spark, "trades"), KEY, "updated_at", buckets=BUCKETS)
 
 
 def kt_overwrite(spark, d):
@@ -194,10 +216,6 @@ def kt_bulk_insert(spark, d):
     return _trade_rows(table.snapshot())
 
 
-def kt_table_as_of(spark, d):
-    return _user_rows(_change_table(spark, d, COPY_ON_WRITE).snapshot(as_of=DECADES[1]))
-
-
 # ---- data quality ---------------------------------------------------------------------------------
 
 

@@ -102,6 +102,8 @@ def ev_failure_reply(spark, d):
 
 # ---- streams: the view is landed as files, drained in micro-batches -------------------------------
 
+# The tables of these queries are small; a bucket should hold some 100 MB.
+BUCKETS = 4
 FILES, PER_BATCH = 8, 4
 
 
@@ -152,7 +154,7 @@ def ev_stream_persist(spark, d):
     """Topic records, some delivered twice, through the persisting stream into the message table."""
     topic, path = scratch_path(spark, "topic"), scratch_path(spark, "messages")
     P.to_topic_records(_delivered(spark, d)).repartition(FILES).write.parquet(topic)
-    table = J.message_table(spark, path)
+    table = J.message_table(spark, path, buckets=BUCKETS)
     J.drain(J.persist_stream(stream_records(spark, topic, PER_BATCH), table, f"{path}-checkpoint", J.DRAIN))
     return table.snapshot()
 
@@ -161,7 +163,7 @@ def ev_stream_members(spark, d):
     topic, path = scratch_path(spark, "topic"), scratch_path(spark, "members")
     P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
     events = P.valid_events(P.parse_normalized(stream_records(spark, topic, PER_BATCH)))
-    table = J.membership_table(spark, path)
+    table = J.membership_table(spark, path, buckets=BUCKETS)
     J.drain(J.membership_stream(events, table, f"{path}-checkpoint", J.DRAIN))
     return J.current_members(table)
 
@@ -221,15 +223,15 @@ def cdc_stream_ties(spark, d):
     """Envelopes whose position says nothing but the day: ties fall to the later source time, in a stream as in a batch."""
     day = F.regexp_replace("value", '"lsn":[0-9]+', F.concat(F.lit('"lsn":'), F.col("commit_time")))
     topic, path = _land(V.envelopes(spark, d).withColumn("value", day), "envelopes"), scratch_path(spark, "trades")
-    table = J.change_table(spark, path)
+    table = J.change_table(spark, path, buckets=BUCKETS)
     J.drain(J.change_stream(stream_lines(spark, topic, PER_BATCH), table, f"{path}-checkpoint", J.DRAIN))
     return J.current_trades(table)
 
 
 def cdc_stream_apply(spark, d):
-    """Envelopes through the change stream into a merge-on-read table, in whatever order files arrive."""
+    """Envelopes through the change stream into a bucketed table, in whatever order files arrive."""
     topic, path = _land(V.envelopes(spark, d), "envelopes"), scratch_path(spark, "trades")
-    table = J.change_table(spark, path)
+    table = J.change_table(spark, path, buckets=BUCKETS)
     J.drain(J.change_stream(stream_lines(spark, topic, PER_BATCH), table, f"{path}-checkpoint", J.DRAIN))
     return J.current_trades(table)
 

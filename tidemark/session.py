@@ -70,10 +70,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names directly inside a folder; none if it is not there."""
+    files, at = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(at)) if files.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _folder(spark, path)
+    files.delete(at, True)
+
+
+def put_line(spark: SparkSession, path: str, line: str) -> None:
+    """Replace a small file by one line of ASCII text."""
+    files, at = _folder(spark, path)
+    out = files.create(at, True)
+    out.writeBytes(line + "\n")
+    out.close()
+
+
+def get_line(spark: SparkSession, path: str) -> str | None:
+    """The line of :func:`put_line`; None if there is none, or not a whole one."""
+    files, at = _folder(spark, path)
+    if not files.exists(at):
+        return None
+    scanner = spark._jvm.java.util.Scanner(files.open(at)).useDelimiter("\\A")
+    text = scanner.next() if scanner.hasNext() else ""
+    scanner.close()
+    return text[:-1] if text.endswith("\n") else None
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables; frames that still read them must have been used before."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tidemark")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{scratch_root(spark)}/tidemark")
 
 
 def cut_lineage(df, name: str):

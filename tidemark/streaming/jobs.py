@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.keyed import DELETE
 from tidemark.plans import cdc as C, events as P
-from tidemark.plans.lake_table import MERGE_ON_READ, KeyedTable
+from tidemark.plans.keyed_table import BucketedTable
 from tidemark.schemas import MESSAGES_KEY, STOCK_TRADES_KEY
 from tidemark.sources.topics import FLUSH_INTERVAL
 from tidemark.streaming.metrics import with_counters
@@ -64,57 +64,68 @@ def distinct_events(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return timed.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived")
 
 
-def _keep_latest(rows: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def _keep_latest(rows: DataFrame, table: BucketedTable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     """Upsert every micro-batch into ``table``, once.
 
     A batch is named by its checkpoint and number; a replay after a failure
-    finds its commit recorded and writes nothing. Empty batches write no commit.
+    finds a record of that number and writes nothing. A batch rewrites the
+    buckets its keys fall into, an empty one none.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            table.upsert(batch, source=f"{checkpoint}#{batch_id}")
+        table.upsert(batch, source=checkpoint, number=batch_id)
 
     return rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY)).start()
 
 
 # The tables below merge by event order, not arrival order, so rows that arrive late or twice
 # leave the same state as a batch run over everything.
-STREAM_TABLE = {"table_type": MERGE_ON_READ, "mode": "event_time", "compact_every": 20}
+STREAM_TABLE = {"mode": "event_time"}
 
 
-def message_table(spark, path: str, **options) -> KeyedTable:
+def message_table(spark, path: str, **options) -> BucketedTable:
     """The message store: last server stamp per (room, time, event) wins, files clustered by room and time."""
-    return KeyedTable(spark, path, MESSAGES_KEY, "server_timestamp", cluster_by=MESSAGES_KEY, **(STREAM_TABLE | options))
+    return BucketedTable(spark, path, MESSAGES_KEY, "server_timestamp", cluster_by=MESSAGES_KEY, **(STREAM_TABLE | options))
 
 
-def persist_stream(records: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def persist_stream(records: DataFrame, table: BucketedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Normalised records into the message table."""
     good = P.message_rows(P.valid_events(with_counters(P.parse_normalized(records))))
     return _keep_latest(good, table, checkpoint, trigger)
 
 
-def change_table(spark, path: str, **options) -> KeyedTable:
-    """Last change per key by source position. Deletes are kept as rows: an older change arriving later must lose to them."""
-    return KeyedTable(spark, path, STOCK_TRADES_KEY, C.CHANGE_ORDER, **(STREAM_TABLE | options))
+def change_table(spark, path: str, horizon: int | None = None, **options) -> BucketedTable:
+    """Last change per key by source position. Deletes are kept as rows: an older change arriving later must lose to them.
+
+    ``horizon`` says how late a change can come, in source positions: a deleted
+    key's row leaves, when its bucket is rewritten, once a batch is that far
+    ahead of it. Without it the rows stay.
+    """
+
+    def expired(batch: DataFrame) -> Column:
+        ahead = batch.agg(F.max("lsn")).first()[0]
+        return (F.col("op") == DELETE) & (F.col("lsn") < F.lit(ahead - horizon))
+
+    expire = {} if horizon is None else {"expire": expired}
+    return BucketedTable(spark, path, STOCK_TRADES_KEY, C.CHANGE_ORDER, **(STREAM_TABLE | expire | options))
 
 
-def change_stream(records: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def change_stream(records: DataFrame, table: BucketedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Change envelopes into a :func:`change_table`; undecodable ones go to :func:`change_reject_stream`."""
     changes = C.valid_changes(C.parse_changes(records.select("value")))
     return _keep_latest(changes, table, checkpoint, trigger)
 
 
-def current_trades(table: KeyedTable) -> DataFrame:
+def current_trades(table: BucketedTable) -> DataFrame:
     """Live rows of a :func:`change_table`."""
     return table.snapshot().filter(F.col("op") != DELETE).drop("op", "lsn", "ts_ms")
 
 
-def membership_table(spark, path: str, **options) -> KeyedTable:
-    return KeyedTable(spark, path, ["room_id", "user_id"], "move", **(STREAM_TABLE | options))
+def membership_table(spark, path: str, **options) -> BucketedTable:
+    return BucketedTable(spark, path, ["room_id", "user_id"], "move", **(STREAM_TABLE | options))
 
 
-def membership_stream(events: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def membership_stream(events: DataFrame, table: BucketedTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Join and leave events kept as the last move per (room, user); at equal times the leave counts."""
     leaves = (F.col("event_type") == "leave").cast("bigint")
     moves = events.filter(F.col("event_type").isin("join", "leave")).select(
@@ -123,7 +134,7 @@ def membership_stream(events: DataFrame, table: KeyedTable, checkpoint: str, tri
     return _keep_latest(moves, table, checkpoint, trigger)
 
 
-def current_members(table: KeyedTable) -> DataFrame:
+def current_members(table: BucketedTable) -> DataFrame:
     """Live membership rows of a :func:`membership_table`."""
     joined = table.snapshot().filter(F.col("event_type") == "join")
     return joined.select("room_id", "user_id", F.col("updated_at").alias("joined_at"), "updated_at")
