@@ -199,3 +199,55 @@ def test_paths_step_together():
             s = theta[1][k] + theta[2][k] * (x - theta[0][k]) ** 2 + theta[3][k] * s
             want.append(s)
         np.testing.assert_allclose(got[k], want, rtol=1e-12)
+
+
+def path_loglik(kind, r, theta):
+    """Log density of every row, by a plain loop."""
+    out, b = [], backcast(r)
+    if kind == "garch":
+        mu, omega, alpha, beta = theta
+        s = omega + (alpha + beta) * b
+        for x in r:
+            out.append(-0.5 * (math.log(2 * math.pi * s) + (x - mu) ** 2 / s))
+            s = omega + alpha * (x - mu) ** 2 + beta * s
+    else:
+        mu, omega, alpha, gamma, beta = theta
+        s = omega + beta * math.log(b)
+        for x in r:
+            z = (x - mu) * math.exp(-s / 2)
+            out.append(-0.5 * (math.log(2 * math.pi) + s + z * z))
+            s = omega + alpha * (abs(z) - math.sqrt(2 / math.pi)) + gamma * z + beta * s
+    return np.array(out)
+
+
+def sandwich(kind, r, theta, steps):
+    """Standard errors by differences in the parameters themselves, and the gradient in their units."""
+    p, f = len(theta), lambda *moves: path_loglik(kind, r, theta + sum(moves, np.zeros(len(theta))))
+    e = np.diag(steps)
+    slopes = np.array([(f(e[i]) - f(-e[i])) / (2 * steps[i]) for i in range(p)]).T
+    hess = np.array([[(f(e[i], e[j]) - f(e[i], -e[j]) - f(-e[i], e[j]) + f(-e[i], -e[j])).sum() / (4 * steps[i] * steps[j]) for j in range(p)] for i in range(p)])
+    bread = np.linalg.inv(-hess)
+    return np.sqrt(np.diag(bread @ slopes.T @ slopes @ bread)), slopes.sum(0)
+
+
+@pytest.mark.parametrize(
+    "model, ticker, truth, block_days",
+    [(G.GARCH, "G", (0.05, 0.05, 0.1, 0.85), 600), (G.EGARCH, "E", (0.05, 0.02, 0.2, -0.12, 0.95), 4096)],
+    ids=["garch", "egarch"],
+)
+def test_the_report_agrees_with_differences_of_a_plain_likelihood(returns, model, ticker, truth, block_days):
+    series = G.prepare(returns.filter(F.col("ticker").isin(ticker, "FLAT")), block_days)
+    rows = G.fit_report(series, model).collect()
+    assert {r.ticker for r in rows} == {ticker}
+    report = {r.param: r for r in rows}
+    theta = np.array([report[p].estimate for p in model.params])
+    got = np.array([report[p].std_err for p in model.params])
+    kink = model is G.EGARCH  # no second derivative in the mean: differences over another width differ some
+    want, gradient = sandwich(model.name, SERIES[ticker], theta, got * np.where([kink, *[False] * (len(got) - 1)], 0.15, 0.02))
+    assert np.allclose(got[kink:], want[kink:], rtol=2e-2 if kink else 5e-3) and np.allclose(got, want, rtol=0.15)
+    assert np.abs(gradient * got).max() < (0.2 if kink else 0.02), "at the maximum"
+    assert all(r.off_optimum < (0.2 if kink else 0.02) for r in rows)
+    for p, true in zip(model.params, truth):
+        r = report[p]
+        assert abs(r.estimate - true) < 4 * r.std_err and math.isclose(r.t_value, r.estimate / r.std_err)
+        assert math.isclose(r.upper - r.lower, 2 * 1.959963984540054 * r.std_err) and 0 <= r.p_value <= 1

@@ -220,6 +220,15 @@ def ts_egarch_fit(spark, d):
     return _against_grid(G.fit_egarch(series, G.DISTRIBUTIONS), series, G.EGARCH)
 
 
+def ts_garch_report(spark, d):
+    """Parameters of every ticker's fit with robust errors and intervals; checked by differences in the tests."""
+    return G.fit_report(_prepared(spark, d)[1], G.GARCH)
+
+
+def ts_egarch_report(spark, d):
+    return G.fit_report(_prepared(spark, d)[1], G.EGARCH)
+
+
 def ts_volatility_study(spark, d):
     """The whole analysis of every ticker; of what the fitted parameters decide, that the columns agree with each other."""
     returns, series = _prepared(spark, d)
@@ -445,6 +454,9 @@ QUERIES = {
     "ts_garch_grid": (ts_garch_grid, _grid_query(G.GARCH)),
     "ts_egarch_grid": (ts_egarch_grid, _grid_query(G.EGARCH)),
     "ts_garch_fit": (ts_garch_fit, _fit_query(G.GARCH)),
+    # A maximiser has no SQL form.
+    "ts_garch_report": (ts_garch_report, None),
+    "ts_egarch_report": (ts_egarch_report, None),
     "ts_egarch_fit": (ts_egarch_fit, _fit_query(G.EGARCH)),
     "ts_volatility_study": (
         ts_volatility_study,

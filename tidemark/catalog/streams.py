@@ -8,7 +8,7 @@ from tidemark.catalog import views as V
 from tidemark.plans import cdc as C, events as P
 from tidemark.session import scratch_path
 from tidemark.sources.topics import CHANGE_TOPIC, EVENT_TOPIC, stream_lines, stream_records
-from tidemark.streaming import jobs as J
+from tidemark.streaming import jobs as J, membership as M
 
 RECENT = 3
 MEMBERS_DELAY = "60 days"
@@ -168,6 +168,16 @@ def ev_stream_members(spark, d):
     return J.current_members(table)
 
 
+def ev_stream_intervals(spark, d):
+    """Times of membership from streaming state, files arriving in any order."""
+    topic, path = scratch_path(spark, "topic"), scratch_path(spark, "intervals")
+    P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
+    events = P.valid_events(P.parse_normalized(stream_records(spark, topic, PER_BATCH)))
+    table = M.interval_table(spark, path, buckets=BUCKETS)
+    J.drain(M.interval_stream(events, table, f"{path}-checkpoint", J.DRAIN, MEMBERS_DELAY))
+    return table.snapshot().drop("op")
+
+
 def ev_stream_distinct(spark, d):
     """Event ids that survive de-duplication within a watermark longer than the data."""
     topic, out = scratch_path(spark, "topic"), scratch_path(spark, "distinct")
@@ -318,6 +328,14 @@ QUERIES = {
     "ev_stream_rejects": (ev_stream_rejects, f"{_N} SELECT error, count(*) AS n FROM checked WHERE error IS NOT NULL GROUP BY 1"),
     "ev_stream_persist": (ev_stream_persist, _MESSAGES),
     "ev_stream_members": (ev_stream_members, _MEMBERS),
+    "ev_stream_intervals": (
+        ev_stream_intervals,
+        f"""{_N}, moves AS (SELECT DISTINCT room_id, user_id, timestamp, event_type FROM norm WHERE event_type IN ('join', 'leave')),
+placed AS (SELECT *, lag(event_type) OVER o AS before, min(CASE WHEN event_type = 'leave' THEN timestamp END)
+  OVER (PARTITION BY room_id, user_id ORDER BY timestamp, event_type ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS left_at
+  FROM moves WINDOW o AS (PARTITION BY room_id, user_id ORDER BY timestamp, event_type))
+SELECT room_id, user_id, timestamp AS joined_at, left_at FROM placed WHERE event_type = 'join' AND coalesce(before, 'leave') = 'leave'""",
+    ),
     "ev_stream_distinct": (ev_stream_distinct, f"{_DELIVERED} SELECT DISTINCT event_id, event_type FROM delivered"),
     "cdc_decode": (
         cdc_decode,

@@ -66,16 +66,21 @@ def paths(states, series, theta, starts):
 
 def log_density(e2, variance, dist, shape=None):
     """Summed log density per parameter column; ``shape`` is the GED or Student-t degree per column."""
+    return row_log_density(e2, variance, dist, shape).sum(axis=0)
+
+
+def row_log_density(e2, variance, dist, shape=None):
+    """Log density of every row under every parameter column."""
     z2 = e2 / variance
     base = -0.5 * np.log(variance)
     if dist == "normal":
-        return (base - 0.5 * (math.log(2.0 * math.pi) + z2)).sum(axis=0)
+        return base - 0.5 * (math.log(2.0 * math.pi) + z2)
     lgamma = np.vectorize(math.lgamma)
     if dist == "ged":
         log_scale = 0.5 * (-2.0 / shape * math.log(2.0) + lgamma(1.0 / shape) - lgamma(3.0 / shape))
         const = np.log(shape) - log_scale - lgamma(1.0 / shape) - (1.0 + 1.0 / shape) * math.log(2.0)
-        return (base + const - 0.5 * (z2 / np.exp(2.0 * log_scale)) ** (shape / 2.0)).sum(axis=0)
+        return base + const - 0.5 * (z2 / np.exp(2.0 * log_scale)) ** (shape / 2.0)
     if dist == "t":
         const = lgamma((shape + 1.0) / 2.0) - lgamma(shape / 2.0) - 0.5 * np.log(math.pi * (shape - 2.0))
-        return (base + const - (shape + 1.0) / 2.0 * np.log1p(z2 / (shape - 2.0))).sum(axis=0)
+        return base + const - (shape + 1.0) / 2.0 * np.log1p(z2 / (shape - 2.0))
     raise ValueError(f"unknown distribution: {dist}")

@@ -214,8 +214,8 @@ def _search_here(model: Model, dist: str, r, mean, var, backcast, coarse, local,
     return best, best_ll, settled
 
 
-def _score_block(model: Model, dist: str, u, r, mean, var, backcast, start):
-    """Log-likelihood of one block under search points ``u``, and the states it ends in."""
+def _row_scores(model: Model, dist: str, u, r, mean, var, backcast, start):
+    """Log density of every row of one block under search points ``u``, and the states it ends in."""
     states = V.garch_states if model.name == "garch" else V.egarch_states
     with np.errstate(all="ignore"):
         theta, shape = _theta(model, u, mean, var, dist)
@@ -224,7 +224,14 @@ def _score_block(model: Model, dist: str, u, r, mean, var, backcast, start):
         e2, variance, end = states(r, theta, np.array(start, dtype=float))
         if model.name == "egarch":
             variance = np.exp(variance)
-        return V.log_density(e2, variance, dist, shape), end
+        return V.row_log_density(e2, variance, dist, shape), end
+
+
+def _score_block(model: Model, dist: str, u, r, mean, var, backcast, start):
+    """Log-likelihood of one block under search points ``u``, and the states it ends in."""
+    scores, end = _row_scores(model, dist, u, r, mean, var, backcast, start)
+    with np.errstate(all="ignore"):
+        return scores.sum(axis=0), end
 
 
 # ---- rounds -------------------------------------------------------------------------------------
@@ -257,8 +264,8 @@ def _moved(ends: DataFrame, before: DataFrame) -> DataFrame:
     return ends.join(old, ["ticker", "seq"]).filter(differ)
 
 
-def _score(series: Series, blocks: DataFrame, state: DataFrame, model: Model, dist: str, design: np.ndarray) -> DataFrame:
-    """Log-likelihood per ticker and design point, summed over the blocks.
+def _swept(series: Series, blocks: DataFrame, state: DataFrame, model: Model, dist: str, design: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """(blocks with their ticker's search point, every block's ``ll`` and end states).
 
     Sweeps go on until no state at a seam moves, so the sum is that of the
     uncut series: after ``j`` sweeps the first ``j`` blocks are exact, and a
@@ -268,21 +275,36 @@ def _score(series: Series, blocks: DataFrame, state: DataFrame, model: Model, di
     rows = series.spread(attach_stats(blocks, points, ["ticker"], ["seq"], written=True))
     scored = cut_lineage(_score_pass(rows.withColumn("start", F.lit(None).cast("array<double>")), model, dist, design), "seams")
     for _ in range(series.max_blocks - 1):
-        seams = scored.select("ticker", (F.col("seq") + 1).alias("seq"), F.col("ends").alias("start"))
         before = scored
-        scored = cut_lineage(_score_pass(rows.join(seams, ["ticker", "seq"], "left"), model, dist, design), "seams")
+        scored = cut_lineage(_score_pass(_from_seams(rows, before), model, dist, design), "seams")
         if _moved(scored, before).isEmpty():
             break
+    return rows, scored
+
+
+def _from_seams(rows: DataFrame, scored: DataFrame) -> DataFrame:
+    """Blocks that start in the states the blocks before them end in."""
+    seams = scored.select("ticker", (F.col("seq") + 1).alias("seq"), F.col("ends").alias("start"))
+    return rows.join(seams, ["ticker", "seq"], "left")
+
+
+def _summed(scored: DataFrame, column: str) -> DataFrame:
+    """(ticker, column): the arrays of a ticker's blocks added up."""
     return (
-        scored.select("ticker", F.posexplode("ll").alias("pos", "ll"))
+        scored.select("ticker", F.posexplode(column).alias("pos", "x"))
         .groupBy("ticker", "pos")
-        .agg(F.sum("ll").alias("ll"))
+        .agg(F.sum("x").alias("x"))
         .groupBy("ticker")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "ll"))).alias("scores"))
-        .select("ticker", F.col("scores.ll").alias("scores"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("all"))
+        .select("ticker", F.col("all.x").alias(column))
     )
 
 
+def _score(series: Series, blocks: DataFrame, state: DataFrame, model: Model, dist: str, design: np.ndarray) -> DataFrame:
+    """Log-likelihood per ticker and design point, summed over the blocks."""
+    return _summed(_swept(series, blocks, state, model, dist, design)[1], "ll").withColumnRenamed("ll", "scores")
+
+
 def grid_points(model: Model) -> np.ndarray:
     """The fixed coarse grid, in search coordinates."""
     return np.array(list(itertools.product(*model.grid)))
@@ -462,6 +484,101 @@ def fit_egarch(series: Series, distributions: Sequence[str] = ("normal",), max_r
     return _fit(series, EGARCH, list(distributions), max_rounds, min_rows)
 
 
+# ---- fit report ---------------------------------------------------------------------------------
+
+# Half widths of the differences, as a share of the first search box. EGARCH's likelihood has a kink in the mean at
+# every return; its curvature there is that over a width with some returns.
+REPORT_STEP = 5e-3
+KINK_STEP = 0.1
+Z95 = 1.959963984540054
+
+
+def _outer_pass(rows: DataFrame, model: Model, dist: str, design: np.ndarray, p: int) -> DataFrame:
+    """Per block the sum over its rows of the products of their score's components (in design units)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            outer = []
+            for row in pdf.itertuples(index=False):
+                scores, _ = _row_scores(model, dist, row.center + row.radius * design, row.r, row.mean, row.var, row.backcast, row.start)
+                slopes = (scores[:, 1 : 2 * p : 2] - scores[:, 2 : 2 * p + 1 : 2]) / 2
+                outer.append((slopes.T @ slopes).ravel())
+            yield pd.DataFrame({"ticker": pdf["ticker"], "outer": outer})
+
+    return rows.mapInPandas(run, "ticker string, outer array<double>")
+
+
+def _differences(values: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and second differences of a scored :func:`_design`, in design units."""
+    plus, minus = values[1 : 2 * p : 2], values[2 : 2 * p + 1 : 2]
+    hess = np.diag(plus - 2 * values[0] + minus)
+    for k, (i, j) in enumerate(itertools.combinations(range(p), 2)):
+        both, first, second, none = values[1 + 2 * p + 4 * k : 5 + 2 * p + 4 * k]
+        hess[i, j] = hess[j, i] = (both - first - second + none) / 4
+    return (plus - minus) / 2, hess
+
+
+def _report_rows(model: Model, dist: str, row, design: np.ndarray, p: int):
+    """(param, estimate, std_err, t_value, p_value, lower, upper) and the gradient in standard errors, per natural parameter."""
+    points = row.center + row.radius * design
+    theta, shape = _theta(model, points, row.mean, row.var, dist)
+    natural = np.array([np.broadcast_to(t, len(points)) for t in (*theta, *(() if shape is None else (shape,)))])
+    slope, hess = _differences(np.asarray(row.scores), p)
+    error, off = np.full(p, np.nan), np.nan
+    if np.isfinite(hess).all() and np.linalg.eigvalsh(hess).max() < 0:
+        bread = np.linalg.inv(-hess)
+        covariance = bread @ np.asarray(row.outer).reshape(p, p) @ bread
+        into = (natural[:, 1 : 2 * p : 2] - natural[:, 2 : 2 * p + 1 : 2]) / 2
+        error = np.sqrt(np.diag(into @ covariance @ into.T))
+        # How far the maximum of the local quadratic lies, in units of its own spread.
+        off = float(np.sqrt(max(slope @ bread @ slope, 0.0)))
+    names = [*model.params, *(["shape"] if shape is not None else [])]
+    for name, value, e in zip(names, natural[:, 0].tolist(), error.tolist()):
+        usable = e > 0
+        t = value / e if usable else None
+        yield (
+            row.ticker, name, value, e if usable else None, t, math.erfc(abs(t) / math.sqrt(2)) if usable else None,
+            value - Z95 * e if usable else None, value + Z95 * e if usable else None, off,
+        )
+
+
+REPORT = "ticker string, param string, estimate double, std_err double, t_value double, p_value double, lower double, upper double, off_optimum double"
+
+
+def fit_report(series: Series, model: Model, dist: str = "normal", max_rounds: int = MAX_ROUNDS, min_rows: int = MIN_ROWS) -> DataFrame:
+    """A row per ticker and parameter: estimate, robust standard error, t-value, p-value and 95 % interval.
+
+    Errors are those of the sandwich: second differences of the likelihood on
+    both sides of the summed outer products of the rows' scores, both summed over
+    blocks, then carried from search coordinates to the parameters. Where the
+    likelihood is not curved downwards, or a parameter stands at the end of its
+    range, errors are NULL. ``off_optimum`` says how far from the point the
+    local quadratic's maximum lies, in its own standard deviations. Tickers
+    that cannot be fitted have no rows.
+    """
+    usable = _usable(series.stats, min_rows).filter(F.col("reason").isNull())
+    found = search(series, usable, model, dist, max_rounds).filter(F.col("best_ll") > -1e299)
+    p = len(model.radius) + (dist != "normal")
+    step = [REPORT_STEP * r for r in (*model.radius, *([SHAPE_RADIUS] if dist != "normal" else []))]
+    if model is EGARCH:
+        step[0] = KINK_STEP * model.radius[0]
+    state = found.select("ticker", F.col("best").alias("center"), "mean", "var").join(series.stats.select("ticker", "backcast"), "ticker")
+    state = cut_lineage(state.withColumn("radius", F.array(*map(F.lit, step))), f"{model.name}-report")
+    design = _design(p)
+    rows, scored = _swept(series, series.blocks.drop("dates"), state, model, dist, design)
+    outer = _summed(_outer_pass(_from_seams(rows, scored), model, dist, design, p), "outer")
+    whole = state.join(_summed(scored, "ll").withColumnRenamed("ll", "scores"), "ticker").join(outer, "ticker")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            listed = [r for row in pdf.itertuples(index=False) for r in _report_rows(model, dist, row, design, p)]
+            names = [c.split(" ")[0] for c in REPORT.split(", ")]
+            yield pd.DataFrame(listed, columns=names).astype({c: float for c in names[2:]})
+
+    out = whole.mapInPandas(run, REPORT)
+    return out.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c not in ("ticker", "param") else F.col(c) for c in out.columns])
+
+
 # ---- conditional volatility ---------------------------------------------------------------------
 
 
