@@ -6,7 +6,7 @@ a row starts after an end. Every counted word and pair enters the filter, those
 seen once too, so the filter grows with the corpus. A count enters as a level,
 the bit length of the count; an n-gram of level l is stored as l members
 (n-gram, 1) to (n-gram, l), and a reader probes them in turn until one is
-missing. A level stands for the mean count of the n-grams that have it.
+missing. A level stands for the least count that has it.
 
 The filter lies in shards: an n-gram belongs to the shard its key's hash names,
 and a shard is sized from its own members. Shards number at least one per
@@ -16,15 +16,21 @@ cuts the texts into blocks. A block asks each shard once for its distinct words
 and pairs; the levels go back to the block, which puts them in place by position.
 
 A token's probability interpolates the pair's with the word's:
-P(b|a) = L * r(ab) / r(a) + (1 - L) * P(b), and P(b) where a is in no training
-text. One unseen word counts as a single occurrence.
+P(b|a) = L * r(ab) / c(a) + (1 - L) * P(b), and P(b) = r(b) / (R + 1) where a is
+in no training text; r are quantised counts, R adds up those of all words, c(a)
+is exact. All unseen words together count as a single occurrence. As r is never
+above c, the probabilities after a word add up to 1 at most, but for the filter's
+false positives, some 0.3 % of the probes of absent n-grams.
 
 The add-one base score needs exact counts: a shard also holds its words with
 their counts, and answers for them by the word itself, not by its hash.
 
 Defined results: a null or empty text is its end alone; repeated rows give
-repeated results; without training texts every probability is 1. Other columns
-of the input are not read.
+repeated results; without training texts every probability is 1; an empty table
+gives no rows. A text longer than a block is a block of its own, held by one
+task. A block is named by its task and place, so score stored rows: an input
+computed anew in another order after a lost executor finds no answers and fails.
+Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64, xxh64_intdigest
 
 from tidemark.llm.bpe import _cut, _from_planes, _pack, _planes, _unpack
@@ -43,12 +49,6 @@ from tidemark.llm.common import batched, documents, fold, has_bit, id_text, mix,
 from tidemark.session import cut_lineage
 
 END = b"\n"
-# Occurrences from which a word or a pair is in the model: all of them.
-UNIGRAM_FLOOR = 1
-BIGRAM_FLOOR = 1
-# Without effect: pairs of all words are counted, and all words by the same join. Kept for callers that set them.
-VOCABULARY_RATE = 1e-4
-EXACT_RATE = 1e-6
 BIGRAM_WEIGHT = 0.5
 BITS_PER_MEMBER = 12
 HASHES = 5
@@ -79,10 +79,16 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([distinct.cast(pa.string()), pa.array(np.bincount(codes, minlength=len(distinct)), pa.int64())], ["word", "n"])
 
 
-def positions(keys: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
-    """The filter positions of the members (key, level)."""
-    own = mix(keys, level)
-    return [mix(own, 1000 + i) % np.uint64(bits) for i in range(HASHES)]
+def double_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and step of a key's filter positions: two mixes serve all levels."""
+    return mix(keys, 1), mix(keys, 2) | np.uint64(1)
+
+
+def position(start: np.ndarray, step: np.ndarray, level: int, i: int, bits: int) -> np.ndarray:
+    """The i-th filter position of the members (key, level), by the upper half of a product instead of a division."""
+    with np.errstate(over="ignore"):
+        own = start + step * np.uint64(level * HASHES + i)
+        return ((own >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)
 
 
 def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -106,22 +112,16 @@ def _unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
-def level_of(count: str, total: int, floor: int) -> Column:
-    """1 for ``floor`` occurrences up to twice of it, and so on; 0 below. The level is that of the count, whatever the ``total``."""
-    times = F.col(count) / F.lit(float(floor))
-    return F.when(times >= 1, F.floor(F.log2(times)) + 1).otherwise(0).cast("int")
-
-
 def _levels(table: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
     """Levels of n-gram keys by repeated probes of their shard."""
     out = np.zeros(len(keys), np.uint8)
-    alive, level = np.arange(len(keys)), 0
+    alive, level, (start, step) = np.arange(len(keys)), 0, double_hash(keys)
     while len(alive) and level < LEVELS - 1:
         level += 1
-        own = mix(keys[alive], level)
         for i in range(HASHES):
-            inside = has_bit(table, mix(own, 1000 + i) % np.uint64(bits))
-            alive, own = alive[inside], own[inside]
+            inside = has_bit(table, position(start, step, level, i, bits))
+            if not inside.all():
+                alive, start, step = alive[inside], start[inside], step[inside]
         out[alive] = level
     return out
 
@@ -132,16 +132,7 @@ class Model:
     types: int  # distinct training tokens
     shards: int
     filters: DataFrame  # stored (key, data): a shard's words, counts, bits and filter
-    unigram: np.ndarray  # per level, the mean count of its words
-    bigram: np.ndarray  # per level, the mean count of its pairs
-
-    def levels(self, keys: np.ndarray) -> np.ndarray:
-        """Levels of a few n-gram keys; the driver reads one shard after another."""
-        out, shard = np.zeros(len(keys), np.int64), shard_of(keys, self.shards)
-        for row in self.filters.toLocalIterator():
-            mine = shard == row["key"]
-            out[mine] = _Shard(bytes(row["data"])).levels(keys[mine])
-        return out
+    quantised: int  # what the words' quantised counts add up to
 
 
 class _Shard:
@@ -156,6 +147,11 @@ class _Shard:
         return _levels(self.table, self.bits, keys & _KEY) if self.bits else np.zeros(len(keys), np.uint8)
 
 
+def lower_edges(levels: np.ndarray) -> np.ndarray:
+    """The least count of each level; 0 for what is not in the filter."""
+    return np.where(levels > 0, np.int64(1) << np.maximum(levels.astype(np.int64) - 1, 0), 0)
+
+
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([xxh64_intdigest(w, 42) for w in words], np.uint64)
 
@@ -233,7 +229,7 @@ def _sum_up(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray
 
 
 def _build(batches):
-    """Rows of shards, each shard's together, to one stored shard and its statistics per order and level."""
+    """Rows of shards, each shard's together, to one stored shard and the sum of its words' quantised counts."""
     now, words, sizes, counts, keys, times, held = None, [], [], [], [], [], 0
 
     def shard():
@@ -241,19 +237,17 @@ def _build(batches):
         joined, lengths = b"".join(words), np.concatenate([np.zeros(0, "<u4"), *sizes])
         pairs, n = _sum_up(keys, times)
         grams = np.concatenate([mix(_hashes(_cut(joined, lengths)), _UNIGRAM) & _KEY, pairs])
-        stats, levels = [], []
-        for c in (own, n):
-            level = np.frexp(c.astype(float))[1]
-            levels.append(level)
-            stats += [np.bincount(level, minlength=LEVELS), np.bincount(level, c, LEVELS).astype(np.int64)]
+        levels = [np.frexp(c.astype(float))[1] for c in (own, n)]
         level = np.concatenate(levels)
         bits = max(64, int(level.sum()) * BITS_PER_MEMBER)
         mark = np.zeros(bits, bool)
-        for step in range(1, int(level.max(initial=0)) + 1):
-            for p in positions(grams[level >= step], step, bits):
-                mark[p] = True
+        hashed = double_hash(grams)
+        for member in range(1, int(level.max(initial=0)) + 1):
+            inside = [h[level >= member] for h in hashed]
+            for i in range(HASHES):
+                mark[position(*inside, member, i, bits)] = True
         data = _pack(lengths, joined, own, bits.to_bytes(8, "little"), np.packbits(mark, bitorder="little"))
-        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([data], pa.binary()), pa.array([np.concatenate(stats).tolist()], pa.list_(pa.int64()))], ["key", "data", "stats"])
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([data], pa.binary()), pa.array([int(lower_edges(levels[0]).sum())])], ["key", "data", "quantised"])
 
     for batch in batches:
         for key, kind, data in zip(*(batch.column(c) for c in ("key", "kind", "data"))):
@@ -290,14 +284,10 @@ def fit(train: DataFrame, words: DataFrame) -> Model:
     shards = max(SHARDS * partitions, -(-total // SHARD_TOKENS))
     kinds = "key long, kind int, data binary"
     sent = batched(train).mapInArrow(_send_pairs(shards), kinds).unionByName(words.mapInArrow(_send_words(shards), kinds))
-    built = sent.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(_build, "key long, data binary, stats array<long>")
+    built = sent.repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(_build, "key long, data binary, quantised long")
     built = cut_lineage(built, "lm-shards")
-    stats = np.zeros(4 * LEVELS, np.int64)
-    # A row a level and order.
-    for at, n in built.select(F.posexplode("stats").alias("at", "n")).groupBy("at").agg(F.sum("n")).collect():
-        stats[at] = n
-    number, mass, pairs, pair_mass = stats.reshape(4, LEVELS)
-    return Model(total, types, shards, built.select("key", "data"), mass / np.maximum(number, 1), pair_mass / np.maximum(pairs, 1))
+    quantised = built.agg(F.sum("quantised")).first()[0] or 0
+    return Model(total, types, shards, built.select("key", "data"), quantised)
 
 
 def _ask(shards: int):
@@ -355,7 +345,14 @@ def _answer(batches):
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([key], pa.int64()), pa.array([_pack(exact, levels)], pa.binary())], ["key", "shard", "data"])
 
 
-def _place(total: int, types: int, unigram: np.ndarray, bigram: np.ndarray):
+def probabilities(pair: np.ndarray, word: np.ndarray, context: np.ndarray, quantised: int) -> np.ndarray:
+    """P(b|a) from the levels of the pair and of b and the exact count of a; after any a they add up to 1 at most."""
+    alone = np.maximum(lower_edges(word), 1) / (quantised + 1)
+    given = np.minimum(lower_edges(pair) / np.maximum(context, 1), 1)
+    return np.where(context > 0, BIGRAM_WEIGHT * given + (1 - BIGRAM_WEIGHT) * alone, alone)
+
+
+def _place(total: int, types: int, quantised: int):
     """The rows of a block with their scores, from its positions and the shards' answers."""
 
     def run(key, blocks: pa.Table, answers: pa.Table) -> pa.Table:
@@ -373,10 +370,7 @@ def _place(total: int, types: int, unigram: np.ndarray, bigram: np.ndarray):
             exact, words, pairs = map(np.concatenate, (exact, words, pairs))
             at, first, second = map(_from_planes, _unpack(blocks["data"][row].as_py()))
             sizes = np.array(blocks["sizes"][row].as_py(), np.int64)
-            seen = unigram[words]
-            alone = np.where(words > 0, seen, 1)[second] / (total + 1)
-            given = np.minimum(bigram[pairs] / np.maximum(seen[first], 1), 1)
-            p = np.where(words[first] > 0, BIGRAM_WEIGHT * given + (1 - BIGRAM_WEIGHT) * alone, alone)
+            p = probabilities(pairs, words[second], exact[first], quantised)
             n, owner = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
             second = second[at]
             base = np.bincount(owner, np.log10(exact + 1.0)[second], n) - sizes * math.log10(total + types + 1)
@@ -398,7 +392,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
     # What is asked goes to its shard and positions to their block's place in one exchange, which both readers use.
     sent = asked.union(stored).repartition(partitions, "key")
     answers = sent.sortWithinPartitions("key", "block").mapInArrow(_answer, "key long, shard long, data binary").repartition(partitions, "key")
-    place = _place(model.total, model.types, model.unigram, model.bigram)
+    place = _place(model.total, model.types, model.quantised)
     return sent.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(place, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
