@@ -20,7 +20,7 @@ P(b|a) = L * r(ab) / c(a) + (1 - L) * P(b), and P(b) = r(b) / (R + 1) where a is
 in no training text; r are quantised counts, R adds up those of all words, c(a)
 is exact. All unseen words together count as a single occurrence. As r is never
 above c, the probabilities after a word add up to 1 at most, but for the filter's
-false positives, some 0.3 % of the probes of absent n-grams.
+false positives, some 0.6 % of the probes of absent n-grams.
 
 The add-one base score needs exact counts: a shard also holds its words with
 their counts, and answers for them by the word itself, not by its hash.
@@ -45,12 +45,12 @@ from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64, xxh64_intdigest
 
 from tidemark.llm.bpe import _cut, _from_planes, _pack, _planes, _unpack
-from tidemark.llm.common import batched, documents, fold, has_bit, id_text, mix, slices, texts
+from tidemark.llm.common import batched, documents, fold, id_text, mix, slices, texts
 from tidemark.session import cut_lineage
 
 END = b"\n"
 BIGRAM_WEIGHT = 0.5
-BITS_PER_MEMBER = 12
+BITS_PER_MEMBER = 14
 HASHES = 5
 BLOCK_BYTES = 4 << 20
 SHARD_TOKENS = 1 << 20
@@ -59,6 +59,10 @@ SHARDS = 4
 # Words and pairs that a task holds before it sends them or adds equal ones up.
 PENDING_WORDS, PENDING_PAIRS = 1 << 17, 1 << 22
 LEVELS = 64
+# With fewer slots members would crowd in some.
+LEAST_SLOTS = 256
+# Requests of a shard that are probed together, and keys whose arrays stay in a core's cache.
+TOGETHER, PROBED = 64, 1 << 13
 # Bytes of a key inside a shard: two of a million n-grams agree in them once in some 500 shards.
 KEY_BYTES = 6
 _KEY = np.uint64((1 << 8 * KEY_BYTES) - 1)
@@ -79,16 +83,33 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([distinct.cast(pa.string()), pa.array(np.bincount(codes, minlength=len(distinct)), pa.int64())], ["word", "n"])
 
 
-def double_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and step of a key's filter positions: two mixes serve all levels."""
-    return mix(keys, 1), mix(keys, 2) | np.uint64(1)
+def slots_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and step of a key's slots, one a level, and the bits it has in each of them."""
+    spread = mix(keys, 2)
+    return mix(keys, 1), spread | np.uint64(1), spread
 
 
-def position(start: np.ndarray, step: np.ndarray, level: int, i: int, bits: int) -> np.ndarray:
-    """The i-th filter position of the members (key, level), by the upper half of a product instead of a division."""
+def slot(start: np.ndarray, step: np.ndarray, level: int, slots: int) -> np.ndarray:
+    """The slot of the members (key, level), by the upper half of a product instead of a division."""
     with np.errstate(over="ignore"):
-        own = start + step * np.uint64(level * HASHES + i)
-        return ((own >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)
+        return (((start + step * np.uint64(level)) >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
+
+
+def bit(spread: np.ndarray, i: int) -> np.ndarray:
+    """The i-th bit of a key in its slots of 64."""
+    return (spread >> np.uint64(4 + 6 * i)) & np.uint64(63)
+
+
+def filter_of(keys: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """A filter with the members (key, 1) to (key, level), as slots of 64 bits."""
+    slots = max(LEAST_SLOTS, -(-int(level.sum()) * BITS_PER_MEMBER // 64))
+    mark, hashed = np.zeros(slots * 64, bool), slots_of(keys)
+    for member in range(1, int(level.max(initial=0)) + 1):
+        start, step, spread = (h[level >= member] for h in hashed)
+        first = slot(start, step, member, slots) * np.uint64(64)
+        for i in range(HASHES):
+            mark[first + bit(spread, i)] = True
+    return np.packbits(mark, bitorder="little").view("<u8")
 
 
 def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -112,16 +133,20 @@ def _unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
-def _levels(table: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
-    """Levels of n-gram keys by repeated probes of their shard."""
+def _levels(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Levels of n-gram keys by repeated probes of their shard, one slot a level."""
+    if len(keys) > PROBED:
+        return np.concatenate([_levels(table, keys[s : s + PROBED]) for s in range(0, len(keys), PROBED)])
     out = np.zeros(len(keys), np.uint8)
-    alive, level, (start, step) = np.arange(len(keys)), 0, double_hash(keys)
+    alive, level, (start, step, spread) = np.arange(len(keys)), 0, slots_of(keys)
+    want = np.zeros(len(keys), np.uint64)
+    for i in range(HASHES):
+        want |= np.uint64(1) << bit(spread, i)
     while len(alive) and level < LEVELS - 1:
         level += 1
-        for i in range(HASHES):
-            inside = has_bit(table, position(start, step, level, i, bits))
-            if not inside.all():
-                alive, start, step = alive[inside], start[inside], step[inside]
+        inside = np.flatnonzero(table[slot(start, step, level, len(table))] & want == want)
+        if len(inside) < len(alive):
+            alive, start, step, want = (a.take(inside) for a in (alive, start, step, want))
         out[alive] = level
     return out
 
@@ -139,12 +164,12 @@ class _Shard:
     """A stored shard: exact counts of its words, levels of its words and pairs."""
 
     def __init__(self, data: bytes | None):
-        sizes, joined, counts, bits, table = _unpack(data) if data else [b""] * 5
+        sizes, joined, counts, table = _unpack(data) if data else [b""] * 4
         self.counts = dict(zip(_cut(joined, np.frombuffer(sizes, "<u4")), np.frombuffer(counts, "<i8").tolist()))
-        self.bits, self.table = int.from_bytes(bits, "little"), np.frombuffer(table, np.uint8)
+        self.table = np.frombuffer(table, "<u8")
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        return _levels(self.table, self.bits, keys & _KEY) if self.bits else np.zeros(len(keys), np.uint8)
+        return _levels(self.table, keys & _KEY) if len(self.table) else np.zeros(len(keys), np.uint8)
 
 
 def lower_edges(levels: np.ndarray) -> np.ndarray:
@@ -239,14 +264,7 @@ def _build(batches):
         grams = np.concatenate([mix(_hashes(_cut(joined, lengths)), _UNIGRAM) & _KEY, pairs])
         levels = [np.frexp(c.astype(float))[1] for c in (own, n)]
         level = np.concatenate(levels)
-        bits = max(64, int(level.sum()) * BITS_PER_MEMBER)
-        mark = np.zeros(bits, bool)
-        hashed = double_hash(grams)
-        for member in range(1, int(level.max(initial=0)) + 1):
-            inside = [h[level >= member] for h in hashed]
-            for i in range(HASHES):
-                mark[position(*inside, member, i, bits)] = True
-        data = _pack(lengths, joined, own, bits.to_bytes(8, "little"), np.packbits(mark, bitorder="little"))
+        data = _pack(lengths, joined, own, filter_of(grams, level))
         return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([data], pa.binary()), pa.array([int(lower_edges(levels[0]).sum())])], ["key", "data", "quantised"])
 
     for batch in batches:
@@ -327,22 +345,39 @@ def _ask(shards: int):
 
 
 def _answer(batches):
-    """Rows of shards, the stored shard before what it is asked, to the answers by block."""
-    now, shard = None, _Shard(None)
+    """Rows of shards, the stored shard before what it is asked, to the answers by block; a batch's requests are probed together."""
+    now, shard, asked = None, _Shard(None), []
+
+    def answers():
+        opened = []
+        for block, data in asked:
+            sizes, joined, keys = _unpack(data)
+            words = _cut(joined, np.frombuffer(sizes, "<u4"))
+            opened.append((block, words, _unpack_keys(keys)))
+        hashed = mix(_hashes([w for _, words, _ in opened for w in words]), _UNIGRAM)
+        levels = shard.levels(np.concatenate([hashed, *[keys for _, _, keys in opened]]))
+        word, pair, blobs = 0, len(hashed), []
+        for _, words, keys in opened:
+            exact = np.array([shard.counts.get(w, 0) for w in words], "<i8")
+            blobs.append(_pack(exact, np.concatenate([levels[word : word + len(words)], levels[pair : pair + len(keys)]])))
+            word, pair = word + len(words), pair + len(keys)
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _, _ in opened], pa.int64()), pa.array([now] * len(opened), pa.int64()), pa.array(blobs, pa.binary())], ["key", "shard", "data"])
+
     for batch in batches:
         for key, block, data in zip(*(batch.column(c) for c in ("key", "block", "data"))):
             key, block = key.as_py(), block.as_py()
             if key >= _BLOCK_NAME:
                 continue
+            if asked and (key != now or len(asked) == TOGETHER):
+                yield answers()
+                asked = []
             if key != now:
                 now, shard = key, _Shard(data.as_py() if block < 0 else None)
-            if block < 0:
-                continue
-            sizes, joined, keys = _unpack(data.as_py())
-            words = _cut(joined, np.frombuffer(sizes, "<u4"))
-            exact = np.array([shard.counts.get(w, 0) for w in words], "<i8")
-            levels = shard.levels(np.concatenate([mix(_hashes(words), _UNIGRAM), _unpack_keys(keys)]))
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([key], pa.int64()), pa.array([_pack(exact, levels)], pa.binary())], ["key", "shard", "data"])
+            if block >= 0:
+                asked.append((block, data.as_py()))
+        if asked:
+            yield answers()
+            asked = []
 
 
 def probabilities(pair: np.ndarray, word: np.ndarray, context: np.ndarray, quantised: int) -> np.ndarray:
