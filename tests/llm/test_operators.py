@@ -668,6 +668,34 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.without_leaks(docs, bench.filter("1 = 0")).count() == len(ROWS)
 
 
+@pytest.mark.parametrize(
+    "text, there",
+    [
+        ("Q: where was it built? A: Paris, in 1889. ok", True),
+        ("PARIS,\n in  1889", True),
+        ("paris, in 18890", False),
+        ("comparis, in 1889", False),
+        ("Paris, in 1888", False),
+        ("in 18890 or paris, in 1889!", True),
+        ("巴黎paris, in 1889年", True),
+        ("", False),
+    ],
+)
+def test_short_items_are_found_at_word_edges(text, there):
+    assert ("a" in decontaminate.Matcher([("a", "Paris, in 1889"), ("b", PASSAGE)], 0.1).find(text)) == there
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab é.", max_size=12), st.text(alphabet="ab é.", max_size=60))
+def test_short_items_equal_brute_force(item, text):
+    a, b = decontaminate.normalize(item), decontaminate.normalize(text)
+    word = [c.isalnum() for c in b]
+    edge = lambda i: not (0 < i < len(b) and word[i - 1] and word[i])
+    places = [i for i in range(len(b) - len(a) + 1) if a and b.startswith(a, i) and edge(i) and edge(i + len(a))]
+    want = {0: (0, places[0], places[0] + len(a))} if places else {}
+    assert decontaminate.Matcher([(0, item)], 0.1).find(text) == want
+
+
 def test_many_benchmark_blocks(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(i, t) for i, t, _, _ in BASE[:30]], "item_id long, text string")
     want = sorted(map(tuple, decontaminate.find_leaks(docs, bench).collect()), key=repr)

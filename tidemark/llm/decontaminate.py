@@ -12,14 +12,20 @@ bit-parallel distance (integers of any length hold the bit vectors).
 The items are a stated query set. They are dealt into blocks of bounded size,
 each broadcast and matched against all rows; the rows are not shuffled.
 
-Defined results: a null or empty text or item matches nothing; items below
-``MIN_CHARS`` normalised characters match only a text equal to them; repeated
+Items below ``MIN_CHARS`` normalised characters are one piece each: they are
+searched in the same automaton, exactly, and count where neither end cuts a
+word (letters of scripts that write no spaces may stand on either side).
+
+Defined results: a null or empty text or item matches nothing; repeated
 items with one key report once per text, with the least distance; repeated
-rows give repeated results. Other columns are not read.
+rows give repeated results; of equal distances the first place is reported.
+An empty table of texts or items gives no rows. Texts of any length are
+searched whole. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from uuid import uuid4
 
@@ -67,21 +73,27 @@ def search(peq: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def cuts_word(text: str, at: int) -> bool:
+    """Whether a word goes on across position ``at``; scripts of letters without case may stand without spaces."""
+    return 0 < at < len(text) and all(c.isalnum() and unicodedata.category(c) != "Lo" for c in text[at - 1 : at + 1])
+
+
 class Matcher:
     """The automaton and bit masks of a block of (key, text) items; built once per worker."""
 
     def __init__(self, items: list[tuple], rate: float):
-        self.items, self.whole, pieces = [], defaultdict(list), defaultdict(list)
+        self.items, pieces = [], defaultdict(list)
         for key, raw in items:
             text = normalize(raw or "")
             if not text:
                 continue
+            number = len(self.items)
             if len(text) < MIN_CHARS:
-                self.whole[text].append(key)
+                self.items.append((key, len(text), 0, None))
+                pieces[text].append((number, 0, len(text), None))
                 continue
             k = int(len(text) * rate)
             cuts = [i * len(text) // (k + 1) for i in range(k + 2)]
-            number = len(self.items)
             self.items.append((key, len(text), k, masks(text)))
             for first in range(0, k + 1, GROUP):
                 ends = cuts[first : first + GROUP + 1]
@@ -97,12 +109,18 @@ class Matcher:
     def find(self, raw: str) -> dict:
         """{key: (distance, start of the verified window, end)} of the items in a text, in normalised characters."""
         text = normalize(raw)
-        found = {key: (0, 0, len(text)) for key in self.whole.get(text, ())} if text else {}
+        found = {}
         if not text or not self.items:
             return found
         tried = set()
         for last, owners in self.automaton.iter(text):
-            for number, offset, size, (start, end, budget, peq) in owners:
+            for number, offset, size, group in owners:
+                if group is None:
+                    key, first = self.items[number][0], last + 1 - size
+                    if found.get(key, (1,))[0] and not cuts_word(text, first) and not cuts_word(text, last + 1):
+                        found[key] = (0, first, last + 1)
+                    continue
+                start, end, budget, peq = group
                 diagonal = last + 1 - size - offset
                 if (number, start, diagonal) in tried:
                     continue
