@@ -51,6 +51,31 @@ def test_decimals(spark, text):
     assert got == Decimal(text)
 
 
+WIDE = 10**38 - 1
+
+
+@pytest.mark.parametrize("scale", [0, 2, 9, 37, 38])
+def test_wide_decimals_round_trip(spark, scale):
+    """19 to 38 digits of both signs, the borders of every byte and of the 64-bit halves among them."""
+    sizes = [0, 1, 127, 128, 255, 256, WIDE, WIDE - 1, *[10**n + d for n in range(18, 38) for d in (-1, 0, 7)]]
+    sizes += [(1 << b) + d for b in (62, 63, 64, 65, 71, 119, 126) for d in (-1, 0, 1)]
+    numbers = [s * n for n in sizes for s in (1, -1) if n <= WIDE]
+    shown = [(str(n), base64.b64encode(n.to_bytes(((n + (n < 0)).bit_length()) // 8 + 1, "big", signed=True)).decode()) for n in numbers]
+    df = spark.createDataFrame(shown, "n string, p string")
+    got = df.select("n", C.decode_decimal(F.col("p"), 38, scale).alias("d"))
+    assert got.schema["d"].dataType.simpleString() == f"decimal(38,{scale})"
+    assert [r.d for r in got.collect()] == [Decimal(f"{n}E-{scale}") for n, _ in shown]
+
+
+def test_wide_decimals_beyond_their_digits_are_null(spark):
+    texts = [base64.b64encode(n.to_bytes(size, "big", signed=True)).decode() for n, size in [(WIDE + 1, 16), (-WIDE - 1, 16), (2**127 - 1, 16), (5, 17), (10**20, 9)]]
+    df = spark.createDataFrame([(t,) for t in [*texts, "", "?", None]], "p string")
+    assert [r.d for r in df.select(C.decode_decimal(F.col("p"), 38, 2).alias("d")).collect()][:4] == [None] * 4
+    assert [r.d for r in df.select(C.decode_decimal(F.col("p"), 20, 2).alias("d")).collect()] == [None] * 8
+    with pytest.raises(ValueError):
+        C.decode_decimal(F.col("p"), 39, 2)
+
+
 def test_null_decimal(spark):
     assert spark.createDataFrame([(None,)], "p string").select(C.decode_decimal(F.col("p")).alias("d")).first().d is None
 

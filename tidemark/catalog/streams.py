@@ -217,6 +217,16 @@ def cdc_as_of(spark, d):
     return C.changes_as_of(decoded, "_at", "20240115")
 
 
+def cdc_intervals(spark, d):
+    """Every state of a trade with the time it held."""
+    return C.trade_intervals(_changes(spark, d))
+
+
+def cdc_state_at_event(spark, d):
+    """Each event of a user, those that change nothing included, with the state of the user's trade at that time."""
+    return C.trades_at(V.trade_events(spark, d), _changes(spark, d), "at").drop("created_at")
+
+
 def cdc_rejected(spark, d):
     """Reasons of the change records that cannot be applied."""
     return C.rejected_changes(C.parse_changes(V.faulty_envelopes(spark, d))).groupBy("error").agg(F.count("*").alias("n"))
@@ -262,6 +272,11 @@ _MEMBERS = f"""{_N}, moves AS (
   FROM norm WHERE event_type IN ('join', 'leave'))
 SELECT room_id, user_id, timestamp AS joined_at, timestamp AS updated_at FROM moves WHERE rn = 1 AND event_type = 'join'"""
 
+_INTERVALS = f"""{_E}, single AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trade_id, ts_ms ORDER BY lsn DESC) AS rn FROM envl) WHERE rn = 1),
+ranged AS (SELECT *, make_timestamp(ts_ms * 1000) AS valid_from,
+  make_timestamp(lead(ts_ms) OVER (PARTITION BY trade_id ORDER BY ts_ms) * 1000) AS valid_to FROM single),
+held AS (SELECT * FROM ranged WHERE NOT gone)"""
+
 _CHANGE_REJECTS = (
     f"SELECT error, count(*) AS n FROM (SELECT CASE WHEN k = {V.CUT_SHORT} THEN 'malformed_json' WHEN event_type <> 'purchase' THEN"
     f" CASE WHEN k = {V.TEXT_TIME} THEN 'wrong_instant:created_at' WHEN k = {V.NO_ROOM} THEN 'unknown_operation'"
@@ -355,6 +370,13 @@ SELECT room_id, user_id, timestamp AS joined_at, left_at FROM placed WHERE event
         f"{_E} SELECT {_LIVE} FROM (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY lsn DESC) AS rn FROM envl"
         " WHERE commit_time <= '20240115') WHERE rn = 1 AND NOT gone",
     ),
+    "cdc_intervals": (cdc_intervals, f"{_INTERVALS} SELECT {_LIVE}, valid_from, valid_to FROM held"),
+    "cdc_state_at_event": (
+        cdc_state_at_event,
+        f"{_INTERVALS} SELECT e.event_id, 't' || e.user_id AS trade_id, e.ts AS at, h.valid_from, h.stock_name AS stock_name_then,"
+        " h.stock_price AS stock_price_then, h.stock_purchase_choice AS stock_purchase_choice_then FROM events e"
+        " LEFT JOIN held h ON h.trade_id = 't' || e.user_id AND e.ts >= h.valid_from AND (h.valid_to IS NULL OR e.ts < h.valid_to)",
+    ),
     "cdc_stream_apply": (cdc_stream_apply, f"{_E} SELECT {_LIVE} FROM live"),
     "cdc_rejected": (cdc_rejected, _CHANGE_REJECTS),
     "cdc_stream_rejects": (cdc_stream_rejects, _CHANGE_REJECTS),

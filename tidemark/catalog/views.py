@@ -250,6 +250,16 @@ def envelopes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def trade_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events beside the key of their user's trade."""
+    return table(spark, folder, "events").select(
+        "event_id",
+        F.concat(F.lit("t"), F.col("user_id")).alias("trade_id"),
+        F.lit("2024-01-01T00:00:00Z").cast("timestamp").alias("created_at"),
+        F.col("ts").alias("at"),
+    )
+
+
 def faulty_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     """The envelopes, some of them with faults by the event's own k value."""
     k, value = F.col("k"), F.col("value")

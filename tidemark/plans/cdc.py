@@ -9,6 +9,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.events import evaluate_once
 from tidemark.operators.keyed import DELETE, as_of, snapshot
+from tidemark.operators.temporal import state_at, validity_intervals
 from tidemark.schemas import CHANGE_ENVELOPE, STOCK_TRADES_KEY
 
 # Fixed names of the captured table and its topic.
@@ -22,22 +23,43 @@ def decode_decimal(text: Column, precision: int = 12, scale: int = 2, mode: str
     """Decimal of a change record; NULL where the text is none.
 
     The connector declares how it writes decimals: ``base64`` of the unscaled
-    big-endian two's-complement integer (up to 8 bytes, so up to 18 digits), or
-    plain ``string``.
+    big-endian two's-complement integer (8 bytes hold up to 18 digits, 16 bytes
+    up to 38), or plain ``string``.
     """
-    if not 0 < precision <= 18:
-        raise ValueError("decimals of more than 18 digits are not supported")
+    if not 0 < precision <= 38:
+        raise ValueError("a decimal has 1 to 38 digits")
     if mode == "string":
         return text.try_cast(f"decimal({precision},{scale})")
     if mode != "base64":
         raise ValueError(f"unknown decimal mode: {mode}")
     digits = F.hex(F.try_to_binary(text, F.lit("base64")))
+    if precision > 18:
+        return _wide_decimal(digits, precision, scale)
     sign = F.when(digits >= "8", "F").otherwise("0")
     unscaled = F.conv(F.lpad(digits, F.lit(16), sign), 16, -10).cast("decimal(20,0)")
     value = (unscaled * F.lit(Decimal(1).scaleb(-scale))).try_cast(f"decimal({precision},{scale})")
     return F.when(F.length(digits).between(2, 16), value)
 
 
+def _wide_decimal(digits: Column, precision: int, scale: int) -> Column:
+    """Decimal of up to 16 two's-complement bytes in hexadecimal.
+
+    A negative number is one below zero less its inverted bits, so both halves
+    of 64 bits are added up unsigned. The point is set in the text: scaling by
+    arithmetic would round beyond 38 digits.
+    """
+    negative = digits >= "8"
+    bits = F.when(negative, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
+    bits = F.lpad(bits, 32, "0")
+    high, low = (F.conv(F.substring(bits, start, 16), 16, 10).try_cast("decimal(38,0)") for start in (1, 17))
+    size = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64))).try_cast("decimal(38,0)"), low).try_cast("decimal(38,0)")
+    size = F.when(negative, F.try_add(size, F.lit(Decimal(1)))).otherwise(size).try_cast("decimal(38,0)")
+    shown = F.lpad(size.cast("string"), F.greatest(F.length(size.cast("string")), F.lit(scale + 1)), F.lit("0"))
+    whole = F.substring(shown, F.lit(1), F.length(shown) - scale)
+    text = F.concat(F.when(negative, "-").otherwise(""), whole, F.lit("."), F.substring(shown, F.length(shown) - scale + 1, F.lit(scale)))
+    return F.when(F.length(digits).between(2, 32), text.try_cast(f"decimal({precision},{scale})"))
+
+
 def decode_envelopes(records: DataFrame, body: str = "value", keep: bool = False) -> DataFrame:
     """Envelope columns of each change record; the body may be bare or wrapped beside its schema.
 
@@ -144,6 +166,22 @@ def changes_as_of(changes: DataFrame, commit: str, at: str) -> DataFrame:
     return as_of(changes, STOCK_TRADES_KEY, CHANGE_ORDER, commit, at).drop("op", "lsn", "ts_ms", commit)
 
 
+def _dated(changes: DataFrame) -> DataFrame:
+    return changes.withColumn("changed_at", F.timestamp_millis("ts_ms"))
+
+
+def trade_intervals(changes: DataFrame) -> DataFrame:
+    """Every state a trade had, from the source time of its change to that of the next one."""
+    intervals = validity_intervals(_dated(changes), STOCK_TRADES_KEY, "changed_at", CHANGE_ORDER)
+    return intervals.drop("changed_at", "op", "lsn", "ts_ms")
+
+
+def trades_at(rows: DataFrame, changes: DataFrame, asked: str) -> DataFrame:
+    """``rows`` (with the key columns of a trade) beside name, price and side the trade had at instant ``asked``."""
+    columns = {c: f"{c}_then" for c in ("stock_name", "stock_price", "stock_purchase_choice")}
+    return state_at(rows, _dated(changes), STOCK_TRADES_KEY, asked, "changed_at", CHANGE_ORDER, columns)
+
+
 def symbol_totals(trades: DataFrame) -> DataFrame:
     """Query layer: trades, side counts and price statistics per symbol."""
     price = F.col("stock_price").cast("double")
