@@ -8,7 +8,7 @@ from tidemark.catalog import views as V
 from tidemark.plans import cdc as C, events as P
 from tidemark.session import scratch_path
 from tidemark.sources.topics import CHANGE_TOPIC, EVENT_TOPIC, stream_lines, stream_records
-from tidemark.streaming import jobs as J, membership as M
+from tidemark.streaming import jobs as J, membership as M, windows as W
 
 RECENT = 3
 MEMBERS_DELAY = "60 days"
@@ -63,6 +63,11 @@ def ev_message_view(spark, d):
     return P.message_view(_normalized(spark, d))
 
 
+def ev_message_table(spark, d):
+    """Delivered events, some twice, as the modelled table with the first and last time each was stored."""
+    return P.message_table_view(_delivered(spark, d))
+
+
 def ev_room_members(spark, d):
     return P.room_members(_normalized(spark, d))
 
@@ -105,6 +110,7 @@ def ev_failure_reply(spark, d):
 # The tables of these queries are small; a bucket should hold some 100 MB.
 BUCKETS = 4
 FILES, PER_BATCH = 8, 4
+FLUSH_ROWS = 20
 
 
 def _land(df, name: str) -> str:
@@ -178,6 +184,33 @@ def ev_stream_intervals(spark, d):
     return table.snapshot().drop("op")
 
 
+def ev_stream_latency_windows(spark, d):
+    """Latency per day from streaming state, merged from closed windows of six hours.
+
+    Files come in any order, so nothing is late within the delay; a last event, long after, closes all windows before it.
+    """
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "windows")
+    P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
+    events = P.valid_events(P.parse_normalized(stream_records(spark, topic, PER_BATCH)))
+    windows = W.latency_windows(events, WINDOW_S // 4, MEMBERS_DELAY)
+    J.drain(W.window_stream(windows, out, f"{out}-checkpoint", J.DRAIN))
+    last = _normalized(spark, d).orderBy(F.desc("timestamp")).limit(1).withColumn("timestamp", F.col("timestamp") + 400 * WINDOW_S)
+    P.to_topic_records(last).write.mode("append").parquet(topic)
+    J.drain(W.window_stream(windows, out, f"{out}-checkpoint", J.DRAIN))
+    closed = spark.read.schema(windows.schema).parquet(out)
+    return V.rounded(W.wider_windows(closed, WINDOW_S).drop("sketch"))
+
+
+def ev_stream_flush(spark, d):
+    """Groups that end by size, per room."""
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "flushed")
+    P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
+    records = stream_records(spark, topic, PER_BATCH).withColumn("shard", F.get_json_object("value", "$.room_id"))
+    groups = W.flush_groups(records, size=FLUSH_ROWS, wait=None)
+    J.drain(W.flush_stream(groups, out, f"{out}-checkpoint", J.DRAIN))
+    return spark.read.schema(groups.schema).parquet(out).groupBy("shard", "flush", "reason").agg(F.count("*").alias("n"))
+
+
 def ev_stream_distinct(spark, d):
     """Event ids that survive de-duplication within a watermark longer than the data."""
     topic, out = scratch_path(spark, "topic"), scratch_path(spark, "distinct")
@@ -305,6 +338,13 @@ QUERIES = {
         " CASE WHEN event_type = 'reaction' THEN 'msg_' || src_id END AS message_id,"
         " CASE WHEN event_type = 'reaction' THEN payload END AS emoji FROM norm",
     ),
+    "ev_message_table": (
+        ev_message_table,
+        f"{_DELIVERED} SELECT room_id, timestamp, event_id, event_type, user_id, CASE WHEN event_type = 'chat' THEN payload END AS message,"
+        " json_extract_string(metadata_json, '$.message_id') AS message_id, CASE WHEN event_type = 'reaction' THEN payload END AS emoji,"
+        " s.created_at, s.updated_at FROM stored JOIN (SELECT room_id, timestamp, event_id, min(server_timestamp) AS created_at,"
+        " max(server_timestamp) AS updated_at FROM delivered GROUP BY ALL) s USING (room_id, timestamp, event_id)",
+    ),
     "ev_room_members": (ev_room_members, _MEMBERS),
     "ev_user_rooms": (ev_user_rooms, _MEMBERS),
     "ev_rooms": (
@@ -351,6 +391,18 @@ placed AS (SELECT *, lag(event_type) OVER o AS before, min(CASE WHEN event_type
   FROM moves WINDOW o AS (PARTITION BY room_id, user_id ORDER BY timestamp, event_type))
 SELECT room_id, user_id, timestamp AS joined_at, left_at FROM placed WHERE event_type = 'join' AND coalesce(before, 'leave') = 'leave'""",
     ),
+    "ev_stream_latency_windows": (
+        ev_stream_latency_windows,
+        f"{_N}, lat AS (SELECT CAST(floor(timestamp / {WINDOW_S}) * {WINDOW_S} AS BIGINT) AS window_start,"
+        " CAST(server_timestamp - timestamp * 1000 AS DOUBLE) AS ms FROM norm)"
+        " SELECT window_start, CAST(count(*) AS BIGINT) AS n, round(avg(ms), 6) AS mean_ms, min(ms) AS min_ms, max(ms) AS max_ms,"
+        " quantile_disc(ms, 0.95) AS upper_ms FROM lat GROUP BY 1",
+    ),
+    "ev_stream_flush": (
+        ev_stream_flush,
+        f"{_N} SELECT room_id AS shard, CAST(unnest(range(count(*) // {FLUSH_ROWS})) AS BIGINT) AS flush, 'size' AS reason,"
+        f" CAST({FLUSH_ROWS} AS BIGINT) AS n FROM norm GROUP BY room_id",
+    ),
     "ev_stream_distinct": (ev_stream_distinct, f"{_DELIVERED} SELECT DISTINCT event_id, event_type FROM delivered"),
     "cdc_decode": (
         cdc_decode,

@@ -162,8 +162,8 @@ def latest_messages(rows: DataFrame) -> DataFrame:
     return latest_by_key(message_rows(rows), MESSAGES_KEY, ["server_timestamp"])
 
 
-def message_view(rows: DataFrame) -> DataFrame:
-    """Stored rows in the modelled columns: text, replied-to id and emoji apart."""
+def message_view(rows: DataFrame, *also: str) -> DataFrame:
+    """Stored rows in the modelled columns: text, replied-to id and emoji apart. ``also`` names further columns to keep."""
     tag = F.col("event_type")
     return rows.select(
         "room_id",
@@ -174,9 +174,21 @@ def message_view(rows: DataFrame) -> DataFrame:
         F.when(tag == "chat", F.col("payload")).alias("message"),
         F.get_json_object("metadata_json", "$.message_id").alias("message_id"),
         F.when(tag == "reaction", F.col("payload")).alias("emoji"),
+        *also,
     )
 
 
+def message_table_view(rows: DataFrame) -> DataFrame:
+    """The modelled message table: one row per key as last written, ``created_at`` and ``updated_at`` its first and last server stamp."""
+    values = [c for c in MESSAGES.names if c not in MESSAGES_KEY]
+    order = F.struct("server_timestamp", *[c for c in values if c != "server_timestamp"])
+    kept = message_rows(rows).groupBy(*MESSAGES_KEY).agg(
+        F.max_by(F.struct(*values), order).alias("_last"), F.min("server_timestamp").alias("created_at"), F.max("server_timestamp").alias("updated_at")
+    )
+    stored = kept.select(*MESSAGES_KEY, "_last.*", "created_at", "updated_at")
+    return message_view(stored, "created_at", "updated_at")
+
+
 def recent_messages(rows: DataFrame, n: int, room: str = "room_id", time: str = "timestamp", tie: str = "event_id") -> DataFrame:
     """The newest ``n`` messages of each room."""
     return latest_per_group(rows, [room], [F.desc(time), F.desc(tie)], n)
