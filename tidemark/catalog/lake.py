@@ -117,6 +117,16 @@ def kt_schema_evolution(spark, d):
     return K.concat_by_name(s, c)
 
 
+def kt_indexed_lookup(spark, d):
+    """Trades of a trader and trades of a month from one table laid out for both columns."""
+    path = scratch_path(spark, "indexed")
+    O.write_indexed(V.trades(spark, d), path, ["trader_id", "created_at"], files=16, point=["trader_id"])
+    stored = spark.read.parquet(path)
+    of_trader = stored.filter("trader_id = 7").withColumn("asked", F.lit("trader"))
+    of_month = stored.filter("created_at >= '1995-03-01' AND created_at < '1995-04-01'").withColumn("asked", F.lit("month"))
+    return of_trader.unionByName(of_month)
+
+
 def kt_time_partition_scan(spark, d):
     """Trades laid out in a folder per year, then one year read newest first."""
     path = scratch_path(spark, "trades-by-year")
@@ -342,6 +352,11 @@ QUERIES = {
         "SELECT s_acctbal AS acctbal, s_name AS name, s_nationkey AS nationkey, CAST(NULL AS VARCHAR) AS mktsegment FROM supplier"
         " UNION ALL SELECT c_acctbal, c_name, c_nationkey, c_mktsegment FROM customer",
     ),
+    "kt_indexed_lookup": (
+        kt_indexed_lookup,
+        f"WITH {V.TRADES_SQL} SELECT {V.TRADE_OUT}, 'trader' AS asked FROM trades WHERE trader_id = 7 UNION ALL"
+        f" SELECT {V.TRADE_OUT}, 'month' FROM trades WHERE created_at >= TIMESTAMP '1995-03-01' AND created_at < TIMESTAMP '1995-04-01'",
+    ),
     "kt_time_partition_scan": (
         kt_time_partition_scan,
         f"{_T} SELECT {V.TRADE_OUT} FROM trades WHERE year(created_at) = 1997",

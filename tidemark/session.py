@@ -45,8 +45,9 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 
 def ensure_session(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on, in a session somebody else made."""
+    """Pin the settings results depend on, in a session somebody else made; instants are stored with bounds scans can skip by."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 
