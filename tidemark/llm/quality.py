@@ -1,17 +1,25 @@
 """Quality rules with thresholds that adapt to each language and source.
 
 Features of every text are counted once. Per language and source, mergeable
-quantile sketches (KLL) of the features are aggregated: every task sends one
-sketch per group, however many rows a group has. A group of fewer than
-``MIN_GROUP`` rows uses the sketch of its language, merged from the groups'
-sketches, and a small language the merged sketch of all. A feature is out of
-bounds beyond its upper quartile plus ``FENCE`` interquartile ranges (at least
-``SLACK``), for the mean word length also below the lower one. The thresholds
-are joined to the rows and filter them.
-
-Defined results: a null text counts as empty, has no words and fails the base
-rules; null languages and sources are groups of their own; repeated rows give
-repeated results; other columns of the input are not read.
+quantile sketches (KLL) of the features are aggregated over the texts that pass
+the base rules: every task sends one sketch per group, however many rows a group
+has. A group of fewer than ``MIN_GROUP`` such rows uses the sketch of its
+language, merged from the groups' sketches, and a small language the merged
+sketch of all. A feature is out of bounds beyond its ``UPPER`` quantile plus
+``FENCE`` times that quantile's distance from the median; the mean word length
+also as far below. The thresholds are joined to the rows and filter them.
+
+Most texts have no symbols and no repeats, so the quantiles of the plain rates
+are zero. The ``UPPER`` quantile of a rate is therefore that of the rates with
+one event more than was found (``EVENTS``), which fall with a text's length and
+are never zero; the median and the judged rate are those of what was found.
+
+Defined results: a null or empty text has no words and fails the base rules;
+a very long text is a slice of its own and is counted whole; null languages and
+sources are groups of their own; a value equal to its bound is within it, so
+equal values (ties) share a verdict, and a group of equal values keeps them all;
+repeated rows count each and give repeated results; an empty table gives no
+rows; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -27,9 +35,11 @@ from tidemark.session import cut_lineage
 MIN_WORDS = 50
 MIN_GROUP = 200
 SKETCH_K = 4000  # rank error about 0.1 %
+UPPER = 0.9
 FENCE = 3.0
-# Least distance of a bound from its quartile, per feature.
-SLACK = {"symbol_rate": 0.1, "dup_line_rate": 0.2, "repeat_rate": 0.3, "word_length": 2.0}
+# What one event adds to a count: a symbol, a repeated line, the words of two equal three-word windows.
+EVENTS = {"symbol_rate": ("n_symbols", 1), "dup_line_rate": ("n_dup_lines", 1), "repeat_rate": ("n_repeat_words", 6)}
+FEATURES = (*EVENTS, "word_length")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 _SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
@@ -97,9 +107,15 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by:
 
 
 def features() -> dict[str, Column]:
-    """The judged rates; one repeated line of a text is no sign of anything."""
-    per = lambda a, b: F.coalesce(F.try_divide(F.expr(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
-    return {"symbol_rate": per("n_symbols", "n_words"), "dup_line_rate": per("greatest(n_dup_lines - 1, 0)", "n_lines"), "repeat_rate": per("n_repeat_words", "n_words"), "word_length": per("word_chars", "n_words")}
+    """The judged values per word: rates of what was found, and the mean length."""
+    words = F.col("n_words").cast("double")
+    rates = {name: F.col(c) / words for name, (c, _) in EVENTS.items()}
+    return {**rates, "word_length": F.col("word_chars") / words}
+
+
+def with_event() -> dict[str, Column]:
+    """The rates with one event more than was found."""
+    return {f"more_{name}": (F.col(c) + F.lit(event)) / (F.col("n_words") + F.lit(event)) for name, (c, event) in EVENTS.items()}
 
 
 def _key(columns: list[str]) -> Column:
@@ -114,8 +130,8 @@ def thresholds(measured: DataFrame, groups: list[str]) -> DataFrame:
     (language and source, language, all); bounds come from the narrowest part
     with ``MIN_GROUP`` rows. Only the bounds of all rows reach the driver.
     """
-    names = list(SLACK)
-    sketched = measured.filter("n_words > 0").withColumns(features()).groupBy(*groups).agg(
+    names = [*FEATURES, *with_event()]
+    sketched = measured.filter("n_words > 0").withColumns({**features(), **with_event()}).groupBy(*groups).agg(
         F.count("*").alias("n"), *[F.kll_sketch_agg_double(f, F.lit(SKETCH_K)).alias(f"s_{f}") for f in names]
     )
     sketched = cut_lineage(sketched, "quality-sketches")
@@ -123,11 +139,11 @@ def thresholds(measured: DataFrame, groups: list[str]) -> DataFrame:
     merged = sketched.select(F.posexplode(parts).alias("depth", "part"), "n", *[f"s_{f}" for f in names])
     merged = merged.groupBy("depth", "part").agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"s_{f}").alias(f"s_{f}") for f in names])
     bounds = []
-    for f in names:
-        q1, q3 = (F.kll_sketch_get_quantile_double(f"s_{f}", F.lit(r)) for r in (0.25, 0.75))
-        room = F.greatest((q3 - q1) * FENCE, F.lit(SLACK[f]))
-        bounds += [(q1 - room).alias(f"low_{f}"), (q3 + room).alias(f"high_{f}")]
-    limits = [f"{side}_{f}" for f in names for side in ("low", "high")]
+    for f in FEATURES:
+        low, middle = (F.kll_sketch_get_quantile_double(f"s_{f}", F.lit(r)) for r in (1 - UPPER, 0.5))
+        high = F.kll_sketch_get_quantile_double(f"s_more_{f}" if f in EVENTS else f"s_{f}", F.lit(UPPER))
+        bounds += [(low - (middle - low) * FENCE).alias(f"low_{f}"), (high + (high - middle) * FENCE).alias(f"high_{f}")]
+    limits = [f"{side}_{f}" for f in FEATURES for side in ("low", "high")]
     bounded = cut_lineage(merged.select("depth", "part", "n", *bounds), "quality-bounds")
     every = bounded.filter("depth = 0").first()
     out = sketched.select(*[parts[d].alias(f"_p{d}") for d in range(len(groups) + 1)], *[F.lit(every[c] if every else None).cast("double").alias(c) for c in limits])
@@ -140,19 +156,18 @@ def thresholds(measured: DataFrame, groups: list[str]) -> DataFrame:
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """(doc_id, counts, base_failed, kept) of every row."""
-    measured = cut_lineage(measure(docs, id_col, text_col, by), "quality-counts")
     groups = [f"g{i}" for i in range(len(by))]
-    bounds = thresholds(measured, groups)
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    judged = measured.withColumn("base_failed", base_failed).withColumn("_key", _key(groups))
-    failed = judged.filter("n_words = 0").withColumn("kept", F.lit(False))
-    rows = attach_stats(judged.filter("n_words > 0").withColumns(features()), bounds, ["_key"], ["doc_id", "n_words", "word_chars"])
-    inside = [F.col(f) <= F.col(f"high_{f}") for f in SLACK] + [F.col("word_length") >= F.col("low_word_length")]
-    fits = inside[0]
-    for test in inside[1:]:
-        fits = fits & test
+    judged = cut_lineage(measure(docs, id_col, text_col, by).withColumn("base_failed", base_failed), "quality-counts")
+    passing = judged.filter(~F.col("base_failed"))
+    keyed = passing.withColumn("_key", _key(groups)).withColumns(features())
+    rows = attach_stats(keyed, thresholds(passing, groups), ["_key"], ["doc_id", "n_words", "word_chars"])
+    fits = F.col("word_length") >= F.col("low_word_length")
+    for f in FEATURES:
+        fits = fits & (F.col(f) <= F.col(f"high_{f}"))
     columns = ["doc_id", *COUNTS, "base_failed", "kept"]
-    return rows.withColumn("kept", ~F.col("base_failed") & fits).select(*columns).unionByName(failed.select(*columns))
+    failed = judged.filter("base_failed").withColumn("kept", F.lit(False))
+    return rows.withColumn("kept", fits).select(*columns).unionByName(failed.select(*columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
