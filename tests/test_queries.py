@@ -71,6 +71,12 @@ def test_windows_are_partitioned_by_block(spark):
     assert "hashpartitioning(ticker" in text and "_block" in text
 
 
+def test_rolling_reads_the_stored_series(spark):
+    """Blocks and halos of one window only: the returns' own halo is not expanded again."""
+    text = plan(QUERIES["ts_rolling"](spark, FOLDER))
+    assert text.count("Exchange hashpartitioning") <= 4 and text.count("FileScan") <= 2
+
+
 @pytest.mark.parametrize("name", ["kt_as_of", "kt_incremental", "kt_incremental_changes", "cdc_as_of"])
 def test_commit_bounds_reach_the_scan(spark, name):
     scan = next(x for x in plan(QUERIES[name](spark, FOLDER)).splitlines() if "FileScan" in x)

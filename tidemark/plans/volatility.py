@@ -51,8 +51,16 @@ def moments(returns: DataFrame) -> DataFrame:
     )
 
 
-def rolling(series: DataFrame, value: str, prefix: str, rows: int = R.ROLLING_ROWS, block_days: float = BLOCK_DAYS) -> DataFrame:
-    """Rolling mean, deviation, population skewness, dispersion and bands; NULL until ``rows`` values exist."""
+def rolling(
+    series: DataFrame, value: str, prefix: str, rows: int = R.ROLLING_ROWS, block_days: float = BLOCK_DAYS, written: bool = False
+) -> DataFrame:
+    """Rolling mean, deviation, population skewness, dispersion and bands; NULL until ``rows`` values exist.
+
+    Blocks and their halos read the series twice, so it is written once first (pass ``written`` if it already is a stored
+    table): what it was derived by, such as the returns' own halo, is not part of this plan.
+    """
+    if not written:
+        series = cut_lineage(series, "series")
     blocks = with_halo(series, SERIES, "date", rows_back=rows - 1, days=block_days)
     frame = block_window(SERIES, "date").rowsBetween(-(rows - 1), 0)
     full = F.count(value).over(frame) == rows
