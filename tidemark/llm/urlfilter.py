@@ -4,7 +4,8 @@ A url's candidate keys are its host and parent hosts, each with the path
 prefixes whose lengths occur in the lists. The distinct candidate keys of the
 whole corpus are the complete universe of questions a list is asked. A
 cascade for a list encodes at level 1 the listed keys, at level 2 the other
-universe keys that level 1 lets pass, at level 3 the listed keys that level 2
+universe keys that level 1 lets pass (the universe is probed where it lies; only
+what passes is joined with the list), at level 3 the listed keys that level 2
 lets pass, and so on until nothing passes falsely. A key is listed if the
 first level that does not hold it is an even one, or none and the last is odd.
 So every question of this corpus has its exact answer, from a few bits per
@@ -21,8 +22,9 @@ of an allow and a block rule of one key the block. Without a rule, urls under
 a listed host are blocked and others allowed.
 
 Defined results: a null url or one without ``://`` has an empty host and path,
-fits no rule and is allowed; repeated rows give repeated results; empty lists
-fit nothing. Other columns are not read.
+fits no rule and is allowed; very long urls are judged whole; repeated rows give
+repeated results; empty lists fit nothing, an empty table gives no rows. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -126,21 +128,26 @@ def _level(listed: int, others: int, level: int) -> tuple[int, int]:
     return max(64, math.ceil(listed * per_key)), max(1, round(per_key * 0.7))
 
 
-def build(listed: DataFrame, others: DataFrame) -> Cascade:
-    """A cascade of the hashed keys ``listed`` (h1, h2) against ``others``, all of which are false for the list.
+def build(listed: DataFrame, universe: DataFrame) -> Cascade:
+    """A cascade of the hashed keys ``listed`` (h1, h2) that answers exactly for ``universe``, which may hold listed keys.
 
-    Each level is a Spark job over what the last one let pass falsely, a small
-    share after the first; only bit tables, bounded by the list, reach the
+    The first level is built from the list alone and the universe is probed with
+    it where it lies. Only what passes, about twice the list, is told from the
+    listed keys by a join. Each later level is a Spark job over what the last
+    one let pass falsely; only bit tables, bounded by the list, reach the
     driver. Once ``LOCAL_KEYS`` keys are left in all, it finishes the same
     levels by itself.
     """
     levels: list[tuple[int, int, np.ndarray]] = []
-    inside, outside = listed, others
+    inside, outside = listed, universe
     n, m = inside.count(), outside.count()
-    while n and n + m > LOCAL_KEYS:
+    while n and (not levels or n + m > LOCAL_KEYS):
         bits, number = _level(n, m, len(levels))
         table = filter_bits(inside.mapInArrow(_level_rows(len(levels), number, bits), "at long"), "at", bits)
-        inside, outside = cut_lineage(_passing(outside, len(levels), number, bits, table), "cascade-level"), inside
+        passing = _passing(outside, len(levels), number, bits, table)
+        if not levels:
+            passing = passing.join(inside, ["h1", "h2"], "left_anti")
+        inside, outside = cut_lineage(passing, "cascade-level"), inside
         levels.append((bits, number, table))
         n, m = inside.count(), n
     if not n:
@@ -170,9 +177,8 @@ def build_list(keys: DataFrame, universe: DataFrame) -> tuple[int, list[Cascade]
     """(shards, a cascade per shard) of a list's hashed keys against the hashed universe."""
     keys = cut_lineage(keys.select("h1", "h2").distinct(), "listed-keys")
     shards = max(1, math.ceil(keys.count() / SHARD_KEYS))
-    others = universe.select("h1", "h2").join(keys, ["h1", "h2"], "left_anti")
-    others = cut_lineage(others, "universe-others")
-    return shards, [build(keys.filter(_shard("h1", shards) == s), others.filter(_shard("h1", shards) == s)) for s in range(shards)]
+    universe = universe.select("h1", "h2")
+    return shards, [build(keys.filter(_shard("h1", shards) == s), universe.filter(_shard("h1", shards) == s)) for s in range(shards)]
 
 
 def judge(pages: DataFrame, rules: DataFrame, blocked_hosts: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
