@@ -558,6 +558,50 @@ def test_trigrams():
         assert grams == naive(text)
 
 
+def naive_grams(text):
+    plain = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in f" {text or ''} ".lower()))
+    return Counter(plain[i : i + 3] for i in range(len(plain) - 2) if plain[i + 1] != " ")
+
+
+def test_language_scores_equal_plain_counting(spark, docs):
+    """Depths of all trigrams, once-seen ones too, predictions and scores against dictionaries."""
+    model = langid.train(docs)
+    counted = defaultdict(Counter)
+    for _, text, lang, *_ in ROWS:
+        if lang is not None and text is not None:
+            counted[lang].update(naive_grams(text))
+    assert model.languages == sorted(counted)
+    depth = {}
+    for lang, grams in counted.items():
+        total = sum(grams.values())
+        depth[lang] = {g: 1 + sum(n / total >= 4.0 ** (level - 9) for level in range(2, 9)) for g, n in grams.items()}
+    every = sorted(set().union(*depth.values()))
+    keys = np.array([ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]) for g in every], np.uint64)
+    want = np.array([[depth[lang].get(g, 0) for lang in model.languages] for g in every])
+    found = langid.depths(model, keys)
+    assert (found >= want).all() and (found == want).mean() > 0.99
+    own = [sum(n * depth[lang][g] for g, n in counted[lang].items()) / sum(counted[lang].values()) for lang in model.languages]
+    assert np.allclose(model.depth, own)
+    for r in langid.predict(docs, model).collect():
+        grams = naive_grams(r.text)
+        if not grams:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        like = [sum(n * depth[lang].get(g, 0) for g, n in grams.items()) / sum(grams.values()) / o for lang, o in zip(model.languages, own)]
+        assert abs(r.score - min(max(like), 1)) < 0.02
+        assert max(like) - like[model.languages.index(r.lang_pred)] < 0.02
+
+
+def test_language_ties_and_very_long_texts(spark):
+    """Languages learned from equal texts tie, and the first by name is predicted; a text beyond a slice counts whole."""
+    text, other = prose("en", 200), prose("de", 200)
+    rows = [(1, text, "b"), (2, text, "a"), (3, other, "c"), (4, other * 900, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(rows[3][1]) > langid.SLICE
+    got = {r.doc_id: r.lang_pred for r in langid.predict(df, langid.train(df.filter("doc_id < 4"))).collect()}
+    assert got == {1: "a", 2: "a", 3: "c", 4: "c"}
+
+
 def test_rejected_languages(docs):
     kept = langid.known_language(docs)
     assert kept.columns == docs.columns

@@ -1,20 +1,25 @@
 """Language identification by bit-sliced Bloom filters of character trigrams.
 
 Training counts the trigrams of letters (word edges as spaces) per language
-over all training rows. A trigram belongs to a language if it makes up at least
-``MIN_RATE`` of the language's trigrams and ``MIN_SHARE`` of its highest rate in
-any language. Rates, not counts, decide, so the sets do not grow with the
-corpus: a language has at most 1 / MIN_RATE members. One filter holds all
-languages: every slot is a bitmask with one bit per language, and the AND of a
-trigram's slots is the mask of the languages that contain it.
-
-A text's bits are counted per language, corrected for the language's rate of
-false positives, and the largest corrected share decides; it is the score.
+over all training rows and keeps every one. A trigram has a depth in a language:
+1 if it occurs at all, and one more for each of ``LEVELS`` - 1 rates (powers of
+``BASE``) that it reaches there. One filter holds all languages: every slot is a
+bitmask with one bit per language, and the AND of the slots of (trigram, level)
+is the mask of the languages that contain the trigram to that depth.
+
+A text's bits are counted per language over all levels, corrected for the
+language's rate of false positives, and divided by the mean depth of the
+language's own trigrams: 1 is a text like the language's own. The largest
+quotient decides, cut to 0..1 it is the score. The filter has some ``SPARE``
+slots a member, ``MAX_SLOTS`` (32 MB for 64 languages) at most: beyond that
+nothing is left out, but more probes are false and more is corrected.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters
-and where nothing could be learned; ties go to the language first by name.
-Language, source and key are no inputs of a prediction. Other columns of the
-input are not read.
+and where nothing could be learned; ties go to the language first by name. A
+very long text is a slice of its own and counts whole; repeated rows count each
+in training and have equal results; an empty table gives no rows. Language,
+source and key are no inputs of a prediction. Other columns of the input are not
+read.
 """
 
 from __future__ import annotations
@@ -24,21 +29,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm.common import batched, documents, fold, mix, positional, slices, texts
 from tidemark.session import cut_lineage
 
-SLOTS = 1 << 20
 HASHES = 4
-MIN_RATE = 2e-6
-MIN_SHARE = 0.1
+LEVELS, BASE = 8, 4
+SPARE = 8
+MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 22
 UNKNOWN = "und"
 # Text of a slice, whose arrays take some fifty times its size, and counts a task adds up at a time.
 SLICE = 1 << 18
 HELD_GRAMS = 1 << 20
-# Below this corrected share no learned language explains the text (the pipeline rejects it).
+# Below this score no learned language explains the text (the pipeline rejects it).
 MIN_SCORE = 0.3
 
 _LETTERS: list[np.ndarray] = []
@@ -73,8 +78,15 @@ def trigrams(rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return keys[whole], row[1:-1][whole]
 
 
-def slots_of(keys: np.ndarray) -> list[np.ndarray]:
-    return [mix(keys, salt) & np.uint64(SLOTS - 1) for salt in range(HASHES)]
+def slots_of(keys: np.ndarray, level: int, slots: int) -> list[np.ndarray]:
+    """The slots of (trigram, level); ``slots`` is a power of two."""
+    return [mix(keys, level * HASHES + salt) & np.uint64(slots - 1) for salt in range(HASHES)]
+
+
+def depth_of(rate: Column) -> Column:
+    """1 for any rate, one more for each power of ``BASE`` from the ``LEVELS`` - 1st inverse one upwards that it reaches."""
+    reached = [(rate >= float(BASE) ** (level - LEVELS - 1)).cast("int") for level in range(2, LEVELS + 1)]
+    return sum(reached, F.lit(1))
 
 
 @dataclass
@@ -82,6 +94,7 @@ class Model:
     languages: list[str]
     masks: np.ndarray  # (planes of 64 languages, slots)
     false_rate: np.ndarray  # per language
+    depth: np.ndarray  # mean depth of a language's own trigrams
 
 
 def _count(batches):
@@ -111,11 +124,16 @@ def _count(batches):
     yield from rows()
 
 
-def _slot_rows(batches):
-    for batch in batches:
-        keys = batch.column("gram").to_numpy().view(np.uint64)
-        bits = np.tile(batch.column("bit").to_numpy(), HASHES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(slots_of(keys)).astype(np.int64)), pa.array(bits)], ["slot", "bit"])
+def _slot_rows(slots: int):
+    def run(batches):
+        for batch in batches:
+            keys, bit, depth = (batch.column(c).to_numpy() for c in ("gram", "bit", "depth"))
+            for level in range(1, LEVELS + 1):
+                own = depth >= level
+                found = slots_of(keys[own].view(np.uint64), level, slots)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), pa.array(np.tile(bit[own], HASHES))], ["slot", "bit"])
+
+    return run
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -125,38 +143,54 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     counts = cut_lineage(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     totals = {r["lang"]: r["total"] for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
     languages = sorted(totals)
-    planes = (len(languages) + 63) // 64
-    masks = np.zeros((max(planes, 1), SLOTS), np.uint64)
+    slots, depth = MIN_SLOTS, np.ones(len(languages))
+    planes = max((len(languages) + 63) // 64, 1)
+    masks = np.zeros((planes, slots), np.uint64)
     if languages:
         number = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
         total = F.create_map(*[F.lit(x) for lang in languages for x in (lang, totals[lang])])
-        rated = counts.select("gram", number[F.col("lang")].alias("bit"), (F.col("n") / total[F.col("lang")]).alias("rate"))
-        best = rated.groupBy("gram").agg(F.max("rate").alias("best"))
-        members = rated.join(best, "gram").filter((F.col("rate") >= MIN_RATE) & (F.col("rate") >= MIN_SHARE * F.col("best")))
-        found = members.select("gram", F.col("bit").cast("int").alias("bit")).mapInArrow(_slot_rows, "slot long, bit int").distinct()
+        members = counts.select("gram", "n", number[F.col("lang")].cast("int").alias("bit"), depth_of(F.col("n") / total[F.col("lang")]).alias("depth"))
+        sizes = members.groupBy("bit").agg((F.sum(F.col("n") * F.col("depth")) / F.sum("n")).alias("mean"), F.sum("depth").alias("members")).collect()
+        for r in sizes:
+            depth[r["bit"]] = r["mean"]
+        slots = min(max(MIN_SLOTS, 1 << (SPARE * sum(r["members"] for r in sizes) - 1).bit_length()), MAX_SLOTS)
+        masks = np.zeros((planes, slots), np.uint64)
+        found = members.select("gram", "bit", "depth").mapInArrow(_slot_rows(slots), "slot long, bit int").distinct()
         # At most one row per slot and 64 languages reaches the driver.
         plane = (F.col("bit") / 64).cast("int").alias("plane")
         mask = F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("mask")
         got = found.groupBy("slot", plane).agg(mask).toArrow()
         masks[got["plane"].to_numpy(), got["slot"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
     fill = [float(np.mean((masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1))) for i in range(len(languages))]
-    return Model(languages, masks, np.array(fill) ** HASHES)
+    return Model(languages, masks, np.array(fill) ** HASHES, depth)
+
+
+def depths(model: Model, keys: np.ndarray) -> np.ndarray:
+    """(trigrams, languages): at how many levels the filter says that a language contains the trigram."""
+    out = np.zeros((len(keys), len(model.languages)))
+    for level in range(1, LEVELS + 1):
+        slots = slots_of(keys, level, model.masks.shape[1])
+        for plane, masks in enumerate(model.masks):
+            inside = masks[slots[0]]
+            for more in slots[1:]:
+                inside = inside & masks[more]
+            for i in range(plane * 64, min(plane * 64 + 64, len(model.languages))):
+                out[:, i] += (inside >> np.uint64(i % 64)) & np.uint64(1)
+    return out
 
 
 def _classify(model: Model, rows: list[str]) -> tuple[list[str], np.ndarray]:
     keys, row = trigrams(rows)
     n = np.bincount(row, minlength=len(rows)).astype(float)
-    shares = np.zeros((len(rows), max(len(model.languages), 1)))
-    slots = slots_of(keys)
-    for plane, masks in enumerate(model.masks):
-        inside = masks[slots[0]]
-        for more in slots[1:]:
-            inside = inside & masks[more]
-        for i in range(plane * 64, min(plane * 64 + 64, len(model.languages))):
-            hits = np.bincount(row, (inside >> np.uint64(i % 64)) & np.uint64(1), len(rows))
-            shares[:, i] = np.clip((hits / np.maximum(n, 1) - model.false_rate[i]) / max(1 - model.false_rate[i], 1e-9), 0, 1)
-    best = shares.argmax(axis=1)
-    score = shares[np.arange(len(rows)), best]
+    likeness = np.zeros((len(rows), max(len(model.languages), 1)))
+    # A trigram that many rows of the slice hold is probed once.
+    distinct, at = np.unique(keys, return_inverse=True)
+    found = depths(model, distinct)
+    for i, (false, depth) in enumerate(zip(model.false_rate, model.depth)):
+        mean = np.bincount(row, found[at, i], len(rows)) / np.maximum(n, 1)
+        likeness[:, i] = (mean - LEVELS * false) / max(1 - false, 1e-9) / depth
+    best = likeness.argmax(axis=1)
+    score = np.clip(likeness[np.arange(len(rows)), best], 0, 1)
     known = (n > 0) & bool(model.languages)
     return [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0)
 
