@@ -54,3 +54,20 @@ def test_out_of_order_moves_restarts_and_late_moves(spark, tmp_path):
     final = put(event("a", "leave", 995), event("b", "leave", 5003))
     assert final == [("a", 990, 1005), ("b", 1010, 5003), ("c", 5000, 5002)], "too late for a; b's open interval waited"
     assert rows(M.members_at(table.snapshot(), 1004), "user_id") == [("a",)]
+
+
+def test_users_share_the_states_of_their_shards(spark, tmp_path):
+    r = random.Random(2)
+    listed = [(f"u{r.randint(0, 30)}", r.choice(["join", "leave"]), r.randint(1000, 1050)) for _ in range(200)]
+    table = M.interval_table(spark, str(tmp_path / "t"), buckets=2)
+    for part in (listed[:90], listed[90:]):
+        spark.createDataFrame([(event(*m),) for m in part], "value string").coalesce(1).write.mode("append").text(str(tmp_path / "in"))
+        J.drain(M.interval_stream(stream(spark, tmp_path / "in"), table, str(tmp_path / "cp"), J.DRAIN, "100 seconds", shards=3))
+    want = [
+        (user, since, until)
+        for user in {m[0] for m in listed}
+        for since, until in M.intervals(sorted(set(moves(*[(t, kind) for who, kind, t in listed if who == user])))).items()
+    ]
+    assert rows(table.snapshot(), "user_id", "joined_at", "left_at") == sorted(want, key=repr)
+    states = spark.read.format("statestore").load(str(tmp_path / "cp"))
+    assert 1 <= states.count() <= 3, "a state per shard, not per user"
