@@ -223,3 +223,20 @@ def test_update_with_does_not_multiply_rows(spark):
     source = spark.createDataFrame([("a", 5, 1), ("a", 7, 0)], "id string, v int, o int")
     assert rows(K.update_with(target, source, ["id"], ["v"], ["o"])) == [("a", 5)]
     assert rows(K.update_with(target, source, ["id"], ["v"])) == [("a", 7)]
+
+
+def test_a_great_bucket_is_written_by_several_tasks(spark, table, tmp_path):
+    """Every row but a few has one key; no task takes the whole bucket."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16KB")
+    try:
+        t = table(buckets=1)
+        key = F.when(F.col("id") % 100 == 0, F.col("id")).otherwise(7).cast("string")
+        many = spark.range(0, 40_000, 1, 8).select(key.alias("id"), F.md5(F.col("id").cast("string")).alias("name"), F.col("id").alias("ts"))
+        t.bulk_insert(many)
+    finally:
+        spark.conf.set(name, before)
+    assert rows(t.snapshot()) == rows(many)
+    written = [[r.id for r in spark.read.parquet(f).collect()] for f in files(tmp_path)]
+    assert len(written) > 1 and max(map(len, written)) < 40_000 and all(ids == sorted(ids) for ids in written)

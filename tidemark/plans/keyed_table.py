@@ -3,7 +3,7 @@
 :class:`BucketedTable` holds one row per key in folders by a hash bucket of the
 key. A batch reads and rewrites only the buckets its keys fall into (Spark's
 dynamic partition overwrite), so its cost follows the batch and not the age of
-the table; ``buckets`` bounds the rows of a folder (some 100 MB each is a good size). There is no list of commits:
+the table; ``buckets`` bounds the rows of a folder (some 100 MB each is a good size; a greater one is written as several sorted files). There is no list of commits:
 a row carries the instant it was committed at, and a source (a stream's
 checkpoint) has one small record with the number of its last batch.
 
@@ -171,21 +171,24 @@ class BucketedTable:
 
     def _stage(self, merged: DataFrame, touched: list[int]) -> None:
         """Write what the touched buckets will hold, and, once that is whole, which they are."""
-        rows = merged.repartition(BUCKET).sortWithinPartitions(BUCKET, *self.cluster_by)
-        rows.write.partitionBy(BUCKET).parquet(f"{self.path}/staged/rows")
+        merged.write.parquet(f"{self.path}/staged/rows")
         put_line(self.spark, f"{self.path}/staged/touched", ",".join(map(str, touched)))
 
     def _finish(self) -> None:
-        """Put staged buckets in place; what was not staged as a whole goes."""
+        """Put staged buckets in place; what was not staged as a whole goes.
+
+        Adaptive execution gives a bucket as many tasks as its size asks for, and
+        small buckets a task together: what a task sorts does not grow with the table.
+        """
         staged = f"{self.path}/staged"
         line = get_line(self.spark, f"{staged}/touched")
         if line is not None:
             touched = {f"{BUCKET}={b}" for b in line.split(",")}
-            full = {n for n in listed(self.spark, f"{staged}/rows") if n.startswith(f"{BUCKET}=")}
+            rows = self.spark.read.parquet(f"{staged}/rows")
+            full = {f"{BUCKET}={r[0]}" for r in rows.select(BUCKET).distinct().collect()}  # at most one a bucket
             if full:
-                # A staged file is read by one task, in its order.
-                rows = self.spark.read.option("mergeSchema", True).parquet(f"{staged}/rows").sortWithinPartitions(BUCKET, *self.cluster_by)
-                rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self._rows)
+                placed = rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.cluster_by)
+                placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self._rows)
             for name in sorted((touched - full) & set(listed(self.spark, self._rows))):
                 remove(self.spark, f"{self._rows}/{name}")  # all its keys are gone
         remove(self.spark, staged)
