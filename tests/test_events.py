@@ -1,10 +1,13 @@
 import json
 import uuid
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.catalog import streams, views
 from tidemark.functions import events as E
 from tidemark.plans import events as P
 from tidemark.schemas import NORMALIZED_EVENT
@@ -268,3 +271,26 @@ def test_listener_reports(monkeypatch):
     assert listener.summary()["events_per_second"] == 30.0
     now[0] = 10.0
     assert listener.summary()["events_per_second"] == 3.0
+
+
+def test_one_file_of_events_is_parsed_by_all_cores(spark, tmp_path, monkeypatch):
+    """Bodies are dealt out before they are parsed, and a topic file can be read by several tasks."""
+    kinds = F.element_at(F.array(*map(F.lit, ["view", "signup", "error", "click"])), (F.col("id") % 4 + 1).cast("int"))
+    events = spark.range(0, 4000, 1, 1).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 50).alias("user_id"),
+        kinds.alias("event_type"),
+        F.col("id").cast("double").alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 100).alias("props"),
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    raw = views.raw_events(spark, str(tmp_path))
+    sizes = [r[0] for r in raw.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < 2000 and sum(sizes) == 4000
+    monkeypatch.setattr(streams, "GROUP_BYTES", 1 << 14)
+    records = P.to_topic_records(streams._normalized(spark, str(tmp_path)))
+    topic = streams._topic(records)
+    groups = [pq.ParquetFile(f).num_row_groups for f in Path(topic).glob("*.parquet")]
+    assert len(groups) == streams.FILES and min(groups) > 1
+    assert rows(spark.read.parquet(topic)) == rows(records)

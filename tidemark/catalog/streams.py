@@ -111,6 +111,8 @@ def ev_failure_reply(spark, d):
 BUCKETS = 4
 FILES, PER_BATCH = 8, 4
 FLUSH_ROWS = 20
+# Bytes of a row group of a topic file: the least a task parses, so that a few files make work for all cores.
+GROUP_BYTES = 4 << 20
 
 
 def _land(df, name: str) -> str:
@@ -120,6 +122,13 @@ def _land(df, name: str) -> str:
     return path
 
 
+def _topic(records) -> str:
+    """Topic records as files for a stream."""
+    path = scratch_path(records.sparkSession, "topic")
+    records.repartition(FILES).write.option("parquet.block.size", GROUP_BYTES).parquet(path)
+    return path
+
+
 def _normalized_topic(spark, d) -> str:
     """Raw bodies through the normalising stream into a folder of topic records.
 
@@ -148,26 +157,24 @@ def ev_stream_rejects(spark, d):
 
 def ev_persist_rejects(spark, d):
     """Topic records the persisting stream cannot store: cut off, or without a payload."""
-    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "record-rejects")
+    out = scratch_path(spark, "record-rejects")
     time, value = F.get_json_object("value", "$.timestamp").cast("bigint") % 7, F.col("value")
     faulty = F.when(time == 0, F.substring(value, F.lit(1), F.length(value) - 1)).when(time == 1, F.regexp_replace(value, '"payload":"[^"]*",', ""))
-    P.to_topic_records(_normalized(spark, d)).withColumn("value", faulty.otherwise(value)).repartition(FILES).write.parquet(topic)
+    topic = _topic(P.to_topic_records(_normalized(spark, d)).withColumn("value", faulty.otherwise(value)))
     J.drain(J.record_reject_stream(stream_records(spark, topic, PER_BATCH), out, f"{out}-checkpoint", J.DRAIN))
     return spark.read.schema("raw string, error string").parquet(out).groupBy("error").agg(F.count("*").alias("n"))
 
 
 def ev_stream_persist(spark, d):
     """Topic records, some delivered twice, through the persisting stream into the message table."""
-    topic, path = scratch_path(spark, "topic"), scratch_path(spark, "messages")
-    P.to_topic_records(_delivered(spark, d)).repartition(FILES).write.parquet(topic)
+    topic, path = _topic(P.to_topic_records(_delivered(spark, d))), scratch_path(spark, "messages")
     table = J.message_table(spark, path, buckets=BUCKETS)
     J.drain(J.persist_stream(stream_records(spark, topic, PER_BATCH), table, f"{path}-checkpoint", J.DRAIN))
     return table.snapshot()
 
 
 def ev_stream_members(spark, d):
-    topic, path = scratch_path(spark, "topic"), scratch_path(spark, "members")
-    P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
+    topic, path = _topic(P.to_topic_records(_normalized(spark, d))), scratch_path(spark, "members")
     events = P.valid_events(P.parse_normalized(stream_records(spark, topic, PER_BATCH)))
     table = J.membership_table(spark, path, buckets=BUCKETS)
     J.drain(J.membership_stream(events, table, f"{path}-checkpoint", J.DRAIN))
@@ -176,8 +183,7 @@ def ev_stream_members(spark, d):
 
 def ev_stream_intervals(spark, d):
     """Times of membership from streaming state, files arriving in any order."""
-    topic, path = scratch_path(spark, "topic"), scratch_path(spark, "intervals")
-    P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
+    topic, path = _topic(P.to_topic_records(_normalized(spark, d))), scratch_path(spark, "intervals")
     events = P.valid_events(P.parse_normalized(stream_records(spark, topic, PER_BATCH)))
     table = M.interval_table(spark, path, buckets=BUCKETS)
     J.drain(M.interval_stream(events, table, f"{path}-checkpoint", J.DRAIN, MEMBERS_DELAY))
@@ -189,8 +195,7 @@ def ev_stream_latency_windows(spark, d):
 
     Files come in any order, so nothing is late within the delay; a last event, long after, closes all windows before it.
     """
-    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "windows")
-    P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
+    topic, out = _topic(P.to_topic_records(_normalized(spark, d))), scratch_path(spark, "windows")
     events = P.valid_events(P.parse_normalized(stream_records(spark, topic, PER_BATCH)))
     windows = W.latency_windows(events, WINDOW_S // 4, MEMBERS_DELAY)
     J.drain(W.window_stream(windows, out, f"{out}-checkpoint", J.DRAIN))
@@ -203,8 +208,7 @@ def ev_stream_latency_windows(spark, d):
 
 def ev_stream_flush(spark, d):
     """Groups that end by size, per room."""
-    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "flushed")
-    P.to_topic_records(_normalized(spark, d)).repartition(FILES).write.parquet(topic)
+    topic, out = _topic(P.to_topic_records(_normalized(spark, d))), scratch_path(spark, "flushed")
     records = stream_records(spark, topic, PER_BATCH).withColumn("shard", F.get_json_object("value", "$.room_id"))
     groups = W.flush_groups(records, size=FLUSH_ROWS, wait=None)
     J.drain(W.flush_stream(groups, out, f"{out}-checkpoint", J.DRAIN))
@@ -213,8 +217,7 @@ def ev_stream_flush(spark, d):
 
 def ev_stream_distinct(spark, d):
     """Event ids that survive de-duplication within a watermark longer than the data."""
-    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "distinct")
-    P.to_topic_records(_delivered(spark, d)).repartition(FILES).write.parquet(topic)
+    topic, out = _topic(P.to_topic_records(_delivered(spark, d))), scratch_path(spark, "distinct")
     events = P.valid_events(P.parse_normalized(stream_records(spark, topic, PER_BATCH)))
     once = J.distinct_events(events, MEMBERS_DELAY).select("event_id", "event_type")
     query = once.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint")

@@ -38,6 +38,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(ensure_session(spark), folder, name)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over all cores, before work that costs far more than moving them: a small file is one task."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 # ---- orders and lineitem as trades ----------------------------------------------------------------
 
 TRADE_COLUMNS = ["trade_id", "stock_name", "stock_price", "stock_purchase_choice", "trader_id", "created_at", "updated_at"]
@@ -130,7 +135,7 @@ NO_ROOM, TEXT_TIME, CUT_SHORT, NUMBER_USER, SILENT, LATE_COPY = 13, 17, 19, 23,
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """JSON bodies of chat, join, leave, reaction and unknown events, some of them faulty."""
-    e = evaluate_once(table(spark, folder, "events"), k=F.get_json_object("props", "$.k").cast("bigint"))
+    e = evaluate_once(spread(table(spark, folder, "events")), k=F.get_json_object("props", "$.k").cast("bigint"))
     kind = F.col("event_type")
     k = F.col("k")
     tag = (

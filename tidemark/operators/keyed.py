@@ -79,14 +79,15 @@ def concat_by_name(*frames: DataFrame) -> DataFrame:
 
 
 def upsert(
-    base: DataFrame, batch: DataFrame, keys: Sequence[str], ordering: str | Sequence[str], mode: str = "commit_time"
+    base: DataFrame, batch: DataFrame, keys: Sequence[str], ordering: str | Sequence[str], mode: str = "commit_time", reduced: bool = False
 ) -> DataFrame:
     """Insert new keys and replace existing ones whole-row.
 
     ``commit_time``: the incoming row wins. ``event_time``: the greater ordering
-    value wins, the incoming row on a tie.
+    value wins, the incoming row on a tie. ``reduced``: the batch holds each key once.
     """
-    batch = precombine(batch, keys, ordering)
+    if not reduced:
+        batch = precombine(batch, keys, ordering)
     untouched = base.join(batch.select(*keys), list(keys), "left_anti")
     if mode == "commit_time":
         return concat_by_name(untouched, batch)

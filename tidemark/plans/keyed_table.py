@@ -119,7 +119,7 @@ class BucketedTable:
         Of a named ``source`` only batches with a greater ``number`` than the last are applied.
         """
         rows = K.refuse_null_keys(K.precombine(batch, self.keys, self.ordering), self.keys)
-        return self._apply(rows.withColumn(OP, F.lit("u")), commit, source, number)
+        return self._apply(rows.withColumn(OP, F.lit("u")), commit, source, number, deletes=False)
 
     def delete(self, batch: DataFrame, commit: str | None = None, source: str | None = None, number: int = 0) -> bool:
         """Remove the keys in ``batch``, which needs no other column."""
@@ -145,7 +145,8 @@ class BucketedTable:
                 raise TypeError(f"column {field.name}: {known[field.name].dataType.simpleString()} vs {field.dataType.simpleString()}")
         return known
 
-    def _apply(self, rows: DataFrame, commit: str | None, source: str | None, number: int) -> bool:
+    def _apply(self, rows: DataFrame, commit: str | None, source: str | None, number: int, deletes: bool = True) -> bool:
+        """Merge changes that hold each key once."""
         self._finish()
         if source is not None and self._last(source) >= number:
             return False
@@ -157,9 +158,9 @@ class BucketedTable:
         touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())  # at most one a bucket
         if touched:
             stored = self._stored(schema).filter(F.col(BUCKET).isin(touched))
-            merged = K.delete(stored, batch.filter(F.col(OP) == K.DELETE), self.keys)
+            merged = K.delete(stored, batch.filter(F.col(OP) == K.DELETE), self.keys) if deletes else stored
             if set(self.ordering) <= set(batch.columns):  # else a batch of keys to delete
-                merged = K.upsert(merged, batch.filter(F.col(OP) != K.DELETE).drop(OP), self.keys, self.ordering, self.mode)
+                merged = K.upsert(merged, batch.filter(F.col(OP) != K.DELETE).drop(OP), self.keys, self.ordering, self.mode, reduced=True)
             if self.expire is not None:
                 merged = merged.filter(~F.coalesce(self.expire(batch), F.lit(False)))
             self._stage(merged.select(*schema.names, BUCKET), touched)
