@@ -8,15 +8,17 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
+import zstandard
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import bpe, components, decontaminate, langid, lm, packing, pii, quality, simhash, suffixes, urlfilter
-from tidemark.llm.common import filter_bits, fold, has_bit
+from tidemark.llm.common import SLICE_BYTES, filter_bits, fold, has_bit
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -530,6 +532,48 @@ def test_passages_that_overlap_in_part(spark, seed):
     assert got == repeated(rows, 12)
 
 
+def test_words_of_packed_texts_are_held_by_slices(monkeypatch):
+    """However well texts compress, the words of about a slice of them are held at once."""
+    line, squeeze = "once more the same line of a long log\n" * 2000, zstandard.ZstdCompressor(level=3).compress
+    rows = [f"{i} {line}" for i in range(40)] + ["w " * 50, "v " * 60]
+    n, held, words_of = len(rows), [], suffixes._words
+    monkeypatch.setattr(suffixes, "_words", lambda part: held.append(sum(map(len, part))) or words_of(part))
+    starts = pa.array([[0, 7, 7, 900]] * 40 + [[3]] * 2, pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array([squeeze(t.encode()) for t in rows]), starts], ["doc_id", "name", "packed", "starts"])
+    got = [(r["doc_id"], r["at"]) for part in suffixes._contexts(30, 20)([batch, batch.slice(0, 0)]) for r in part.to_pylist()]
+    assert got == [(i, at) for i in range(40) for at in (0, 7, 900)] + [(40, 3), (41, 3)]
+    assert sum(held) == sum(map(len, rows)) and max(held) < SLICE_BYTES + len(rows[10])
+
+
+def test_repeated_rows_do_not_multiply_starts(spark, monkeypatch):
+    """Repeated rows, with null keys too, share one name; each gets the starts of one row."""
+    contexts = suffixes._contexts
+
+    def checked(seed, reach):
+        run = contexts(seed, reach)
+
+        def seen(batches):
+            for batch in batches:
+                assert all(len(s) < 20 for s in batch.column("starts")), "starts of one text of 80 words"
+                yield batch
+
+        return lambda batches: run(seen(batches))
+
+    monkeypatch.setattr(suffixes, "_contexts", checked)
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(None, text)] * 60 + [(7, text)] * 60 + [(8, "x " + text[:-4] + " y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [list(s) for s in r.spans] for r in suffixes.repeated_passages(df).collect()}
+    assert got == repeated(rows, 50) and got.keys() == {None, 7, 8}
+
+
+def test_equal_neighbours_are_held_once():
+    """A repeated row's suffixes stand side by side; one of them waits for the next document."""
+    group = suffixes._Seed(1, False, 30, 50)
+    row = (1, b"", b"", 5, 0, 9)
+    assert [out for _ in range(100) for out in group.add(row)] == [] and len(group.latest) == 1
+
+
 # ---- op8 ---------------------------------------------------------------------------------------------
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import documents, id_text, mix, slices, texts
+from tidemark.llm.common import SLICE_BYTES, documents, id_text, mix, slices, texts
 from tidemark.session import cut_lineage
 
 MIN_WORDS = 50
@@ -104,13 +104,26 @@ def _zipped(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("name"), packed], ["doc_id", "name", "packed"])
 
 
+def _unzipped(batches, limit: int = SLICE_BYTES):
+    """(rows, their texts) in slices that end where their texts reach ``limit`` bytes; packed sizes don't bound those."""
+    unzip = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        start, held, rows = 0, 0, []
+        for end, packed in enumerate(batch.column("packed"), 1):
+            text = unzip(packed.as_py())
+            rows.append(text.decode("utf-8", "surrogatepass"))
+            held += len(text)
+            if held >= limit or end == batch.num_rows:
+                yield batch.slice(start, end - start), rows
+                start, held, rows = end, 0, []
+
+
 def _contexts(seed: int, reach: int):
     """Rows (doc_id, name, packed text, starts) to retained suffixes with the words after and before the seed."""
 
     def run(batches):
-        for batch in slices(batches, "packed", 2 << 20):
-            unzip = zstandard.ZstdDecompressor().decompress
-            hashes, sizes = _words([unzip(p).decode("utf-8", "surrogatepass") for p in batch.column("packed").to_pylist()])
+        for batch, rows in _unzipped(batches):
+            hashes, sizes = _words(rows)
             ends = np.cumsum(sizes)
             out: list[list] = [[], [], [], [], []]
             for row, starts in enumerate(batch.column("starts")):
@@ -124,9 +137,9 @@ def _contexts(seed: int, reach: int):
                     out[2].append(at)
                     out[3].append(forward[4 * (at + seed) : 4 * (at + seed + reach)])
                     out[4].append(backward[4 * (n - at) : 4 * (n - at + reach)])
-            rows = pa.array(out[0], pa.int64())
+            taken = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(rows), batch.column("name").take(rows), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary())],
+                [batch.column("doc_id").take(taken), batch.column("name").take(taken), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary())],
                 ["doc_id", "name", "key", "at", "after", "before"],
             )
 
@@ -173,6 +186,8 @@ class _Seed:
 
     def add(self, row: tuple):
         """Rows to put out because a suffix of another document has come."""
+        if self.latest and self.latest[-1][0] == row:
+            return  # of a repeated row
         if self.latest and self.latest[-1][0][3] != row[3]:
             yield from self.settle(row)
         self.latest.append((row, self.match(row, self.other) if self.other else (0, 0, False)))
@@ -289,7 +304,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     retained = cut_lineage(rows.select("name", "text").mapInArrow(_retained(seed_words, reach + 1), "key long, name long, at int"), "suffix-starts")
     shared = retained.groupBy("key").agg(F.min("name").alias("a"), F.max("name").alias("b")).filter("a != b").select("key")
     shared = cut_lineage(shared, "suffix-seeds")
-    starts = retained.join(shared, "key").groupBy("name").agg(F.collect_list("at").alias("starts"))
+    # Sets, here and of the spans: repeated rows share a name, and each of them gets the list.
+    starts = retained.join(shared, "key").groupBy("name").agg(F.collect_set("at").alias("starts"))
     sent = rows.mapInArrow(_zipped, f"doc_id {kind}, name long, packed binary").join(starts, "name")
     suffixes = sent.mapInArrow(_contexts(seed_words, reach), f"doc_id {kind}, name long, key long, at int, after binary, before binary")
     order = ["key", "after", "before", "name", "at"]
@@ -309,7 +325,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     windows = cut_lineage(windows.mapInArrow(_windows(seed_words, min_words), f"doc_id {kind}, name long, settled boolean, window long, start int"), "suffix-windows")
     again = windows.groupBy("window").agg(F.min("name").alias("a"), F.max("name").alias("b"), F.bool_or("settled").alias("several")).filter("a != b OR several").select("window")
     more = windows.filter("NOT settled").join(again, "window").select("doc_id", "name", "start", (F.col("start") + min_words).alias("end"))
-    found = spans.unionByName(more).groupBy("doc_id", "name").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    found = spans.unionByName(more).groupBy("doc_id", "name").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     return found.select("doc_id", "spans").mapInArrow(_merged, f"doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>")
 
 
